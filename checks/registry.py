@@ -68,4 +68,4 @@ def on_history(body: str, *extra: str) -> str:
 
 
 # Importing the query modules fills REGISTRY.
-from checks import q_core  # noqa: E402,F401
+from checks import q_analyses, q_core  # noqa: E402,F401

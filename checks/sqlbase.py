@@ -15,7 +15,9 @@ from scrutin.sources import testdata as TD
 def sql_list(values) -> str:
     out = []
     for v in values:
-        if isinstance(v, str):
+        if v is None:
+            out.append("NULL")
+        elif isinstance(v, str):
             out.append("'" + v.replace("'", "''") + "'")
         else:
             out.append(str(v))

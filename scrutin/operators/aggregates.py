@@ -169,7 +169,10 @@ def top_correlations(df: DataFrame, columns: Sequence[str] | None = None, k: int
     idx = X.lookup("var1", pos, -1)
     jdx = X.lookup("var2", pos, -1)
     upper = long.where(jdx > idx).withColumn("__i", idx).withColumn("__j", jdx)
-    return (upper.orderBy(F.abs("r").desc_nulls_last(), "__i", "__j").limit(k)
+    # |r| compared at 1e-10 so that pairs equal up to rounding noise fall
+    # back to column order.
+    strength = F.rint(F.abs("r") * 1e10)
+    return (upper.orderBy(strength.desc_nulls_last(), "__i", "__j").limit(k)
                  .select("var1", "var2", F.col("r").alias("correlation")))
 
 

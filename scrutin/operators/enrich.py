@@ -104,14 +104,16 @@ def with_socio_bins(df: DataFrame) -> DataFrame:
 
 # -- E8 ----------------------------------------------------------------------
 def with_map_point(dept_stats: DataFrame, spark: SparkSession | None = None,
-                   participation: str = "taux_participation", votes: str = "voix") -> DataFrame:
-    """Map point per department: coordinates, radius = participation x 50,
-    popup text.  Unknown codes are dropped (inner join on the 13-row
-    dimension, broadcast)."""
+                   participation: str = "taux_participation", votes: str = "voix",
+                   scale: float = 100.0) -> DataFrame:
+    """Map point per department: coordinates, radius = participation x 50 and
+    a popup, with participation as a fraction (``scale`` = 100 when the input
+    is a percentage, 1 when it is already a fraction).  Unknown codes are
+    dropped (inner join on the 13-row dimension, broadcast)."""
     spark = spark or dept_stats.sparkSession
     dim = F.broadcast(department_dim(spark).select("departement", "departement_nom", "lat", "lon"))
     j = dept_stats.join(dim, on=S.DEPT, how="inner")
-    p = F.col(participation)
+    p = F.col(participation) / scale
     popup = F.format_string("%02d - %s<br>Participation: %s%%<br>Voix: %s",
                             F.col(S.DEPT), F.col("departement_nom"),
                             F.format_number(p * 100, 1), F.format_number(F.col(votes), 0))
