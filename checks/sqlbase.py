@@ -148,3 +148,36 @@ def mean2(expr: str) -> str:
     """Exact mean of 2-decimal values via integer hundredths (as the Spark side)."""
     return (f"(CAST(sum(CAST(round_even(({expr}) * 100, 0) AS BIGINT)) AS DOUBLE)"
             f" / CAST(count({expr}) AS DOUBLE) / 100)")
+
+
+def _spread(mult: int, modulus: int, base: float) -> str:
+    return f"(CAST({base} AS DOUBLE) + CAST(c_custkey * {mult} % {modulus} AS DOUBLE) / 100)"
+
+
+SOCIO = f"""
+socio AS (
+  SELECT CAST(([{sql_list(TD.DEPARTMENT_CODES)}])[CAST(c_nationkey % 15 AS INTEGER) + 1] AS INTEGER) AS DEP,
+    CAST(c_custkey AS VARCHAR) AS COM, c_name AS LIBCOM,
+    {_spread(7, 1700, 8.0)} AS taux_pauvrete,
+    CAST(18000.0 AS DOUBLE) + CAST(c_custkey * 13 % 17000 AS DOUBLE) AS revenu_median,
+    {_spread(3, 1000, 5.0)} AS taux_chomage,
+    {_spread(5, 1700, 8.0)} AS part_cadres,
+    {_spread(11, 2000, 15.0)} AS part_ouvriers,
+    {_spread(17, 1500, 35.0)} AS age_moyen,
+    CAST(20.0 AS DOUBLE) + CAST(c_custkey * 11 % 180 AS DOUBLE) AS densite_population,
+    CAST(2012 + (c_custkey % 2) * 5 AS INTEGER) AS annee
+  FROM customer
+)"""
+
+# Raw text ballots as the CSV/database export presents them.
+RAW = f"""
+raw AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
+    CAST(annee AS VARCHAR) AS "Année", CAST(tour AS VARCHAR) AS "TOUR",
+    CASE WHEN l_partkey % {TD.BAD_CODE_MODULUS} = 0 THEN 'n/a' ELSE lpad(CAST(departement AS VARCHAR), 2, '0') END
+      AS "Departement",
+    nuance AS "Nuance", CAST(inscrits AS VARCHAR) AS "INSCRITS", CAST(votants AS VARCHAR) AS "Votants",
+    CAST(abstentions AS VARCHAR) AS abstentions, CAST(exprimes AS VARCHAR) AS "EXPRIMES",
+    CAST(voix AS VARCHAR) AS "Voix"
+  FROM ballots
+)"""

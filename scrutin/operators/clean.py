@@ -120,8 +120,8 @@ def winsorize(df: DataFrame, columns: Sequence[str], lower: float = 0.01,
     clipped = {}
     for c in columns:
         x, lo, hi = F.col(c).cast("double"), F.col(f"__lo_{c}"), F.col(f"__hi_{c}")
-        v = F.when(x < lo, lo).when(x > hi, hi).otherwise(x)
-        clipped[c] = v.cast(df.schema[c].dataType)
+        # pandas returns floats once float bounds are applied: keep double.
+        clipped[c] = F.when(x < lo, lo).when(x > hi, hi).otherwise(x)
     drop = [f"__{s}_{c}" for c in columns for s in ("lo", "hi")]
     return out.withColumns(clipped).drop(*drop)
 
