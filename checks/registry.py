@@ -68,4 +68,4 @@ def on_history(body: str, *extra: str) -> str:
 
 
 # Importing the query modules fills REGISTRY.
-from checks import q_analyses, q_clean, q_core, q_predict  # noqa: E402,F401
+from checks import q_analyses, q_clean, q_core, q_ml, q_predict  # noqa: E402,F401
