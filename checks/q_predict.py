@@ -24,18 +24,22 @@ def history(spark, sf):
     return P.load_history(TD.ballots(spark, sf))
 
 
+def summary(spark, sf):
+    return P.summarise_history(history(spark, sf))
+
+
 def grid(spark, sf):
     return P.scenario_grid(history(spark, sf), GRID_YEARS, GRID_PARTICIPATION)
 
 
 def predictions(spark, sf, reference_year="latest"):
-    h = history(spark, sf)
+    h = summary(spark, sf)
     return P.predict_shares(P.scenario_grid(h, GRID_YEARS, GRID_PARTICIPATION), h,
                             reference_year=reference_year)
 
 
 def backtest_rows(spark, sf):
-    return B.backtest(I.results(spark, sf), history(spark, sf), tiebreak=TD.TIEBREAK)
+    return B.backtest(I.results(spark, sf), history(spark, sf), tiebreak=TD.TIEBREAK, materialise=True)
 
 
 # -- SQL pieces ------------------------------------------------------------------------
@@ -208,20 +212,20 @@ def scenario_grid(spark, sf):
 
 @query("base_shares", floats=["base"], sql=on_pred("SELECT * FROM base_dept"))
 def base_shares(spark, sf):
-    h = history(spark, sf)
+    h = summary(spark, sf)
     return P.base_shares(P.scenario_grid(h, GRID_YEARS, GRID_PARTICIPATION), A.historical_trends(h))
 
 
 @query("base_with_fallback", floats=["base"], sql=on_pred("SELECT * FROM base_all"))
 def base_with_fallback(spark, sf):
-    h = history(spark, sf)
+    h = summary(spark, sf)
     g = P.scenario_grid(h, GRID_YEARS, GRID_PARTICIPATION)
     return P.base_with_fallback(g, h, P.known_labels(h), A.historical_trends(h))
 
 
 @query("context_adjust", floats=["adj"], sql=on_pred("SELECT * FROM adj"))
 def context_adjust(spark, sf):
-    h = history(spark, sf)
+    h = summary(spark, sf)
     g = P.scenario_grid(h, GRID_YEARS, GRID_PARTICIPATION)
     base = P.base_with_fallback(g, h, P.known_labels(h), A.historical_trends(h))
     return P.context_adjust(base, g)
@@ -229,7 +233,7 @@ def context_adjust(spark, sf):
 
 @query("normalised_shares", floats=["pct"], sql=on_pred("SELECT * FROM norm"))
 def normalised_shares(spark, sf):
-    h = history(spark, sf)
+    h = summary(spark, sf)
     g = P.scenario_grid(h, GRID_YEARS, GRID_PARTICIPATION)
     base = P.base_with_fallback(g, h, P.known_labels(h), A.historical_trends(h))
     return P.normalise_shares(P.context_adjust(base, g), g)
@@ -249,7 +253,7 @@ def predict_shares_earliest(spark, sf):
   CAST(floor(floor(s.votants * {S.EXPRESSED_SHARE_OF_VOTERS}) * p.pct / 100) AS BIGINT) AS voix_estimees
 FROM pred p JOIN scen s ON p.scenario_id = s.scenario_id"""))
 def estimated_votes(spark, sf):
-    h = history(spark, sf)
+    h = summary(spark, sf)
     g = P.scenario_grid(h, GRID_YEARS, GRID_PARTICIPATION)
     return P.estimated_votes(P.predict_shares(g, h), g)
 
@@ -370,6 +374,6 @@ def backtest_scenarios(spark, sf):
   UNION ALL SELECT nuance FROM actual)"""))
 def key_union(spark, sf):
     r = I.results(spark, sf)
-    h = history(spark, sf)
+    h = summary(spark, sf)
     pred = P.predict_shares(P.prepare_scenarios(B.contest_scenarios(r, TD.TIEBREAK)), h)
     return J.key_union(pred, A.actual_shares(r))

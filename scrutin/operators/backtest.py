@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scrutin import schema as S
+from scrutin import session
 from scrutin.functions import exprs as X
 from scrutin.operators import aggregates as A
 from scrutin.operators import ordering as W
@@ -41,12 +42,18 @@ def contest_scenarios(results: DataFrame, tiebreak: Sequence[str] = (),
 
 def backtest(results: DataFrame, history: DataFrame, labels: DataFrame | None = None,
              reference_year: str = "latest", tiebreak: Sequence[str] = (),
-             urban: Sequence[int] = S.BACKTEST_URBAN_DEPARTMENTS) -> DataFrame:
+             urban: Sequence[int] = S.BACKTEST_URBAN_DEPARTMENTS, materialise: bool = False) -> DataFrame:
     """Per contest and label, predicted and actual share, absolute error
     (each rounded to 2 decimals), relative error (null when the actual share
-    is 0) and the error level."""
+    is 0) and the error level.
+
+    ``results`` is read by the scenario and the truth branches; when it is
+    the deduplicated table (bounded by the contest x label key space) pass
+    ``materialise=True`` to checkpoint it once."""
+    if materialise:
+        results = session.materialise(results)
     scen = P.prepare_scenarios(contest_scenarios(results, tiebreak, urban))
-    pred = P.predict_shares(scen, history, labels, reference_year)
+    pred = P.predict_shares(scen, P.summarise_history(history), labels, reference_year)
     actual = A.actual_shares(results).select(contest_id(), S.LABEL, "pct_reel")
     cmp = P.compare_shares(pred, actual, keys=["scenario_id"])
     err = F.abs(F.col("prediction") - F.col("reel"))

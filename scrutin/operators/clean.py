@@ -266,7 +266,8 @@ def first_per_key(df: DataFrame, keys: Sequence[str] = S.DEDUP_KEYS,
     Written as ``min_by(row, order)`` in a grouped aggregate rather than a
     ``row_number`` window: the aggregate is partial (each task keeps one row
     per key before the shuffle), so a hot key never funnels all of its rows
-    into one task.
+    into one task, and the input is scanned once.  (Measured at sf0.1: as
+    fast as the window, faster than picking winners and joining back.)
     """
     if order is None:
         order = [c for c in df.columns if c not in keys]

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from scrutin import schema as S
+from scrutin import session
 from scrutin.operators import aggregates as A
 from scrutin.operators import ordering as W
 from scrutin.plans import preprocess as L
@@ -35,6 +36,16 @@ def load_history(df: DataFrame, regions: Sequence[int] = S.REGION_DEPARTMENTS,
     return enrich.with_unrounded_participation(h)
 
 
+def summarise_history(history: DataFrame) -> DataFrame:
+    """Votes and row count per (department, year, label): every trend,
+    fallback and label list below is derived from this one aggregate, so the
+    ballots are scanned and shuffled once (the exchange is reused)."""
+    if "n_rows" in history.columns:
+        return history
+    return history.groupBy(S.DEPT, S.YEAR, S.LABEL).agg(F.sum(S.VOTES).alias(S.VOTES),
+                                                       F.count(F.lit(1)).alias("n_rows"))
+
+
 def known_labels(history: DataFrame) -> DataFrame:
     """Sorted, non-null, non-blank labels of the history."""
     return A.distinct_labels(history)
@@ -98,7 +109,8 @@ def base_with_fallback(scenarios: DataFrame, history: DataFrame, labels: DataFra
     uncovered = (scenarios.select("scenario_id")
                  .join(dept.select("scenario_id").distinct(), on="scenario_id", how="left_anti"))
     regional = A.regional_trends(history)
-    ctx = (history.agg(F.count(F.lit(1)).alias("n_hist"))
+    size = (F.sum("n_rows") if "n_rows" in history.columns else F.count(F.lit(1)))
+    ctx = (history.agg(F.coalesce(size, F.lit(0)).alias("n_hist"))
            .crossJoin(regional.agg(F.collect_list(_pairs(F.col(S.LABEL), F.col("avg_pct"))).alias("reg")))
            .crossJoin(labels.agg(F.collect_list(F.col(S.LABEL)).alias("labs"))))
     n_labs = F.size("labs")
@@ -180,9 +192,15 @@ def keep_known(shares: DataFrame, labels: DataFrame) -> DataFrame:
 # -- R6 ----------------------------------------------------------------------
 def predict_shares(scenarios: DataFrame, history: DataFrame, labels: DataFrame | None = None,
                    reference_year: str = "latest", rules: DataFrame | None = None,
-                   trends: DataFrame | None = None) -> DataFrame:
+                   trends: DataFrame | None = None, materialise: bool = True) -> DataFrame:
     """Trends -> base with fallbacks -> context multipliers -> normalise ->
-    known labels -> rank.  Output ``(scenario_id, nuance, pct, rang)``."""
+    known labels -> rank.  Output ``(scenario_id, nuance, pct, rang)``.
+
+    The history summary feeds five branches; with ``materialise`` it is
+    checkpointed once (it is bounded by departments x years x labels)."""
+    history = summarise_history(history)
+    if materialise and not history.isStreaming:
+        history = session.materialise(history)
     labels = labels if labels is not None else known_labels(history)
     trends = trends if trends is not None else A.historical_trends(history, reference_year)
     base = base_with_fallback(scenarios, history, labels, trends)
@@ -265,7 +283,7 @@ def scenario_grid(history: DataFrame, years: Sequence[int], participations: Sequ
     grid = [(y, p, u) for y in years for p in participations for u in urban_flags]
     arr = F.array(*[F.struct(F.lit(y).cast("int").alias("y"), F.lit(float(p)).alias("p"),
                              F.lit(u).alias("u")) for y, p, u in grid])
-    depts = history.select(S.DEPT).distinct()
+    depts = summarise_history(history).select(S.DEPT).distinct()
     g = depts.select(S.DEPT, F.explode(arr).alias("g"))
     sid = ((F.col("g.y").cast("long") * 1000 + F.col(S.DEPT)) * 1000
            + F.rint(F.col("g.p") * 10).cast("long")) * 10 + F.col("g.u").cast("long")

@@ -1,20 +1,14 @@
-"""L3 / L4: the analysis stage as one long table, and its report.
-
-The results table is scanned by several aggregates; ``analyze`` puts them in
-one union so a single job computes all of them (Spark reuses the shared
-exchange of the common input where the plans coincide).
-"""
+"""L3 / L4: the analysis stage as one long table, and its report."""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scrutin import schema as S
 from scrutin.functions import exprs as X
-from scrutin.operators import aggregates as A
 
 TOP_N = 5
 
@@ -24,25 +18,47 @@ def _long(df: DataFrame, name: str, key: str, value: str) -> DataFrame:
                      F.col(value).cast("double").alias("valeur"))
 
 
-def analyze(results: DataFrame) -> DataFrame:
+def analyze(results: DataFrame, top_n: int = TOP_N) -> DataFrame:
     """Top departments, labels and families, typology split, rows per year,
-    former-region split and mean participation, as ``(analyse, cle, valeur)``."""
+    former-region split and mean participation, as ``(analyse, cle, valeur)``.
+
+    One scan and one shuffle: a GROUPING SETS aggregate computes every count
+    at once (``grouping_id`` tells the sets apart), then the top-n per
+    analysis is ranked on the aggregated rows only.
+    """
+    cols = set(results.columns)
+    keyed = [c for c in (S.DEPT, S.LABEL, "famille_politique", "typologie", S.YEAR) if c in cols]
+    limits = {S.DEPT: top_n, S.LABEL: top_n, "famille_politique": top_n}
+    aggs = [F.count(F.lit(1)).alias("__n")]
+    if "ancien_midi_pyrenees" in cols:
+        aggs.append(F.count_if(F.col("ancien_midi_pyrenees")).alias("__midi"))
+    if "taux_participation" in cols:
+        aggs.append(X.mean_2dp("taux_participation").alias("__part"))
+    sets = [[F.col(c)] for c in keyed] + [[]]
+    g = results.groupingSets(sets, *[F.col(c) for c in keyed]).agg(
+        *aggs, F.grouping_id(*[F.col(c) for c in keyed]).alias("__gid"))
     parts = []
-    for col, n in ((S.DEPT, TOP_N), (S.LABEL, TOP_N), ("famille_politique", TOP_N), ("typologie", None)):
-        if col in results.columns:
-            parts.append(_long(A.value_counts(results, col, n), col, col, "n"))
-    parts.append(_long(A.counts_by_year(results), "annee", S.YEAR, "n"))
-    if "ancien_midi_pyrenees" in results.columns:
-        split = A.former_region_split(results)
-        parts.append(split.select(F.lit("ancienne_region").alias("analyse"),
+    full = (1 << len(keyed)) - 1
+    for i, c in enumerate(keyed):
+        gid = full ^ (1 << (len(keyed) - 1 - i))
+        rows = g.where((F.col("__gid") == gid) & F.col(c).isNotNull()).select(
+            F.lit(c).alias("analyse"), F.col(c).cast("string").alias("cle"),
+            F.col("__n").cast("double").alias("valeur"), F.col(c).alias("__k"))
+        if c in limits:
+            w = Window.partitionBy("analyse").orderBy(F.col("valeur").desc(), F.col("__k").asc())
+            rows = rows.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= limits[c]).drop("__r")
+        parts.append(rows.drop("__k"))
+    total = g.where(F.col("__gid") == full)
+    if "ancien_midi_pyrenees" in cols:
+        parts.append(total.select(F.lit("ancienne_region").alias("analyse"),
                                   F.lit("ancien_midi_pyrenees").alias("cle"),
-                                  F.col("ancien_midi_pyrenees").cast("double").alias("valeur")))
-        parts.append(split.select(F.lit("ancienne_region").alias("analyse"),
+                                  F.col("__midi").cast("double").alias("valeur")))
+        parts.append(total.select(F.lit("ancienne_region").alias("analyse"),
                                   F.lit("ancien_languedoc_roussillon").alias("cle"),
-                                  F.col("ancien_languedoc_roussillon").cast("double").alias("valeur")))
-    if "taux_participation" in results.columns:
-        parts.append(results.agg(X.mean_2dp("taux_participation").alias("v")).select(
-            F.lit("participation").alias("analyse"), F.lit("moyenne").alias("cle"), F.col("v").alias("valeur")))
+                                  (F.col("__n") - F.col("__midi")).cast("double").alias("valeur")))
+    if "taux_participation" in cols:
+        parts.append(total.select(F.lit("participation").alias("analyse"), F.lit("moyenne").alias("cle"),
+                                  F.col("__part").alias("valeur")))
     return reduce(DataFrame.unionByName, parts)
 
 

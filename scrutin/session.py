@@ -54,3 +54,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def materialise(df):
+    """Cut the lineage of a bounded intermediate table (a summary whose size
+    is set by the key space, not by the input) with a reliable checkpoint in
+    the session's checkpoint folder, so that several consumers read it once
+    instead of recomputing it from the scans."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
