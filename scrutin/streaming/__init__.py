@@ -1 +1,9 @@
-"""streaming."""
+"""Streaming.
+
+The analysed application has no stream, watermark, time window, stateful
+operator or late-data rule: its inputs are database tables and files read
+in batch.  Nothing is built here on purpose (see README, "Not built").  The
+batch functions are DataFrame-in/DataFrame-out and stateless up to the
+deduplication step, so they can be applied to a ``readStream`` source inside
+``foreachBatch`` if incremental loading is ever needed.
+"""
