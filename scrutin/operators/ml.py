@@ -238,7 +238,8 @@ def score(df: DataFrame, model: PipelineModel, classes: Sequence[str]) -> DataFr
     out = labeller.transform(out)
     return out.withColumns({
         "confiance": F.array_max(probs),
-        "probabilites": F.map_from_arrays(F.slice(names, 1, F.size(probs)), probs),
+        # the indexer keeps a slot for unseen labels: only the known classes
+        "probabilites": F.map_from_arrays(names, F.slice(probs, 1, len(classes))),
     }).drop("features", "scaled", "rawPrediction", "probability")
 
 
