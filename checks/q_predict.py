@@ -25,7 +25,7 @@ def history(spark, sf):
 
 
 def summary(spark, sf):
-    return P.summarise_history(history(spark, sf))
+    return P.summarise_history(history(spark, sf), materialise=True)
 
 
 def grid(spark, sf):

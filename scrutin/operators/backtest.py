@@ -53,7 +53,7 @@ def backtest(results: DataFrame, history: DataFrame, labels: DataFrame | None =
     if materialise:
         results = session.materialise(results)
     scen = P.prepare_scenarios(contest_scenarios(results, tiebreak, urban))
-    pred = P.predict_shares(scen, P.summarise_history(history), labels, reference_year)
+    pred = P.predict_shares(scen, P.summarise_history(history, materialise=True), labels, reference_year)
     actual = A.actual_shares(results).select(contest_id(), S.LABEL, "pct_reel")
     cmp = P.compare_shares(pred, actual, keys=["scenario_id"])
     err = F.abs(F.col("prediction") - F.col("reel"))

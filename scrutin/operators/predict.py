@@ -36,14 +36,16 @@ def load_history(df: DataFrame, regions: Sequence[int] = S.REGION_DEPARTMENTS,
     return enrich.with_unrounded_participation(h)
 
 
-def summarise_history(history: DataFrame) -> DataFrame:
-    """Votes and row count per (department, year, label): every trend,
-    fallback and label list below is derived from this one aggregate, so the
-    ballots are scanned and shuffled once (the exchange is reused)."""
+def summarise_history(history: DataFrame, materialise: bool = False) -> DataFrame:
+    """Votes and row count per (department, year, label).  Every trend,
+    fallback input and label list is derived from this one aggregate; with
+    ``materialise`` it is checkpointed so that those consumers (and the
+    scenario grid) read it once instead of rescanning the ballots."""
     if "n_rows" in history.columns:
         return history
-    return history.groupBy(S.DEPT, S.YEAR, S.LABEL).agg(F.sum(S.VOTES).alias(S.VOTES),
-                                                       F.count(F.lit(1)).alias("n_rows"))
+    out = history.groupBy(S.DEPT, S.YEAR, S.LABEL).agg(F.sum(S.VOTES).alias(S.VOTES),
+                                                      F.count(F.lit(1)).alias("n_rows"))
+    return session.materialise(out) if materialise else out
 
 
 def known_labels(history: DataFrame) -> DataFrame:
@@ -196,11 +198,14 @@ def predict_shares(scenarios: DataFrame, history: DataFrame, labels: DataFrame |
     """Trends -> base with fallbacks -> context multipliers -> normalise ->
     known labels -> rank.  Output ``(scenario_id, nuance, pct, rang)``.
 
-    The history summary feeds five branches; with ``materialise`` it is
-    checkpointed once (it is bounded by departments x years x labels)."""
-    history = summarise_history(history)
-    if materialise and not history.isStreaming:
-        history = session.materialise(history)
+    The history summary feeds five branches; with ``materialise`` a raw
+    history is summarised and checkpointed once (the summary is bounded by
+    departments x years x labels).  A history that is already a summary
+    (see ``summarise_history``) is used as given: the caller owns it."""
+    if "n_rows" not in history.columns:
+        history = summarise_history(history)
+        if materialise:
+            history = session.materialise(history)
     labels = labels if labels is not None else known_labels(history)
     trends = trends if trends is not None else A.historical_trends(history, reference_year)
     base = base_with_fallback(scenarios, history, labels, trends)

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scrutin import schema as S
 from scrutin.functions import exprs as X
@@ -13,53 +12,56 @@ from scrutin.functions import exprs as X
 TOP_N = 5
 
 
-def _long(df: DataFrame, name: str, key: str, value: str) -> DataFrame:
-    return df.select(F.lit(name).alias("analyse"), F.col(key).cast("string").alias("cle"),
-                     F.col(value).cast("double").alias("valeur"))
-
-
 def analyze(results: DataFrame, top_n: int = TOP_N) -> DataFrame:
     """Top departments, labels and families, typology split, rows per year,
     former-region split and mean participation, as ``(analyse, cle, valeur)``.
 
     One scan and one shuffle: a GROUPING SETS aggregate computes every count
-    at once (``grouping_id`` tells the sets apart), then the top-n per
-    analysis is ranked on the aggregated rows only.
+    at once (``grouping_id`` tells the sets apart); each aggregated row is
+    turned into its output row(s) in a single projection, and the top-n per
+    analysis is ranked on those few rows only.
     """
     cols = set(results.columns)
     keyed = [c for c in (S.DEPT, S.LABEL, "famille_politique", "typologie", S.YEAR) if c in cols]
-    limits = {S.DEPT: top_n, S.LABEL: top_n, "famille_politique": top_n}
-    aggs = [F.count(F.lit(1)).alias("__n")]
-    if "ancien_midi_pyrenees" in cols:
-        aggs.append(F.count_if(F.col("ancien_midi_pyrenees")).alias("__midi"))
-    if "taux_participation" in cols:
-        aggs.append(X.mean_2dp("taux_participation").alias("__part"))
+    limited = [c for c in (S.DEPT, S.LABEL, "famille_politique") if c in cols]
+    aggs = [F.count(F.lit(1)).alias("__n"),
+            (F.count_if(F.col("ancien_midi_pyrenees")) if "ancien_midi_pyrenees" in cols
+             else F.lit(None).cast("long")).alias("__midi"),
+            (X.mean_2dp("taux_participation") if "taux_participation" in cols
+             else F.lit(None).cast("double")).alias("__part")]
     sets = [[F.col(c)] for c in keyed] + [[]]
     g = results.groupingSets(sets, *[F.col(c) for c in keyed]).agg(
         *aggs, F.grouping_id(*[F.col(c) for c in keyed]).alias("__gid"))
-    parts = []
     full = (1 << len(keyed)) - 1
+
+    def entry(name, key, value, ki=None, ks=None):
+        return F.struct(F.lit(name).alias("analyse") if isinstance(name, str) else name.alias("analyse"),
+                        key.cast("string").alias("cle"), value.cast("double").alias("valeur"),
+                        (ki if ki is not None else F.lit(None)).cast("long").alias("ki"),
+                        (ks if ks is not None else F.lit(None)).cast("string").alias("ks"))
+
+    choice = None
     for i, c in enumerate(keyed):
         gid = full ^ (1 << (len(keyed) - 1 - i))
-        rows = g.where((F.col("__gid") == gid) & F.col(c).isNotNull()).select(
-            F.lit(c).alias("analyse"), F.col(c).cast("string").alias("cle"),
-            F.col("__n").cast("double").alias("valeur"), F.col(c).alias("__k"))
-        if c in limits:
-            w = Window.partitionBy("analyse").orderBy(F.col("valeur").desc(), F.col("__k").asc())
-            rows = rows.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= limits[c]).drop("__r")
-        parts.append(rows.drop("__k"))
-    total = g.where(F.col("__gid") == full)
+        is_text = isinstance(results.schema[c].dataType, T.StringType)
+        one = F.array(entry(c, F.col(c), F.col("__n"), None if is_text else F.col(c),
+                            F.col(c) if is_text else None))
+        cond = (F.col("__gid") == gid) & F.col(c).isNotNull()
+        choice = F.when(cond, one) if choice is None else choice.when(cond, one)
+    totals = []
     if "ancien_midi_pyrenees" in cols:
-        parts.append(total.select(F.lit("ancienne_region").alias("analyse"),
-                                  F.lit("ancien_midi_pyrenees").alias("cle"),
-                                  F.col("__midi").cast("double").alias("valeur")))
-        parts.append(total.select(F.lit("ancienne_region").alias("analyse"),
-                                  F.lit("ancien_languedoc_roussillon").alias("cle"),
-                                  (F.col("__n") - F.col("__midi")).cast("double").alias("valeur")))
+        totals += [entry("ancienne_region", F.lit("ancien_midi_pyrenees"), F.col("__midi")),
+                   entry("ancienne_region", F.lit("ancien_languedoc_roussillon"),
+                         F.col("__n") - F.col("__midi"))]
     if "taux_participation" in cols:
-        parts.append(total.select(F.lit("participation").alias("analyse"), F.lit("moyenne").alias("cle"),
-                                  F.col("__part").alias("valeur")))
-    return reduce(DataFrame.unionByName, parts)
+        totals.append(entry("participation", F.lit("moyenne"), F.col("__part")))
+    if totals:
+        choice = choice.when(F.col("__gid") == full, F.array(*totals))
+    rows = g.select(F.explode(choice.otherwise(F.array())).alias("e")).select("e.*")
+    w = Window.partitionBy("analyse").orderBy(F.col("valeur").desc(), F.col("ki").asc(), F.col("ks").asc())
+    ranked = rows.withColumn("__r", F.row_number().over(w))
+    keep = (~F.col("analyse").isin(limited)) | (F.col("__r") <= top_n)
+    return ranked.where(keep).select("analyse", "cle", "valeur")
 
 
 def analysis_report(analysis: DataFrame) -> DataFrame:
