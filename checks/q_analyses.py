@@ -221,6 +221,25 @@ def compare_tables(spark, sf):
     return A.compare_tables(left, right)
 
 
+def _hist_side(side: str, where: str) -> str:
+    return f"""SELECT '{side}' AS side, 'inscrits' AS "column", * FROM (
+WITH src AS (SELECT * FROM results WHERE {where}),
+rng AS (SELECT min(CAST(inscrits AS DOUBLE)) AS lo, max(CAST(inscrits AS DOUBLE)) AS hi FROM src),
+b AS (SELECT CAST(least(CASE WHEN (hi - lo) / 20 > 0
+        THEN floor((CAST(inscrits AS DOUBLE) - lo) / ((hi - lo) / 20)) ELSE 0 END, 19) AS INTEGER) AS bin,
+      lo, hi FROM src, rng WHERE inscrits IS NOT NULL)
+SELECT bin, lo + bin * ((hi - lo) / 20) AS bin_start, lo + (bin + 1) * ((hi - lo) / 20) AS bin_end,
+  count(*) AS n FROM b GROUP BY bin, lo, hi)"""
+
+
+@query("compare_histograms", floats=["bin_start", "bin_end"], sql=on_results(
+    _hist_side("left", "tour = 1") + " UNION ALL " + _hist_side("right", "tour = 2")))
+def compare_histograms(spark, sf):
+    r = I.results(spark, sf).select("inscrits", "pct_exprimes", "taux_participation", "voix", "tour")
+    return A.compare_histograms(r.where(F.col("tour") == 1).drop("tour"),
+                                r.where(F.col("tour") == 2).drop("tour"))
+
+
 @query("scatter_points", sql=on_results(
     "SELECT taux_participation, pct_exprimes AS part_voix, departement, voix, nuance FROM results"))
 def scatter_points(spark, sf):

@@ -257,6 +257,18 @@ def compare_tables(left: DataFrame, right: DataFrame, approx: bool = False) -> D
     return a.join(b, on=["column", "stat"], how="full_outer")
 
 
+def compare_histograms(left: DataFrame, right: DataFrame, bins: int = 20) -> DataFrame:
+    """A20, second part: histogram of the first common numeric column on each
+    side, as ``(side, column, bin, bin_start, bin_end, n)``."""
+    common = [c for c in clean.columns_of_kind(left) if c in set(clean.columns_of_kind(right))]
+    if not common:
+        raise ValueError("no common numeric column")
+    c = common[0]
+    parts = [histogram(df, c, bins).select(F.lit(side).alias("side"), F.lit(c).alias("column"), "*")
+             for side, df in (("left", left), ("right", right))]
+    return parts[0].unionByName(parts[1])
+
+
 def scatter_points(df: DataFrame, share: str = "pct_exprimes", fraction: float | None = None,
                    seed: int = 42) -> DataFrame:
     out = df.select("taux_participation", F.col(share).alias("part_voix"), S.DEPT, S.VOTES, S.LABEL)

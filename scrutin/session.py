@@ -47,7 +47,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     The cluster's setting always wins.  Only when it is unset (tests, a
     laptop) a fresh scratch folder is created and registered.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the folder
+        return spark.conf.get(CHECKPOINT_CONF, "")
     configured = sc.getConf().get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if not configured:
         configured = tempfile.mkdtemp(prefix="scrutin-ckpt-")

@@ -29,6 +29,11 @@ def pick_table(names: Sequence[str], preferred: str = S.PREFERRED_TABLE,
     return names[0]
 
 
+def catalog_tables(spark, database: str | None = None) -> list[str]:
+    """Table names of the session catalog (metadata only), for ``pick_table``."""
+    return [t.name for t in spark.catalog.listTables(database)]
+
+
 def resolve_mapping(columns: Sequence[str],
                     patterns: Mapping[str, Sequence[str]] = S.COLUMN_PATTERNS) -> dict[str, str | None]:
     """Canonical name -> source column (or None).  Exact (case-insensitive)

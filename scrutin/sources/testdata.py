@@ -40,8 +40,12 @@ def spread(df: DataFrame) -> DataFrame:
     this adds no shuffle at scale.  Counting the partitions plans the scan
     but runs no job.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect): keep the layout
+        return df
+    return df.repartition(target) if current < target else df
 
 
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:

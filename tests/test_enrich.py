@@ -38,3 +38,15 @@ def test_raw_rates(spark):
     df = spark.createDataFrame([(80, 100, 10, 0)], "votants LONG, inscrits LONG, voix LONG, exprimes LONG")
     r = E.with_raw_rates(df).first()
     assert r.participation_rate == 0.8 and r.abstention_rate == pytest.approx(0.2) and r.vote_share is None
+
+
+def test_share_of_total_and_winner(spark):
+    from scrutin.operators import ordering as W
+    df = spark.createDataFrame([(1, "a", 30), (1, "b", 10), (2, "a", 0), (None, "c", 5)],
+                               "g INT, nuance STRING, v LONG")
+    got = {(r.g, r.nuance): r.pct for r in W.share_of_total(df, "v", ["g"]).collect()}
+    assert got == {(1, "a"): 75.0, (1, "b"): 25.0, (2, "a"): 0.0, (None, "c"): 100.0}
+    ties = spark.createDataFrame([(1, "b", 5.0), (1, "a", 5.0), (1, "c", 1.0)], "g INT, nuance STRING, pct DOUBLE")
+    assert W.winner(ties, by=["g"]).first().gagnant == "a"  # ties -> smallest label
+    ranks = {r.nuance: r.rang for r in W.rank_predictions(ties, by=["g"]).collect()}
+    assert ranks == {"a": 1, "b": 2, "c": 3}
