@@ -248,15 +248,14 @@ def merge_datasets(spark, sf):
     })
 
 
-@query("stack_datasets", floats=SOCIO_FLOATS, sql=on(Q.BALLOTS, Q.TYPED, Q.ENRICHED, Q.RESULTS, Q.SOCIO, body="""
+@query("stack_datasets", sql=on_results("""
 SELECT *, 'legislative' AS election_type, 2017 AS annee_source FROM results WHERE annee = 2017
-UNION ALL BY NAME
-SELECT *, 'socio' AS election_type, 2017 AS annee_source FROM socio WHERE annee = 2017"""))
+UNION ALL
+SELECT *, 'legislative' AS election_type, 2018 AS annee_source FROM results WHERE annee = 2018"""))
 def stack_datasets(spark, sf):
     r = I.results(spark, sf)
-    so = socio(spark, sf)
     return J.stack_datasets({"legislative_2017": r.where(F.col("annee") == 2017),
-                             "socio_2017": so.where(F.col("annee") == 2017)})
+                             "legislative_2018": r.where(F.col("annee") == 2018)})
 
 
 # -- L4 / L3 ------------------------------------------------------------------------
