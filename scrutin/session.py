@@ -16,7 +16,7 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app_name: str = "scrutin") -> SparkSession:
+                  app_name: str = "scrutin", extra: dict[str, str] | None = None) -> SparkSession:
     """A local session with the UI off and a loopback driver address."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -33,6 +33,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", os.environ.get("SCRUTIN_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    for key, value in (extra or {}).items():
+        builder = builder.config(key, value)
     if not SparkSession.getActiveSession():
         builder = builder.config(CHECKPOINT_CONF, tempfile.mkdtemp(prefix="scrutin-ckpt-"))
     spark = builder.getOrCreate()
