@@ -58,9 +58,14 @@ SHARES = """hshares AS (
 
 def trends_cte(reference_year: str) -> str:
     pick = "arg_max" if reference_year == "latest" else "arg_min"
-    return f"""recent AS (
+    return f"""recent_rows AS (
   SELECT * EXCLUDE (r) FROM (SELECT *, max(CASE WHEN annee >= {S.RECENT_YEAR} THEN 1 ELSE 0 END)
-    OVER (PARTITION BY departement) AS r FROM hshares) WHERE r = 0 OR annee >= {S.RECENT_YEAR}),
+    OVER (PARTITION BY departement) AS r FROM history) WHERE r = 0 OR annee >= {S.RECENT_YEAR}),
+recent AS (
+  SELECT departement, annee, nuance, CAST(v AS DOUBLE) / t * 100 AS pct FROM (
+    SELECT departement, annee, nuance, sum(voix) AS v,
+      sum(sum(voix)) OVER (PARTITION BY departement, annee) AS t
+    FROM recent_rows GROUP BY departement, annee, nuance) WHERE t > 0),
 trends AS (SELECT departement, nuance, avg(pct) AS avg_pct, {pick}(pct, annee) AS ref_pct,
   count(*) AS n_elections FROM recent GROUP BY departement, nuance)"""
 

@@ -219,17 +219,16 @@ def historical_trends(df: DataFrame, reference_year: str = "latest",
     """Per department and label, mean share over the years where the label
     is present (Q4), the reference-year share (Q3), and the election count.
 
-    The recent-window choice (F8) is made on the per-year shares, which are
-    bounded by departments x years x labels, so the window runs on small rows.
+    F8 chooses the window on the rows first (a department with any row from
+    ``since`` on keeps only those rows, even when their votes sum to 0), then
+    A16 computes the shares.  On a history summary (one row per department,
+    year and label) both steps run on rows bounded by the key space.
     """
-    shares = label_shares_by_year(df)
-    has_recent = F.max((F.col(S.YEAR) >= since).cast("int")).over(Window.partitionBy(S.DEPT))
-    recent = (shares.withColumn("__r", has_recent)
-                    .where((F.col("__r") == 0) | (F.col(S.YEAR) >= since)).drop("__r"))
-    pick = F.max_by if reference_year == "latest" else F.min_by
     if reference_year not in ("latest", "earliest"):
         raise ValueError("reference_year is 'latest' or 'earliest'")
-    return recent.groupBy(S.DEPT, S.LABEL).agg(
+    shares = label_shares_by_year(clean.recent_or_all(df, since))
+    pick = F.max_by if reference_year == "latest" else F.min_by
+    return shares.groupBy(S.DEPT, S.LABEL).agg(
         F.avg("pct").alias("avg_pct"),
         pick("pct", F.col(S.YEAR)).alias("ref_pct"),
         F.count(F.lit(1)).alias("n_elections"))

@@ -83,6 +83,7 @@ HIST = [
     (2012, 1, 9, "LR", 10), (2012, 1, 9, "DVD", 30),                       # history before 2017 only
     (2017, 1, 34, "ENS", 0), (2017, 1, 34, "RN", 0),                       # a year whose total is 0
     (2022, 1, 34, "ENS", 70), (2022, 1, 34, "FN", 30),
+    (2012, 1, 12, "LR", 50), (2017, 1, 12, "RN", 0),                       # only recent year sums to 0
 ]
 
 
@@ -105,16 +106,18 @@ def _pred(df):
 
 
 SCENS = [(31, 2027, 80.0, True), (31, 2022, 50.0, False), (9, 2025, 60.0, False),
-         (34, 2022, 70.0, True), (66, 2030, 54.0, False), (48, 2022, 75.5, False)]
+         (34, 2022, 70.0, True), (66, 2030, 54.0, False), (48, 2022, 75.5, False),
+         (12, 2022, 65.0, False)]
 
 
 @pytest.mark.parametrize("ref", ["latest", "earliest"])
 def test_trends_match_brute_force(spark, ref):
     got = {(r.departement, r.nuance): (r.avg_pct, r.ref_pct, r.n_elections)
            for r in A.historical_trends(_hist(spark, HIST), ref).collect()}
-    for dept in (31, 9, 34):
+    for dept in (31, 9, 34, 12):
         for lab, (a, rf, n) in bf_trends(HIST, dept, ref).items():
             assert got[(dept, lab)] == pytest.approx((a, rf, n))
+    assert not [k for k in got if k[0] == 12]  # recent rows exist but sum to 0: no trend
     # label present in one year only (Q4): ECO averages over its own year
     assert got[(31, "ECO")][2] == 1
 
