@@ -382,3 +382,49 @@ def key_union(spark, sf):
     h = summary(spark, sf)
     pred = P.predict_shares(P.prepare_scenarios(B.contest_scenarios(r, TD.TIEBREAK)), h)
     return J.key_union(pred, A.actual_shares(r))
+
+
+# -- R10 with the tested year left out of the history (decision Q22) -------------------------
+CHAIN_REST = CHAIN[CHAIN.index("rules(rule_id"):]
+
+FOLDED = f"""folds AS (SELECT DISTINCT annee AS test_year FROM scen),
+fhist AS (SELECT h.departement, h.annee, h.nuance, h.voix, f.test_year
+  FROM history h JOIN folds f ON h.annee <> f.test_year),
+frecent_rows AS (
+  SELECT * EXCLUDE (r) FROM (SELECT *, max(CASE WHEN annee >= {S.RECENT_YEAR} THEN 1 ELSE 0 END)
+    OVER (PARTITION BY test_year, departement) AS r FROM fhist) WHERE r = 0 OR annee >= {S.RECENT_YEAR}),
+frecent AS (
+  SELECT test_year, departement, annee, nuance, CAST(v AS DOUBLE) / t * 100 AS pct FROM (
+    SELECT test_year, departement, annee, nuance, sum(voix) AS v,
+      sum(sum(voix)) OVER (PARTITION BY test_year, departement, annee) AS t
+    FROM frecent_rows GROUP BY test_year, departement, annee, nuance) WHERE t > 0),
+ftrends AS (SELECT test_year, departement, nuance, avg(pct) AS avg_pct, arg_max(pct, annee) AS ref_pct
+  FROM frecent GROUP BY test_year, departement, nuance),
+frshares AS (
+  SELECT test_year, annee, nuance, CAST(v AS DOUBLE) / t * 100 AS pct FROM (
+    SELECT test_year, annee, nuance, sum(voix) AS v, sum(sum(voix)) OVER (PARTITION BY test_year, annee) AS t
+    FROM fhist WHERE departement IN ({REGION}) GROUP BY test_year, annee, nuance) WHERE t > 0),
+fregional AS (SELECT test_year, nuance, avg(pct) AS avg_pct FROM frshares GROUP BY test_year, nuance),
+base_dept AS (SELECT s.scenario_id, t.nuance,
+    greatest({S.BASE_SHARE_FLOOR}, t.avg_pct * {S.WEIGHT_MEAN} + t.ref_pct * {S.WEIGHT_REFERENCE}) AS base
+  FROM scen s JOIN ftrends t ON s.departement = t.departement AND s.annee = t.test_year),
+uncovered AS (SELECT scenario_id, annee AS test_year FROM scen
+  WHERE scenario_id NOT IN (SELECT scenario_id FROM base_dept)),
+fnh AS (SELECT test_year, count(*) AS n FROM fhist GROUP BY test_year),
+nl AS (SELECT count(*) AS n FROM labs),
+base_all AS (SELECT * FROM base_dept
+  UNION ALL SELECT u.scenario_id, r.nuance, r.avg_pct FROM uncovered u
+    JOIN fnh ON fnh.test_year = u.test_year JOIN fregional r ON r.test_year = u.test_year WHERE fnh.n > 0
+  UNION ALL SELECT u.scenario_id, l.nuance, CAST(100.0 AS DOUBLE) / nl.n FROM uncovered u
+    LEFT JOIN fnh ON fnh.test_year = u.test_year, labs l, nl WHERE coalesce(fnh.n, 0) = 0 AND nl.n > 0
+  UNION ALL SELECT u.scenario_id, '{S.ERROR_LABEL}', CAST(100.0 AS DOUBLE) FROM uncovered u
+    LEFT JOIN fnh ON fnh.test_year = u.test_year, nl WHERE coalesce(fnh.n, 0) = 0 AND nl.n = 0),
+{CHAIN_REST}"""
+
+
+@query("backtest_excluding_test_year", floats=BT_FLOATS, sql=on(
+    Q.BALLOTS, Q.TYPED, Q.ENRICHED, Q.RESULTS, Q.TYPED_CLEAN, Q.HISTORY, LABELS, CONTESTS, FOLDED, BT,
+    body="SELECT * FROM bt"))
+def backtest_excluding_test_year(spark, sf):
+    return B.backtest(I.results(spark, sf), history(spark, sf), tiebreak=TD.TIEBREAK, materialise=True,
+                      exclude_test_year=True)

@@ -215,9 +215,10 @@ def label_shares_by_year(df: DataFrame, by: Sequence[str] = (S.DEPT,)) -> DataFr
 
 
 def historical_trends(df: DataFrame, reference_year: str = "latest",
-                      since: int = S.RECENT_YEAR) -> DataFrame:
+                      since: int = S.RECENT_YEAR, extra_keys: Sequence[str] = ()) -> DataFrame:
     """Per department and label, mean share over the years where the label
-    is present (Q4), the reference-year share (Q3), and the election count.
+    is present (Q4), the reference-year share (Q3), and the election count
+    (per ``extra_keys`` group too, e.g. a backtest fold).
 
     F8 chooses the window on the rows first (a department with any row from
     ``since`` on keeps only those rows, even when their votes sum to 0), then
@@ -226,18 +227,21 @@ def historical_trends(df: DataFrame, reference_year: str = "latest",
     """
     if reference_year not in ("latest", "earliest"):
         raise ValueError("reference_year is 'latest' or 'earliest'")
-    shares = label_shares_by_year(clean.recent_or_all(df, since))
+    keys = [*extra_keys, S.DEPT]
+    shares = label_shares_by_year(clean.recent_or_all(df, since, keys), by=keys)
     pick = F.max_by if reference_year == "latest" else F.min_by
-    return shares.groupBy(S.DEPT, S.LABEL).agg(
+    return shares.groupBy(*keys, S.LABEL).agg(
         F.avg("pct").alias("avg_pct"),
         pick("pct", F.col(S.YEAR)).alias("ref_pct"),
         F.count(F.lit(1)).alias("n_elections"))
 
 
-def regional_trends(df: DataFrame, regions: Sequence[int] = S.REGION_DEPARTMENTS) -> DataFrame:
-    """Shares per year over the whole region, averaged per label."""
-    shares = label_shares_by_year(clean.in_region(df, regions), by=())
-    return shares.groupBy(S.LABEL).agg(F.avg("pct").alias("avg_pct"),
+def regional_trends(df: DataFrame, regions: Sequence[int] = S.REGION_DEPARTMENTS,
+                    extra_keys: Sequence[str] = ()) -> DataFrame:
+    """Shares per year over the whole region, averaged per label
+    (per ``extra_keys`` group, e.g. a backtest fold, when given)."""
+    shares = label_shares_by_year(clean.in_region(df, regions), by=list(extra_keys))
+    return shares.groupBy(*extra_keys, S.LABEL).agg(F.avg("pct").alias("avg_pct"),
                                        F.count(F.lit(1)).alias("n_elections"))
 
 

@@ -42,18 +42,34 @@ def contest_scenarios(results: DataFrame, tiebreak: Sequence[str] = (),
 
 def backtest(results: DataFrame, history: DataFrame, labels: DataFrame | None = None,
              reference_year: str = "latest", tiebreak: Sequence[str] = (),
-             urban: Sequence[int] = S.BACKTEST_URBAN_DEPARTMENTS, materialise: bool = False) -> DataFrame:
+             urban: Sequence[int] = S.BACKTEST_URBAN_DEPARTMENTS, materialise: bool = False,
+             exclude_test_year: bool = False) -> DataFrame:
     """Per contest and label, predicted and actual share, absolute error
     (each rounded to 2 decimals), relative error (null when the actual share
     is 0) and the error level.
 
     ``results`` is read by the scenario and the truth branches; when it is
     the deduplicated table (bounded by the contest x label key space) pass
-    ``materialise=True`` to checkpoint it once."""
+    ``materialise=True`` to checkpoint it once.
+
+    ``exclude_test_year`` (decision Q22): each contest is predicted from the
+    history without its own year.  The history summary is replicated once
+    per tested year other than its own (the replication factor is the number
+    of contest years); the known labels still come from the whole history."""
     if materialise:
         results = session.materialise(results)
     scen = P.prepare_scenarios(contest_scenarios(results, tiebreak, urban))
-    pred = P.predict_shares(scen, P.summarise_history(history, materialise=True), labels, reference_year)
+    summary = P.summarise_history(history, materialise=True)
+    if exclude_test_year:
+        labels = labels if labels is not None else P.known_labels(summary)
+        folds = scen.agg(F.array_sort(F.collect_set(S.YEAR)).alias("__folds"))  # one row, one per year
+        folded = (summary.crossJoin(F.broadcast(folds))
+                  .select("*", F.explode(F.filter("__folds", lambda f: f != F.col(S.YEAR))).alias("test_year"))
+                  .drop("__folds"))
+        scen_f = scen.withColumn("test_year", F.col(S.YEAR))
+        pred = P.predict_shares(scen_f, folded, labels, reference_year, fold="test_year")
+    else:
+        pred = P.predict_shares(scen, summary, labels, reference_year)
     actual = A.actual_shares(results).select(contest_id(), S.LABEL, "pct_reel")
     cmp = P.compare_shares(pred, actual, keys=["scenario_id"])
     err = F.abs(F.col("prediction") - F.col("reel"))

@@ -227,7 +227,8 @@ def validate(df: DataFrame, regions: Sequence[int] = S.REGION_DEPARTMENTS,
 
 
 # -- F8 / F9 / F10 -----------------------------------------------------------------
-def recent_or_all(df: DataFrame, since: int = S.RECENT_YEAR, by: str = S.DEPT) -> DataFrame:
+def recent_or_all(df: DataFrame, since: int = S.RECENT_YEAR,
+                  by: str | Sequence[str] = S.DEPT) -> DataFrame:
     """Per department: rows with year >= ``since``, or every row if none.
 
     The per-department flag is a partial aggregate (one row per department
@@ -235,7 +236,8 @@ def recent_or_all(df: DataFrame, since: int = S.RECENT_YEAR, by: str = S.DEPT) -
     raw rows, so a department holding a third of the data is still split
     across tasks.
     """
-    flags = df.groupBy(by).agg(F.max((F.col(S.YEAR) >= since).cast("int")).alias("__has_recent"))
+    by = [by] if isinstance(by, str) else list(by)
+    flags = df.groupBy(*by).agg(F.max((F.col(S.YEAR) >= since).cast("int")).alias("__has_recent"))
     out = df.join(flags, on=by, how="inner")
     return out.where((F.col("__has_recent") == 0) | (F.col(S.YEAR) >= since)).drop("__has_recent")
 

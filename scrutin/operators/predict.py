@@ -85,12 +85,13 @@ def prepare_scenarios(df: DataFrame, urban: Sequence[int] = S.BACKTEST_URBAN_DEP
 
 
 # -- R2 / R3 -------------------------------------------------------------------
-def base_shares(scenarios: DataFrame, trends: DataFrame) -> DataFrame:
+def base_shares(scenarios: DataFrame, trends: DataFrame, fold: str | None = None) -> DataFrame:
     """R2: max(0.5, 0.7 x mean share + 0.3 x reference share) per label of the
-    scenario's department."""
+    scenario's department (and of its fold when trends are per fold)."""
     base = F.greatest(F.lit(S.BASE_SHARE_FLOOR),
                       F.col("avg_pct") * S.WEIGHT_MEAN + F.col("ref_pct") * S.WEIGHT_REFERENCE)
-    return (scenarios.select("scenario_id", S.DEPT).join(trends, on=S.DEPT, how="inner")
+    keys = [S.DEPT] + ([fold] if fold else [])
+    return (scenarios.select("scenario_id", *keys).join(trends, on=keys, how="inner")
                      .select("scenario_id", S.LABEL, base.alias("base")))
 
 
@@ -99,30 +100,43 @@ def _pairs(label_col: F.Column, value_col: F.Column) -> F.Column:
 
 
 def base_with_fallback(scenarios: DataFrame, history: DataFrame, labels: DataFrame,
-                       trends: DataFrame) -> DataFrame:
+                       trends: DataFrame, fold: str | None = None) -> DataFrame:
     """Department trends; else the regional mean (no floor); else a
     uniform share over the known labels; else one 'Erreur' row of 100.
 
     The fallback inputs are one-row aggregates (history size, the regional
     shares as a list bounded by the label domain, the label list), attached
-    to the uncovered scenarios with a one-row cross join and exploded.
+    to the uncovered scenarios with a one-row cross join and exploded.  With
+    a ``fold`` column (history and scenarios carry it) they are one row per
+    fold instead, joined on the fold.
     """
-    dept = base_shares(scenarios, trends)
-    uncovered = (scenarios.select("scenario_id")
+    dept = base_shares(scenarios, trends, fold)
+    uncovered = (scenarios.select("scenario_id", *([fold] if fold else []))
                  .join(dept.select("scenario_id").distinct(), on="scenario_id", how="left_anti"))
-    regional = A.regional_trends(history)
     size = (F.sum("n_rows") if "n_rows" in history.columns else F.count(F.lit(1)))
-    ctx = (history.agg(F.coalesce(size, F.lit(0)).alias("n_hist"))
-           .crossJoin(regional.agg(F.collect_list(_pairs(F.col(S.LABEL), F.col("avg_pct"))).alias("reg")))
-           .crossJoin(labels.agg(F.collect_list(F.col(S.LABEL)).alias("labs"))))
+    labs = labels.agg(F.collect_list(F.col(S.LABEL)).alias("labs"))  # one row
+    if fold:
+        regional = A.regional_trends(history, extra_keys=[fold])
+        per_fold = (history.groupBy(fold).agg(size.alias("n_hist"))
+                    .join(regional.groupBy(fold).agg(
+                        F.collect_list(_pairs(F.col(S.LABEL), F.col("avg_pct"))).alias("reg")),
+                          on=fold, how="left"))
+        ctx_u = (uncovered.join(per_fold, on=fold, how="left").crossJoin(F.broadcast(labs))
+                 .withColumns({"n_hist": F.coalesce("n_hist", F.lit(0)),
+                               "reg": F.coalesce("reg", F.array().cast(per_fold.schema["reg"].dataType))}))
+    else:
+        regional = A.regional_trends(history)
+        ctx = (history.agg(F.coalesce(size, F.lit(0)).alias("n_hist"))
+               .crossJoin(regional.agg(F.collect_list(_pairs(F.col(S.LABEL), F.col("avg_pct"))).alias("reg")))
+               .crossJoin(labs))
+        ctx_u = uncovered.crossJoin(F.broadcast(ctx))
     n_labs = F.size("labs")
     uniform = F.transform("labs", lambda l: _pairs(l, F.lit(100.0) / n_labs))
     error = F.array(_pairs(F.lit(S.ERROR_LABEL), F.lit(100.0)))
     choice = (F.when(F.col("n_hist") > 0, F.col("reg"))
                .when(n_labs > 0, uniform)
                .otherwise(error))
-    fb = (uncovered.crossJoin(F.broadcast(ctx))
-          .select("scenario_id", F.explode(choice).alias("p"))
+    fb = (ctx_u.select("scenario_id", F.explode(choice).alias("p"))
           .select("scenario_id", F.col("p.nuance").alias(S.LABEL), F.col("p.v").alias("base")))
     return dept.unionByName(fb)
 
@@ -194,21 +208,29 @@ def keep_known(shares: DataFrame, labels: DataFrame) -> DataFrame:
 # -- R6 ----------------------------------------------------------------------
 def predict_shares(scenarios: DataFrame, history: DataFrame, labels: DataFrame | None = None,
                    reference_year: str = "latest", rules: DataFrame | None = None,
-                   trends: DataFrame | None = None, materialise: bool = True) -> DataFrame:
+                   trends: DataFrame | None = None, materialise: bool = True,
+                   fold: str | None = None) -> DataFrame:
     """Trends -> base with fallbacks -> context multipliers -> normalise ->
     known labels -> rank.  Output ``(scenario_id, nuance, pct, rang)``.
 
     The history summary feeds five branches; with ``materialise`` a raw
     history is summarised and checkpointed once (the summary is bounded by
     departments x years x labels).  A history that is already a summary
-    (see ``summarise_history``) is used as given: the caller owns it."""
+    (see ``summarise_history``) is used as given: the caller owns it.
+
+    ``fold``: name of a column carried by both the scenarios and the history
+    (e.g. the tested year of a leave-one-year-out backtest); trends and
+    fallbacks are then computed per fold value."""
     if "n_rows" not in history.columns:
         history = summarise_history(history)
         if materialise:
             history = session.materialise(history)
-    labels = labels if labels is not None else known_labels(history)
-    trends = trends if trends is not None else A.historical_trends(history, reference_year)
-    base = base_with_fallback(scenarios, history, labels, trends)
+    if labels is None:
+        labels = known_labels(history.select(S.LABEL).distinct() if fold else history)
+    extra = [fold] if fold else []
+    trends = trends if trends is not None else A.historical_trends(history, reference_year,
+                                                                    extra_keys=extra)
+    base = base_with_fallback(scenarios, history, labels, trends, fold)
     adjusted = context_adjust(base, scenarios, rules)
     shares = keep_known(normalise_shares(adjusted, scenarios), labels)
     return W.rank_predictions(shares)

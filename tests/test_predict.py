@@ -217,3 +217,29 @@ def test_rules_table_product(spark):
     assert got["RN"] == pytest.approx(10 * 1.4 * 1.1 * 1.2 * 1.2)
     assert got["XYZ"] == 10.0
 
+
+
+def test_backtest_excluding_test_year(spark):
+    results_rows = [
+        (2017, 1, 31, "RN", 200, 1000, 60.0), (2017, 1, 31, "LR", 100, 1000, 60.0),
+        (2022, 1, 31, "RN", 300, 1000, 70.0), (2022, 1, 31, "NUP", 150, 1000, 70.0),
+        (2022, 2, 34, "ENS", 70, 900, 80.0), (2022, 2, 34, "FN", 30, 900, 80.0),
+        (2012, 1, 9, "LR", 10, 500, 55.0),
+    ]
+    results = spark.createDataFrame(results_rows, "annee INT, tour INT, departement INT, nuance STRING, "
+                                                  "voix LONG, inscrits LONG, taux_participation DOUBLE")
+    bt = B.backtest(results, _hist(spark, HIST), exclude_test_year=True)
+    got = {}
+    for r in bt.where("has_pred").collect():
+        got.setdefault((r.annee, r.departement, r.tour), {})[r.nuance] = r.prediction_brute
+    labels = sorted({r[3] for r in HIST})
+    for (y, d, t) in {(r[0], r[2], r[1]) for r in results_rows}:
+        part = next(r[6] for r in sorted(results_rows, key=lambda r: -r[4]) if (r[0], r[2], r[1]) == (y, d, t))
+        want = bf_predict([h for h in HIST if h[0] != y], (d, y, part, d in (31, 34)), labels)
+        assert got[(y, d, t)].keys() == want.keys(), (y, d, t)
+        for k, v in want.items():
+            assert got[(y, d, t)][k] == pytest.approx(v)
+    # with the year kept (as coded) the 2022 contest of 31 differs
+    kept = {r.nuance: r.prediction_brute for r in B.backtest(results, _hist(spark, HIST))
+            .where("has_pred AND annee = 2022 AND departement = 31").collect()}
+    assert kept != got[(2022, 31, 1)]
