@@ -60,9 +60,13 @@ def best_and_worst(df: DataFrame, by: Sequence[str], error: str = "ecart",
 
 
 def final_order(df: DataFrame) -> DataFrame:
-    """Year, round, department ascending, votes descending."""
-    from scrutin.plans.preprocess import final_order as _fo
-    return _fo(df)
+    """Year, round, department ascending, votes descending (the columns
+    present; a range-partitioned sort, used only on bounded results)."""
+    keys = []
+    for c, desc in ((S.YEAR, False), (S.ROUND, False), (S.DEPT, False), (S.VOTES, True)):
+        if c in df.columns:
+            keys.append(F.col(c).desc() if desc else F.col(c).asc())
+    return df.orderBy(*keys) if keys else df
 
 
 def scan_order_limit(df: DataFrame, n: int = 10000, tiebreak: Sequence[str] = ()) -> DataFrame:

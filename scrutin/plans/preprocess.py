@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from scrutin import schema as S
 from scrutin.operators import clean, enrich
+from scrutin.operators import ordering as W
 
 
 def clean_columns(df: DataFrame) -> DataFrame:
@@ -36,13 +37,7 @@ def validated(df: DataFrame, regions: Sequence[int] = S.REGION_DEPARTMENTS,
     return enrich.with_rates(enrich_rows(df, urban))
 
 
-def final_order(df: DataFrame) -> DataFrame:
-    """Year, round, department ascending, votes descending."""
-    keys = []
-    for c, desc in ((S.YEAR, False), (S.ROUND, False), (S.DEPT, False), (S.VOTES, True)):
-        if c in df.columns:
-            keys.append(F.col(c).desc() if desc else F.col(c).asc())
-    return df.orderBy(*keys) if keys else df
+final_order = W.final_order
 
 
 def preprocess(df: DataFrame, tiebreak: Sequence[str] | None = None,
