@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation
-from pyspark.sql import functions as F
 
 from scrutin import schema as S
 from scrutin.operators import clean, enrich
