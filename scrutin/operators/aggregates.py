@@ -180,18 +180,18 @@ def top_correlations(df: DataFrame, columns: Sequence[str] | None = None, k: int
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     """Counts per equal-width bin over [min, max]; the max falls in the last bin.
 
-    min/max come from a one-row aggregate attached by a broadcast cross join.
+    min and max are scalar subqueries (one merged aggregate), so the binning
+    is a plain projection followed by a partial aggregate.
     """
     x = F.col(column).cast("double")
-    rng = df.agg(F.min(x).alias("__lo"), F.max(x).alias("__hi"))
-    j = df.where(x.isNotNull()).crossJoin(F.broadcast(rng))
-    width = (F.col("__hi") - F.col("__lo")) / bins
-    raw = F.when(width > 0, F.floor((x - F.col("__lo")) / width)).otherwise(F.lit(0))
+    lo = df.agg(F.min(x)).scalar()
+    hi = df.agg(F.max(x)).scalar()
+    width = (hi - lo) / bins
+    raw = F.when(width > 0, F.floor((x - lo) / width)).otherwise(F.lit(0))
     b = F.least(raw, F.lit(bins - 1)).cast("int")
-    out = j.withColumn("bin", b).groupBy("bin", "__lo", "__hi").agg(F.count(F.lit(1)).alias("n"))
-    w = (F.col("__hi") - F.col("__lo")) / bins
-    return out.select("bin", (F.col("__lo") + F.col("bin") * w).alias("bin_start"),
-                      (F.col("__lo") + (F.col("bin") + 1) * w).alias("bin_end"), "n")
+    out = df.where(x.isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    return out.select("bin", (lo + F.col("bin") * width).alias("bin_start"),
+                      (lo + (F.col("bin") + 1) * width).alias("bin_end"), "n")
 
 
 # -- A15 / A16 / A17 / A18 -------------------------------------------------------------

@@ -62,10 +62,9 @@ def backtest(results: DataFrame, history: DataFrame, labels: DataFrame | None =
     summary = P.summarise_history(history, materialise=True)
     if exclude_test_year:
         labels = labels if labels is not None else P.known_labels(summary)
-        folds = scen.agg(F.array_sort(F.collect_set(S.YEAR)).alias("__folds"))  # one row, one per year
-        folded = (summary.crossJoin(F.broadcast(folds))
-                  .select("*", F.explode(F.filter("__folds", lambda f: f != F.col(S.YEAR))).alias("test_year"))
-                  .drop("__folds"))
+        folds = scen.agg(F.array_sort(F.collect_set(S.YEAR))).scalar()  # the contest years
+        folded = (summary.select("*", F.explode(folds).alias("test_year"))
+                  .where(F.col("test_year") != F.col(S.YEAR)))
         scen_f = scen.withColumn("test_year", F.col(S.YEAR))
         pred = P.predict_shares(scen_f, folded, labels, reference_year, fold="test_year")
     else:

@@ -91,39 +91,36 @@ def default_rate_bounds(df: DataFrame) -> dict[str, tuple[float, float]]:
 def impute_median(df: DataFrame, columns: Sequence[str], approx: bool = False) -> DataFrame:
     """Replace nulls by the column median.
 
-    All medians come from one aggregate whose result is a single row; it is
-    attached with a cross join of that one row, so nothing reaches the driver.
+    Each median is a scalar subquery; Spark merges them into one aggregate
+    over the input and inlines the one-row result (no join, nothing through
+    the driver).
     """
     columns = [c for c in columns if c in df.columns]
     if not columns:
         return df
     agg = F.percentile_approx if approx else (lambda c, p: F.percentile(c, p))
-    med = df.agg(*[agg(F.col(c).cast("double"), 0.5).alias(f"__med_{c}") for c in columns])
-    out = df.crossJoin(F.broadcast(med))
-    cast_back = {c: F.coalesce(F.col(c), F.col(f"__med_{c}").cast(df.schema[c].dataType))
-                 for c in columns}
-    return out.withColumns(cast_back).drop(*[f"__med_{c}" for c in columns])
+    fill = {c: F.coalesce(F.col(c), df.agg(agg(F.col(c).cast("double"), 0.5)).scalar()
+                          .cast(df.schema[c].dataType)) for c in columns}
+    return df.withColumns(fill)
 
 
 def winsorize(df: DataFrame, columns: Sequence[str], lower: float = 0.01,
               upper: float = 0.99, approx: bool = False) -> DataFrame:
     """Clip each column to its own ``lower``/``upper`` quantiles (linear
-    interpolation, like pandas).  One aggregate for all bounds."""
+    interpolation, like pandas).  The bounds are scalar subqueries that Spark
+    merges into one aggregate over the input."""
     columns = [c for c in columns if c in df.columns]
     if not columns:
         return df
     q = F.percentile_approx if approx else (lambda c, p: F.percentile(c, p))
-    bounds = df.agg(*[e for c in columns for e in (
-        q(F.col(c).cast("double"), lower).alias(f"__lo_{c}"),
-        q(F.col(c).cast("double"), upper).alias(f"__hi_{c}"))])
-    out = df.crossJoin(F.broadcast(bounds))
     clipped = {}
     for c in columns:
-        x, lo, hi = F.col(c).cast("double"), F.col(f"__lo_{c}"), F.col(f"__hi_{c}")
+        x = F.col(c).cast("double")
+        lo = df.agg(q(x, lower)).scalar()   # scalar subqueries, merged into one
+        hi = df.agg(q(x, upper)).scalar()   # aggregate by the optimizer
         # pandas returns floats once float bounds are applied: keep double.
         clipped[c] = F.when(x < lo, lo).when(x > hi, hi).otherwise(x)
-    drop = [f"__{s}_{c}" for c in columns for s in ("lo", "hi")]
-    return out.withColumns(clipped).drop(*drop)
+    return df.withColumns(clipped)
 
 
 def drop_empty_rows(df: DataFrame) -> DataFrame:

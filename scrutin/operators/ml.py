@@ -99,14 +99,13 @@ def standardise(df: DataFrame, columns: Sequence[str], stats: DataFrame | None =
     """M3: (x - mean) / population std (a zero std leaves the scale at 1), with
     statistics fitted on ``stats`` (e.g. the training rows) or on ``df``."""
     stats = stats if stats is not None else scaler_stats(df, columns)
-    j = df.crossJoin(F.broadcast(stats))  # one row
     out = {}
     for c in columns:
-        sd = F.col(f"__sd_{c}")
+        mu = stats.select(f"__mu_{c}").scalar()   # one-row statistics as scalar subqueries
+        sd = stats.select(f"__sd_{c}").scalar()
         scale = F.when(sd.isNull() | (sd == 0), F.lit(1.0)).otherwise(sd)
-        out[c] = (F.col(c) - F.col(f"__mu_{c}")) / scale
-    drop = [f"__{k}_{c}" for c in columns for k in ("mu", "sd")]
-    return j.withColumns(out).drop(*drop)
+        out[c] = (F.col(c) - mu) / scale
+    return df.withColumns(out)
 
 
 # -- M4 / M5 -------------------------------------------------------------------
@@ -252,7 +251,7 @@ def save_models(artifacts: dict, results: DataFrame, path: str) -> None:
     meta = spark.createDataFrame(
         [(artifacts["best"], ",".join(artifacts["features"]), ",".join(artifacts["classes"]))],
         "best_model_name STRING, features STRING, classes STRING")
-    meta = meta.crossJoin(best_acc.agg(F.max("accuracy").alias("best_score")))
+    meta = meta.withColumn("best_score", best_acc.agg(F.max("accuracy")).scalar())
     meta.write.mode("overwrite").parquet(f"{path}/metadata")
     results.write.mode("overwrite").parquet(f"{path}/results")
 
@@ -276,11 +275,12 @@ def confusion_matrix(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     pair grid is classes x classes."""
     counts = df.groupBy(actual, predicted).agg(F.count(F.lit(1)).alias("n"))
     classes = (df.select(F.col(actual).alias("c")).union(df.select(F.col(predicted).alias("c")))
-                 .where(F.col("c").isNotNull()).distinct())
-    grid = classes.withColumnRenamed("c", actual).crossJoin(
-        F.broadcast(classes.withColumnRenamed("c", predicted)))
-    return (grid.join(counts, on=[actual, predicted], how="left")
-                .withColumn("n", F.coalesce("n", F.lit(0)).cast("long")))
+                 .where(F.col("c").isNotNull()).agg(F.array_sort(F.collect_set("c"))).scalar())
+    seen = counts.select(actual, predicted)
+    pairs = (seen.limit(1).select(F.explode(classes).alias(actual))
+             .select(actual, F.explode(classes).alias(predicted)))   # the classes x classes grid
+    return (pairs.join(counts, on=[actual, predicted], how="left")
+                 .withColumn("n", F.coalesce("n", F.lit(0)).cast("long")))
 
 
 def roc_curve(df: DataFrame, label: str, score_col: str) -> DataFrame:
@@ -289,13 +289,12 @@ def roc_curve(df: DataFrame, label: str, score_col: str) -> DataFrame:
     (partial aggregation); the running sums run over that table."""
     per = df.groupBy(score_col).agg(F.sum(F.col(label).cast("long")).alias("__p"),
                                     F.sum((1 - F.col(label)).cast("long")).alias("__n"))
-    tot = per.agg(F.sum("__p").alias("__tp"), F.sum("__n").alias("__tn"))
+    tp = per.agg(F.sum("__p")).scalar()
+    tn = per.agg(F.sum("__n")).scalar()
     w = Window.orderBy(F.col(score_col).desc()).rowsBetween(Window.unboundedPreceding, 0)
     cum = per.select(score_col, F.sum("__p").over(w).alias("__cp"), F.sum("__n").over(w).alias("__cn"))
-    j = cum.crossJoin(F.broadcast(tot))
-    pts = j.select(F.col(score_col).cast("double").alias("threshold"),
-                   (F.col("__cn") / F.col("__tn")).alias("fpr"),
-                   (F.col("__cp") / F.col("__tp")).alias("tpr"))
+    pts = cum.select(F.col(score_col).cast("double").alias("threshold"),
+                     (F.col("__cn") / tn).alias("fpr"), (F.col("__cp") / tp).alias("tpr"))
     start = df.sparkSession.createDataFrame([(float("inf"), 0.0, 0.0)], "threshold DOUBLE, fpr DOUBLE, tpr DOUBLE")
     return start.unionByName(pts)
 

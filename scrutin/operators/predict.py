@@ -104,34 +104,36 @@ def base_with_fallback(scenarios: DataFrame, history: DataFrame, labels: DataFra
     """Department trends; else the regional mean (no floor); else a
     uniform share over the known labels; else one 'Erreur' row of 100.
 
-    The fallback inputs are one-row aggregates (history size, the regional
-    shares as a list bounded by the label domain, the label list), attached
-    to the uncovered scenarios with a one-row cross join and exploded.  With
-    a ``fold`` column (history and scenarios carry it) they are one row per
-    fold instead, joined on the fold.
+    The fallback inputs are scalar subqueries (history size, the regional
+    shares as a list bounded by the label domain, the label list) attached
+    to the uncovered scenarios and exploded.  With a ``fold`` column (history
+    and scenarios carry it) size and regional shares are one row per fold,
+    joined on the fold.
     """
     dept = base_shares(scenarios, trends, fold)
     uncovered = (scenarios.select("scenario_id", *([fold] if fold else []))
                  .join(dept.select("scenario_id").distinct(), on="scenario_id", how="left_anti"))
     size = (F.sum("n_rows") if "n_rows" in history.columns else F.count(F.lit(1)))
-    labs = labels.agg(F.collect_list(F.col(S.LABEL)).alias("labs"))  # one row
+    labs = labels.agg(F.collect_list(F.col(S.LABEL))).scalar()  # the label list (label domain)
     if fold:
         regional = A.regional_trends(history, extra_keys=[fold])
         per_fold = (history.groupBy(fold).agg(size.alias("n_hist"))
                     .join(regional.groupBy(fold).agg(
                         F.collect_list(_pairs(F.col(S.LABEL), F.col("avg_pct"))).alias("reg")),
                           on=fold, how="left"))
-        ctx_u = (uncovered.join(per_fold, on=fold, how="left").crossJoin(F.broadcast(labs))
+        ctx_u = (uncovered.join(per_fold, on=fold, how="left")
                  .withColumns({"n_hist": F.coalesce("n_hist", F.lit(0)),
-                               "reg": F.coalesce("reg", F.array().cast(per_fold.schema["reg"].dataType))}))
+                               "reg": F.coalesce("reg", F.array().cast(per_fold.schema["reg"].dataType)),
+                               "labs": labs}))
     else:
         regional = A.regional_trends(history)
-        ctx = (history.agg(F.coalesce(size, F.lit(0)).alias("n_hist"))
-               .crossJoin(regional.agg(F.collect_list(_pairs(F.col(S.LABEL), F.col("avg_pct"))).alias("reg")))
-               .crossJoin(labs))
-        ctx_u = uncovered.crossJoin(F.broadcast(ctx))
+        reg = regional.agg(F.collect_list(_pairs(F.col(S.LABEL), F.col("avg_pct")))).scalar()
+        ctx_u = uncovered.withColumns({"n_hist": F.coalesce(history.agg(size).scalar(), F.lit(0)),
+                                       "reg": reg, "labs": labs})
     n_labs = F.size("labs")
-    uniform = F.transform("labs", lambda l: _pairs(l, F.lit(100.0) / n_labs))
+    # labels zipped with 100 / n (no higher-order function: the list is a subquery)
+    uniform = F.arrays_zip(F.col("labs"), F.array_repeat(F.lit(100.0) / n_labs, n_labs)) \
+               .cast("array<struct<nuance:string,v:double>>")
     error = F.array(_pairs(F.lit(S.ERROR_LABEL), F.lit(100.0)))
     choice = (F.when(F.col("n_hist") > 0, F.col("reg"))
                .when(n_labs > 0, uniform)
@@ -200,9 +202,9 @@ def normalise_shares(adjusted: DataFrame, scenarios: DataFrame, value: str = "ad
 def keep_known(shares: DataFrame, labels: DataFrame) -> DataFrame:
     """Keep labels present in the known list; keep all when the list is empty."""
     flag = labels.select(S.LABEL).distinct().withColumn("__known", F.lit(True))
-    n = labels.agg(F.count(F.lit(1)).alias("__n"))
-    j = shares.join(flag, on=S.LABEL, how="left").crossJoin(F.broadcast(n))
-    return j.where(F.col("__known").isNotNull() | (F.col("__n") == 0)).drop("__known", "__n")
+    n = labels.agg(F.count(F.lit(1))).scalar()
+    j = shares.join(flag, on=S.LABEL, how="left")
+    return j.where(F.col("__known").isNotNull() | (n == 0)).drop("__known")
 
 
 # -- R6 ----------------------------------------------------------------------
@@ -290,8 +292,8 @@ def history_info(history: DataFrame, metadata: DataFrame | None = None) -> DataF
     """Model name, accuracy, history rows, years covered, department count."""
     info = history.agg(F.count(F.lit(1)).alias("data_points"))
     if metadata is not None:
-        m = metadata.select(F.col("best_model_name").alias("__name"), F.col("best_score").alias("__acc"))
-        info = info.crossJoin(F.broadcast(m.limit(1)))
+        info = info.withColumns({"__name": metadata.select("best_model_name").limit(1).scalar(),
+                                 "__acc": metadata.select(F.col("best_score").cast("double")).limit(1).scalar()})
     else:
         info = info.withColumns({"__name": F.lit(None).cast("string"), "__acc": F.lit(None).cast("double")})
     return info.select(
