@@ -29,11 +29,12 @@ def read_jdbc(spark: SparkSession, url: str, table: str | None = None,
               properties: Mapping[str, str] | None = None,
               regions: Sequence[int] | None = S.REGION_DEPARTMENTS,
               years: Sequence[int] | None = None, rounds: Sequence[int] | None = None,
+              min_year: int | None = None,
               partition_column: str | None = None, lower_bound: int | None = None,
               upper_bound: int | None = None, num_partitions: int | None = None,
               table_names: Sequence[str] | None = None) -> DataFrame:
     """Resolved columns of the ballots table, filtered to the region,
-    years and rounds.  Filters are applied after resolution on the typed
+    years (a list, or every year from ``min_year``) and rounds.  Filters are applied after resolution on the typed
     department code (decision Q26) and are pushed to the database."""
     props = dict(properties or {})
     if table is None:
@@ -50,6 +51,8 @@ def read_jdbc(spark: SparkSession, url: str, table: str | None = None,
         df = df.where(F.col(S.DEPT).cast("int").isin(list(regions)))
     if years:
         df = df.where(F.col(S.YEAR).isin(list(years)))
+    if min_year is not None:  # the history scan: every year from min_year on
+        df = df.where(F.col(S.YEAR) >= min_year)
     if rounds:
         df = df.where(F.col(S.ROUND).isin(list(rounds)))
     return df

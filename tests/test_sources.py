@@ -53,6 +53,10 @@ def test_jdbc_derby_pushdown(spark):
     want = sorted(v for (_, y, t, d, _, v) in rows if y == 2022 and t == 2 and d in (9, 31))
     assert got == want and df.rdd.getNumPartitions() == 3
     assert "RESULTATSLEGI" in jdbc.list_tables(spark, url, props)
+    hist = jdbc.read_jdbc(spark, url, "RESULTATSLEGI", props, min_year=2020)
+    leaf = hist._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    assert "GreaterThanOrEqual(ANNEE,2020)" in leaf.metadata().get("PushedFilters").get().replace(" ", "")
+    assert hist.count() == sum(1 for r in rows if r[1] >= 2020 and r[3] in (9, 31))
 
 
 def test_csv_round_trip_and_datasets(spark):
