@@ -191,6 +191,21 @@ def histogram(spark, sf):
     return A.histogram(I.results(spark, sf), "taux_participation", 20)
 
 
+HIST_AUTO_SQL = """SELECT * FROM (WITH rng AS (SELECT min(CAST(pct_exprimes AS DOUBLE)) AS lo,
+  max(CAST(pct_exprimes AS DOUBLE)) AS hi,
+  greatest(ceil(log2(count(pct_exprimes))) + 1, 1) AS k FROM results),
+b AS (SELECT CAST(least(CASE WHEN (hi - lo) / k > 0
+        THEN floor((CAST(pct_exprimes AS DOUBLE) - lo) / ((hi - lo) / k)) ELSE 0 END, k - 1) AS INTEGER) AS bin,
+      lo, hi, k FROM results, rng WHERE pct_exprimes IS NOT NULL)
+SELECT bin, lo + bin * ((hi - lo) / k) AS bin_start, lo + (bin + 1) * ((hi - lo) / k) AS bin_end,
+  count(*) AS n FROM b GROUP BY bin, lo, hi, k)"""
+
+
+@query("histogram_auto_bins", floats=["bin_start", "bin_end"], sql=on_results(HIST_AUTO_SQL))
+def histogram_auto_bins(spark, sf):
+    return A.histogram(I.results(spark, sf), "pct_exprimes", None)
+
+
 @query("actual_shares", floats=["pct_reel"], sql=on_results("""SELECT annee, departement, tour, nuance,
   CASE WHEN t > 0 THEN CAST(v AS DOUBLE) / t * 100 ELSE 0.0 END AS pct_reel
 FROM (SELECT annee, departement, tour, nuance, sum(voix) AS v,

@@ -177,18 +177,22 @@ def top_correlations(df: DataFrame, columns: Sequence[str] | None = None, k: int
 
 
 # -- A14 ---------------------------------------------------------------------
-def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
+def histogram(df: DataFrame, column: str, bins: int | None = 20) -> DataFrame:
     """Counts per equal-width bin over [min, max]; the max falls in the last bin.
 
-    min and max are scalar subqueries (one merged aggregate), so the binning
-    is a plain projection followed by a partial aggregate.
+    ``bins=None`` picks the count automatically with Sturges' rule,
+    ceil(log2(n)) + 1 over the non-null values.  min, max (and n) are scalar
+    subqueries (one merged aggregate), so the binning is a plain projection
+    followed by a partial aggregate.
     """
     x = F.col(column).cast("double")
     lo = df.agg(F.min(x)).scalar()
     hi = df.agg(F.max(x)).scalar()
-    width = (hi - lo) / bins
+    k = (F.lit(bins) if bins is not None
+         else F.greatest(F.ceil(F.log2(df.agg(F.count(x)).scalar())) + 1, F.lit(1)))
+    width = (hi - lo) / k
     raw = F.when(width > 0, F.floor((x - lo) / width)).otherwise(F.lit(0))
-    b = F.least(raw, F.lit(bins - 1)).cast("int")
+    b = F.least(raw, k - 1).cast("int")
     out = df.where(x.isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     return out.select("bin", (lo + F.col("bin") * width).alias("bin_start"),
                       (lo + (F.col("bin") + 1) * width).alias("bin_end"), "n")
