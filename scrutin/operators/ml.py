@@ -216,15 +216,17 @@ def model_table(spark: SparkSession, rows: list[tuple], best: str | None = None,
 
 
 # -- M9 / M10 / M11 -----------------------------------------------------------------
-def feature_importance(model: PipelineModel, features: Sequence[str]) -> DataFrame:
+def feature_importance(model: PipelineModel, features: Sequence[str], top: int | None = None) -> DataFrame:
     """M9: (feature, importance) descending, from the fitted forest (a vector
-    of one value per feature)."""
+    of one value per feature); ``top`` keeps the first ones (the dashboard
+    shows 10)."""
     forest = model.stages[-1]
     imp = forest.featureImportances.toArray().tolist()
     spark = SparkSession.getActiveSession()
     rows = [(f, float(v)) for f, v in zip(features, imp)]
-    return spark.createDataFrame(rows, "feature STRING, importance DOUBLE") \
-                .orderBy(F.col("importance").desc(), F.col("feature"))
+    out = spark.createDataFrame(rows, "feature STRING, importance DOUBLE") \
+               .orderBy(F.col("importance").desc(), F.col("feature"))
+    return out.limit(top) if top else out
 
 
 def score(df: DataFrame, model: PipelineModel, classes: Sequence[str]) -> DataFrame:
