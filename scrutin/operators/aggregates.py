@@ -253,9 +253,13 @@ def regional_trends(df: DataFrame, regions: Sequence[int] = S.REGION_DEPARTMENTS
 
 
 # -- A19 / A20 / A21 ------------------------------------------------------------------
-def distinct_labels(df: DataFrame, column: str = S.LABEL) -> DataFrame:
+def distinct_labels(df: DataFrame, column: str = S.LABEL, sort: bool = True) -> DataFrame:
+    """Non-null, non-blank labels, sorted (``sort=False`` for internal
+    use, where the order does not matter and a global sort would only add a
+    sampling job and a shuffle)."""
     c = F.col(column)
-    return (df.select(c).where(c.isNotNull() & (X.strip(c) != "")).distinct().orderBy(column))
+    out = df.select(c).where(c.isNotNull() & (X.strip(c) != "")).distinct()
+    return out.orderBy(column) if sort else out
 
 
 def compare_tables(left: DataFrame, right: DataFrame, approx: bool = False) -> DataFrame:

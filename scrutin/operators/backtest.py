@@ -61,7 +61,7 @@ def backtest(results: DataFrame, history: DataFrame, labels: DataFrame | None =
     scen = P.prepare_scenarios(contest_scenarios(results, tiebreak, urban))
     summary = P.summarise_history(history, materialise=True)
     if exclude_test_year:
-        labels = labels if labels is not None else P.known_labels(summary)
+        labels = labels if labels is not None else P.known_labels(summary, sort=False)
         folds = scen.agg(F.array_sort(F.collect_set(S.YEAR))).scalar()  # the contest years
         folded = (summary.select("*", F.explode(folds).alias("test_year"))
                   .where(F.col("test_year") != F.col(S.YEAR)))

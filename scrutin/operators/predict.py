@@ -48,9 +48,9 @@ def summarise_history(history: DataFrame, materialise: bool = False) -> DataFram
     return session.materialise(out) if materialise else out
 
 
-def known_labels(history: DataFrame) -> DataFrame:
-    """Sorted, non-null, non-blank labels of the history."""
-    return A.distinct_labels(history)
+def known_labels(history: DataFrame, sort: bool = True) -> DataFrame:
+    """Non-null, non-blank labels of the history (A19), sorted by default."""
+    return A.distinct_labels(history, sort=sort)
 
 
 # -- R1 ----------------------------------------------------------------------
@@ -228,7 +228,7 @@ def predict_shares(scenarios: DataFrame, history: DataFrame, labels: DataFrame |
         if materialise:
             history = session.materialise(history)
     if labels is None:
-        labels = known_labels(history.select(S.LABEL).distinct() if fold else history)
+        labels = known_labels(history, sort=False)
     extra = [fold] if fold else []
     trends = trends if trends is not None else A.historical_trends(history, reference_year,
                                                                     extra_keys=extra)
