@@ -10,11 +10,13 @@ bands; candidate pairs are then verified exactly: a link is a Jaccard
 similarity of at least 0.8 between the shingle sets of the whole texts.
 
 Equal texts are one node.  Within a bucket of a band every member is compared
-with the hub (the member that meets most others over all its buckets), and
-after the links are joined to components, all members that are still outside
-the bucket's largest component are compared with the members of every other
-component.  So no candidate link between components is left unverified, and no
-bucket is turned into all its pairs.
+with the hub (the member that meets most others over all its buckets), and the
+links are joined to components.  While many members are outside the largest
+component of their bucket, each of them is compared with one member of that
+component per bucket, a new one in each turn.  Last, all members that are still
+outside are compared with the members of every other component.  So no
+candidate link between components is left unverified, and no bucket is turned
+into all its pairs.
 
 Defined cases: null and empty texts are equal texts and one group; a text
 without words is grouped with equal texts only; repeated rows and ties keep
@@ -41,6 +43,8 @@ THRESHOLD = 0.8
 #: Candidates whose coordinates agree in a smaller share are not verified; with
 #: 130 coordinates a pair at 0.8 falls below it with a probability under 1e-6.
 LEAST_AGREEMENT = 0.55
+#: Turns of comparing the outsiders of a bucket with one member of its largest component.
+TURNS = 5
 _SEEDS = tuple(np.uint64(x) for x in (0x9FB21C651E98DF25, 0xD2B74407B1CE6E93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB))
 
 
@@ -175,55 +179,75 @@ def components(edges: DataFrame) -> DataFrame:
         e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
-def near_links(nodes: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame | None]:
-    """Verified links (a, b, similarity) between ``nodes`` (node, doc_id,
-    node_key, bands, signature) and the components that they make."""
+def near_links(nodes: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+    """Verified links (a, b) between ``nodes`` (node, doc_id, node_key, bands,
+    signature) and the components (node, component) that they make."""
     spread = nodes.select("node", F.explode("bands").alias("band"))
     sizes = spread.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     members = stored(spread.join(sizes, "band").select("band", "node", "n"), "buckets")
     degree = members.groupBy("node").agg(F.sum("n").alias("degree"))
     members = stored(members.join(degree, "node").select("band", "node", "degree"), "members")
+    used = nodes.join(degree, "node", "left_semi").select("node", "doc_id", "node_key", "signature")
+    t = texts.join(used, texts["node_key"].eqNullSafe(used["node_key"]) & texts["doc_id"].eqNullSafe(used["doc_id"]))
+    used = stored(t.select("node", "signature", "text").dropDuplicates(["node"]), "texts")
+    total = members.count()
+
     hubs = members.groupBy("band").agg(F.min(F.struct(-F.col("degree"), F.col("node").alias("node")))["node"].alias("hub"))
-    star = (members.join(hubs, "band").where("node <> hub")
-            .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct())
-    known = stored(verify(star, nodes, texts), "links")
-    links = known.where(F.col("similarity") >= threshold)
-    if links.isEmpty() and members.isEmpty():
-        return links, None
-    part = components(links.select("a", "b"))
+    star = members.join(hubs, "band").where("node <> hub")
+    known = stored(verify(pairs(star, "node", "hub"), used), "links")
+    part = components(known.where(F.col("similarity") >= threshold).select("a", "b"))
+    for turn in range(TURNS):
+        placed, minor, crossing = _outside(members, part)
+        if crossing <= 2 * total:
+            break
+        # one member of the bucket's largest component, another in each bucket and turn
+        one = (placed.where("component = largest").groupBy("band", "largest")
+               .agg(F.min(F.struct(F.xxhash64("node", "band", F.lit(turn)), F.col("node").alias("node")))["node"].alias("hub")))
+        star = pairs(minor.join(one, "band"), "x", "hub").join(known.select("a", "b"), ["a", "b"], "left_anti")
+        found = stored(verify(star, used), "links")
+        known = known.union(found)
+        found = found.where(F.col("similarity") >= threshold)
+        if found.isEmpty():
+            break
+        part = components(part.where("node <> component").toDF("a", "b").union(found.select("a", "b")))
+    placed, minor, crossing = _outside(members, part)
+    if crossing:
+        rest = minor.join(placed.select("band", "node", "component"), "band").where("cx <> component")
+        rest = pairs(rest, "x", "node").join(known.select("a", "b"), ["a", "b"], "left_anti")
+        found = stored(verify(rest, used), "links")
+        known = known.union(found)
+        found = found.where(F.col("similarity") >= threshold)
+        if not found.isEmpty():
+            part = components(part.where("node <> component").toDF("a", "b").union(found.select("a", "b")))
+    return known.where(F.col("similarity") >= threshold).select("a", "b"), part
+
+
+def pairs(df: DataFrame, x: str, y: str) -> DataFrame:
+    return df.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
+
+
+def _outside(members: DataFrame, part: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """The members of buckets that hold several components, those of them
+    outside the bucket's largest, and how many rows a join of the two makes."""
     placed = stored(members.join(part, "node", "left")
                     .select("band", "node", F.coalesce("component", "node").alias("component")), "placed")
     largest = (placed.groupBy("band", "component").agg(F.count("*").alias("n"))
                .groupBy("band").agg(F.min(F.struct(-F.col("n"), F.col("component").alias("component")))["component"].alias("largest"),
-                                    F.count("*").alias("parts")).where("parts > 1"))
-    minor = (placed.join(largest, "band").where(F.col("component") != F.col("largest"))
+                                    F.max("n").alias("most"), F.sum("n").alias("n"), F.count("*").alias("parts")).where("parts > 1"))
+    crossing = largest.agg(F.sum(F.expr("(n - most) * n"))).first()[0] or 0
+    placed = placed.join(largest.select("band", "largest"), "band")
+    minor = (placed.where("component <> largest")
              .select("band", F.col("node").alias("x"), F.col("component").alias("cx")))
-    open_ = placed.join(largest.select("band"), "band", "left_semi")
-    rest = (minor.join(open_, "band").where("cx <> component")
-            .select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
-            .join(known.select("a", "b"), ["a", "b"], "left_anti"))
-    more = stored(verify(rest, nodes, texts), "links").where(F.col("similarity") >= threshold)
-    if more.isEmpty():
-        return links, part
-    links = links.union(more)
-    return links, components(links.select("a", "b"))
-
-
-def verify(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    return placed, minor, int(crossing)
+
+
+def verify(candidates: DataFrame, used: DataFrame) -> DataFrame:
     """(a, b, similarity) of the candidate pairs whose signatures agree enough,
-    from the whole texts of both (``texts``: doc_id, node_key, text)."""
-    sig = nodes.select("node", "signature")
-    near = stored(
-        pairs.join(sig.select(F.col("node").alias("a"), F.col("signature").alias("sa")), "a")
-        .join(sig.select(F.col("node").alias("b"), F.col("signature").alias("sb")), "b")
-        .select("a", "b", "sa", "sb").mapInArrow(_agree, "a long, b long"), "near")
-    used = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
-    named = nodes.join(used, "node", "left_semi").select("node", "doc_id", "node_key")
-    t = (texts.join(named, texts["node_key"].eqNullSafe(named["node_key"]) & texts["doc_id"].eqNullSafe(named["doc_id"]))
-         .select("node", "text").dropDuplicates(["node"]))
-    t = stored(t, "texts")
-    return (near.join(t.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-            .join(t.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+    from the whole texts of both (``used``: node, signature, text)."""
+    side = lambda name, *cols: used.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in cols])
+    near = stored(candidates.join(side("a", "signature"), "a").join(side("b", "signature"), "b")
+                  .select("a", "b", "signature_a", "signature_b").mapInArrow(_agree, "a long, b long"), "near")
+    return (near.join(side("a", "text"), "a").join(side("b", "text"), "b")
             .select("a", "b", "text_a", "text_b").mapInArrow(_verified, "a long, b long, similarity double"))
 
 
@@ -241,8 +265,7 @@ def near_duplicates(documents: DataFrame, threshold: float = THRESHOLD) -> DataF
     links, part = near_links(nodes, docs.withColumn("node_key", text_key()), threshold)
     ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node")))
     full = classes.join(ends.groupBy("node").agg(F.count("*").alias("links")), "node", "left")
-    full = (full.join(part, "node", "left") if part is not None else full.withColumn("component", F.lit(None).cast("long")))
-    full = full.select("node_key", "node", "copies", F.coalesce("links", F.lit(0)).cast("long").alias("links"),
+    full = full.join(part, "node", "left").select("node_key", "node", "copies", F.coalesce("links", F.lit(0)).cast("long").alias("links"),
                        F.coalesce("component", "node").alias("group"))
     heads = signed.select(F.col("rid").alias("group"), F.col("doc_id").alias("group_doc_id"))
     groups = (full.groupBy("group").agg(F.sum("copies").alias("group_size")).join(heads, "group"))
