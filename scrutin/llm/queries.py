@@ -13,7 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from scrutin.llm.common import table
 from scrutin.llm.fingerprint import fingerprints
+from scrutin.llm.mixing import mixed
 from scrutin.llm.neardup import near_duplicates
+from scrutin.llm.pii import personal_data
+from scrutin.llm.quality import quality_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +27,11 @@ def query(fn):
     return fn
 
 
+@query
+def op3_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: the id of its group (its kept document's doc_id),
@@ -32,6 +40,16 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select("doc_id", g.group_doc_id.alias("class_id"), "keep", "group_size", "links", "copies")
 
 
+@query
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed(table(spark, sf_dir, "documents")).select("doc_id", "source", "size", "source_size", "target", "taken", "copies")
