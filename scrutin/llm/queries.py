@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from scrutin.llm.common import table
 from scrutin.llm.fingerprint import fingerprints
+from scrutin.llm.hmm import lm_scores
 from scrutin.llm.mixing import mixed
 from scrutin.llm.neardup import near_duplicates
 from scrutin.llm.pii import personal_data
@@ -27,6 +28,11 @@ def query(fn):
     return fn
 
 
+@query
+def op1_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
