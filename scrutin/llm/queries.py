@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from scrutin.llm import decontamination, urls
 from scrutin.llm.common import table
 from scrutin.llm.fingerprint import fingerprints
 from scrutin.llm.hmm import lm_scores
@@ -33,6 +34,14 @@ def op1_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op2_decontamination"] = decontamination.ORACLE
+
+
 @query
 def op3_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -51,6 +60,14 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.verdicts(table(spark, sf_dir, "pages"))
+
+
+ORACLES["op7_url_verdicts"] = urls.ORACLE
+
+
 @query
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
