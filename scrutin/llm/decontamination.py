@@ -39,7 +39,8 @@ def words(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")), F.lit(0)).cast("long")
+    parts = F.split(F.coalesce(text, F.lit("")), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    return F.coalesce(F.size(F.array_remove(parts, "")), F.lit(0)).cast("long")
 
 
 def windows(benchmark: DataFrame) -> DataFrame:
@@ -60,9 +61,8 @@ def _blocks(df: DataFrame, key: str) -> list[DataFrame]:
 
 def _positions(documents: DataFrame, lengths: list[int]) -> DataFrame:
     """(doc_id, version, words, at, gram): each shingle of each document."""
-    docs = (documents.select("doc_id", F.xxhash64("text").alias("version"), words(F.col("text")).alias("words"))
-            .where("size(words) > 0")
-            .select("doc_id", "version", "words", F.explode(F.sequence(F.lit(1), F.size("words"))).alias("at")))
+    docs = (documents.select("doc_id", F.xxhash64("text").alias("version"), words(F.coalesce("text", F.lit(""))).alias("words"))
+            .select("doc_id", "version", "words", F.explode(F.sequence(F.lit(1), F.greatest(F.size("words"), F.lit(1)))).alias("at")))
     if len(lengths) == 1:
         return docs.withColumn("gram", F.xxhash64(F.slice("words", F.col("at"), lengths[0])))
     return docs.withColumn("gram", F.explode(F.array(*[F.xxhash64(F.slice("words", F.col("at"), k)) for k in lengths])))

@@ -38,7 +38,7 @@ RANKED = 5000
 def sizes(documents: DataFrame) -> DataFrame:
     return documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-        F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("size"),
+        F.coalesce(F.size(F.array_remove(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), "")), F.lit(0)).cast("long").alias("size"),
         draw().alias("draw"))
 
 

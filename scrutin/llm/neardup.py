@@ -11,10 +11,9 @@ similarity of at least 0.8 between the shingle sets of the whole texts.
 
 Equal texts are one node.  Within a bucket of a band every member is compared
 with the hub (the member that meets most others over all its buckets), and the
-links are joined to components.  While many members are outside the largest
-component of their bucket, each of them is compared with one member of that
-component per bucket, a new one in each turn.  Last, all members that are still
-outside are compared with the members of every other component.  So no
+links are joined to components.  Then each member outside the largest component
+of its bucket is compared with a few hashed members of that component, others
+in each bucket.  Last, all members that are still outside are compared with the members of every other component.  So no
 candidate link between components is left unverified, and no bucket is turned
 into all its pairs.
 
@@ -43,8 +42,8 @@ THRESHOLD = 0.8
 #: Candidates whose coordinates agree in a smaller share are not verified; with
 #: 130 coordinates a pair at 0.8 falls below it with a probability under 1e-6.
 LEAST_AGREEMENT = 0.55
-#: Turns of comparing the outsiders of a bucket with one member of its largest component.
-TURNS = 5
+#: Members of a bucket's largest component that each outsider is compared with first.
+REPRESENTATIVES = 4
 _SEEDS = tuple(np.uint64(x) for x in (0x9FB21C651E98DF25, 0xD2B74407B1CE6E93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB))
 
 
@@ -160,21 +159,18 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for the nodes of ``edges`` (a, b); the component is its
     least node.  Alternating large and small stars, each a partial minimum by
-    node, until the edges stay as they are."""
-    e = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct(), "edges")
-    mark = None
+    node, until every node but a component's least has one edge, to it."""
+    e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct()
     while True:
         both = e.union(e.select("v", "u"))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = stored(large.distinct(), "large")
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e = stored(small.union(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == mark:
+        ends = e.select(F.col("u").alias("node"), F.lit(1).alias("low")).union(e.select("v", F.lit(0)).distinct())
+        if ends.groupBy("node").agg(F.sum("low").alias("low"), F.count("*").alias("n")).where("low > 1 or low = 1 and n > 1").isEmpty():
             break
-        mark = now
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
@@ -190,31 +186,22 @@ def near_links(nodes: DataFrame, texts: DataFrame, threshold: float = THRESHOLD)
     used = nodes.join(degree, "node", "left_semi").select("node", "doc_id", "node_key", "signature")
     t = texts.join(used, texts["node_key"].eqNullSafe(used["node_key"]) & texts["doc_id"].eqNullSafe(used["doc_id"]))
     used = stored(t.select("node", "signature", "text").dropDuplicates(["node"]), "texts")
-    total = members.count()
 
     hubs = members.groupBy("band").agg(F.min(F.struct(-F.col("degree"), F.col("node").alias("node")))["node"].alias("hub"))
     star = members.join(hubs, "band").where("node <> hub")
     known = stored(verify(pairs(star, "node", "hub"), used), "links")
     part = components(known.where(F.col("similarity") >= threshold).select("a", "b"))
-    for turn in range(TURNS):
-        placed, minor, crossing = _outside(members, part)
-        if crossing <= 2 * total:
-            break
-        # one member of the bucket's largest component, another in each bucket and turn
-        one = (placed.where("component = largest").groupBy("band", "largest")
-               .agg(F.min(F.struct(F.xxhash64("node", "band", F.lit(turn)), F.col("node").alias("node")))["node"].alias("hub")))
-        star = pairs(minor.join(one, "band"), "x", "hub").join(known.select("a", "b"), ["a", "b"], "left_anti")
-        found = stored(verify(star, used), "links")
-        known = known.union(found)
-        found = found.where(F.col("similarity") >= threshold)
-        if found.isEmpty():
-            break
-        part = components(part.where("node <> component").toDF("a", "b").union(found.select("a", "b")))
-    placed, minor, crossing = _outside(members, part)
-    if crossing:
-        rest = minor.join(placed.select("band", "node", "component"), "band").where("cx <> component")
-        rest = pairs(rest, "x", "node").join(known.select("a", "b"), ["a", "b"], "left_anti")
-        found = stored(verify(rest, used), "links")
+    for turn in range(2):
+        placed, minor = _outside(members, part)
+        if turn == 0:  # a few members of the bucket's largest component, others in each bucket
+            spread = placed.where("component = largest").select("band", "node", F.xxhash64("node", "band").alias("h"))
+            others = (spread.groupBy("band", F.expr(f"pmod(h, {REPRESENTATIVES})"))
+                      .agg(F.min(F.struct("h", "node"))["node"].alias("node")).select("band", "node"))
+            found = minor.join(others, "band")
+        else:
+            found = minor.join(placed.select("band", "node", "component"), "band").where("cx <> component")
+        found = pairs(found, "x", "node").join(known.select("a", "b"), ["a", "b"], "left_anti")
+        found = stored(verify(found, used), "links")
         known = known.union(found)
         found = found.where(F.col("similarity") >= threshold)
         if not found.isEmpty():
@@ -226,19 +213,17 @@ def pairs(df: DataFrame, x: str, y: str) -> DataFrame:
     return df.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
 
 
-def _outside(members: DataFrame, part: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-    """The members of buckets that hold several components, those of them
-    outside the bucket's largest, and how many rows a join of the two makes."""
-    placed = stored(members.join(part, "node", "left")
-                    .select("band", "node", F.coalesce("component", "node").alias("component")), "placed")
+def _outside(members: DataFrame, part: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The members of buckets that hold several components, and those of them
+    outside the bucket's largest."""
+    placed = members.join(part, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
     largest = (placed.groupBy("band", "component").agg(F.count("*").alias("n"))
                .groupBy("band").agg(F.min(F.struct(-F.col("n"), F.col("component").alias("component")))["component"].alias("largest"),
-                                    F.max("n").alias("most"), F.sum("n").alias("n"), F.count("*").alias("parts")).where("parts > 1"))
-    crossing = largest.agg(F.sum(F.expr("(n - most) * n"))).first()[0] or 0
-    placed = placed.join(largest.select("band", "largest"), "band")
+                                    F.count("*").alias("parts")).where("parts > 1"))
+    placed = stored(placed.join(largest.select("band", "largest"), "band"), "placed")
     minor = (placed.where("component <> largest")
              .select("band", F.col("node").alias("x"), F.col("component").alias("cx")))
-    return placed, minor, int(crossing)
+    return placed, minor
 
 
 def verify(candidates: DataFrame, used: DataFrame) -> DataFrame:

@@ -92,7 +92,8 @@ def reputations(pages: DataFrame) -> DataFrame:
 def verdicts(pages: DataFrame, rules=RULES) -> DataFrame:
     """page_id, host, path, rule, verdict, and the host's posterior, of every page."""
     host, path = parts()
-    junk = F.regexp_count("html", F.lit(JUNK)) / F.greatest(F.regexp_count("html", F.lit(" ")), F.lit(1))
+    spaces = F.length("html") - F.length(F.replace("html", F.lit(" "), F.lit("")))
+    junk = (F.size(F.split("html", JUNK, -1)) - 1) / F.greatest(spaces, F.lit(1))
     rows = pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")).select(
         "page_id", host.alias("host"), path.alias("path"), (junk >= JUNK_AT).cast("int").alias("junk"))
     rule, given = ruled(F.col("host"), F.col("path"), rules)
