@@ -11,7 +11,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scrutin.llm import decontamination, urls
+import corpus_pipeline
+from scrutin.llm import decontamination, licences, urls
 from scrutin.llm.common import table
 from scrutin.llm.fingerprint import fingerprints
 from scrutin.llm.hmm import lm_scores
@@ -19,6 +20,7 @@ from scrutin.llm.mixing import mixed
 from scrutin.llm.neardup import near_duplicates
 from scrutin.llm.pii import personal_data
 from scrutin.llm.quality import quality_scores
+from scrutin.llm.secrets import findings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -55,6 +57,12 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select("doc_id", g.group_doc_id.alias("class_id"), "keep", "group_size", "links", "copies")
 
 
+@query
+def op5_secret_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per candidate of every document."""
+    return findings(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"))
@@ -73,6 +81,23 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licences(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op9_licences"] = licences.ORACLE
+
+
 @query
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents")).select("doc_id", "source", "size", "source_size", "target", "taken", "copies")
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
