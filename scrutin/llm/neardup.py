@@ -13,9 +13,10 @@ Equal texts are one node.  Within a bucket of a band every member is compared
 with the hub (the member that meets most others over all its buckets), and the
 links are joined to components.  Then each member outside the largest component
 of its bucket is compared with a few hashed members of that component, others
-in each bucket.  Last, all members that are still outside are compared with the members of every other component.  So no
-candidate link between components is left unverified, and no bucket is turned
-into all its pairs.
+in each bucket.  Last, the signatures of all members that are still outside are
+compared, block by block, with those of every other component in the bucket,
+and the pairs that agree enough are verified.  So no candidate between
+components is left out, and no bucket is written out as its pairs.
 
 Defined cases: null and empty texts are equal texts and one group; a text
 without words is grouped with equal texts only; repeated rows and ties keep
@@ -37,11 +38,17 @@ from scrutin.llm import textbytes as B
 from scrutin.llm.common import stored, text_key
 
 BANDS, ROWS = 26, 5
-COORDINATES = BANDS * ROWS
+#: Kept coordinates; the first BANDS * ROWS make the bands.
+COORDINATES = 2 * BANDS * ROWS
 THRESHOLD = 0.8
 #: Candidates whose coordinates agree in a smaller share are not verified; with
-#: 130 coordinates a pair at 0.8 falls below it with a probability under 1e-6.
-LEAST_AGREEMENT = 0.55
+#: 260 coordinates a pair at 0.8 falls below it with a probability under 1e-8.
+LEAST_AGREEMENT = 0.65
+#: The same for pairs across the components of a bucket: a pair at exactly 0.8
+#: falls below it with a probability of 5e-4, one at 0.82 with 2e-5.
+LATE_AGREEMENT = 0.72
+#: Outsiders and members of a bucket that meet in one block.
+OUTSIDERS, MEMBERS = 512, 2048
 #: Members of a bucket's largest component that each outsider is compared with first.
 REPRESENTATIVES = 4
 _SEEDS = tuple(np.uint64(x) for x in (0x9FB21C651E98DF25, 0xD2B74407B1CE6E93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB))
@@ -124,7 +131,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lists = pa.ListArray.from_arrays(
                 pa.array(np.concatenate([[0], np.cumsum(np.where(some, BANDS, 0))]).astype(np.int32)),
                 pa.array(B.mix(bands[some]).view(np.int64).ravel()))
-            short = (sig & np.uint64(0xFFFF)).astype("<u2")
+            short = sig.astype(np.uint8)  # the last byte of each
             yield pa.record_batch(
                 [part.column(0), part.column(1), part.column(2), lists, pa.array([x.tobytes() for x in short], pa.binary())],
                 names=["rid", "doc_id", "node_key", "bands", "signature"])
@@ -133,7 +140,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose signatures agree in enough coordinates."""
     for batch in batches:
-        sig = [np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u2").reshape(-1, COORDINATES) for i in (2, 3)]
+        sig = [np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, COORDINATES) for i in (2, 3)]
         on = (sig[0] == sig[1]).mean(axis=1) >= LEAST_AGREEMENT
         yield batch.select(["a", "b"]).filter(pa.array(on))
 
@@ -183,13 +190,13 @@ def near_links(nodes: DataFrame, texts: DataFrame, threshold: float = THRESHOLD)
     members = stored(spread.join(sizes, "band").select("band", "node", "n"), "buckets")
     degree = members.groupBy("node").agg(F.sum("n").alias("degree"))
     members = stored(members.join(degree, "node").select("band", "node", "degree"), "members")
-    used = nodes.join(degree, "node", "left_semi").select("node", "doc_id", "node_key", "signature")
+    used = nodes.join(degree, "node", "left_semi")
     t = texts.join(used, texts["node_key"].eqNullSafe(used["node_key"]) & texts["doc_id"].eqNullSafe(used["doc_id"]))
-    used = stored(t.select("node", "signature", "text").dropDuplicates(["node"]), "texts")
+    used = stored(t.select("node", "bands", "signature", "text").dropDuplicates(["node"]), "texts")
 
     hubs = members.groupBy("band").agg(F.min(F.struct(-F.col("degree"), F.col("node").alias("node")))["node"].alias("hub"))
     star = members.join(hubs, "band").where("node <> hub")
-    known = stored(verify(pairs(star, "node", "hub"), used), "links")
+    known = stored(verify(agreeing(pairs(star, "node", "hub"), used), used), "links")
     part = components(known.where(F.col("similarity") >= threshold).select("a", "b"))
     for turn in range(2):
         placed, minor = _outside(members, part)
@@ -198,9 +205,9 @@ def near_links(nodes: DataFrame, texts: DataFrame, threshold: float = THRESHOLD)
             others = (spread.groupBy("band", F.expr(f"pmod(h, {REPRESENTATIVES})"))
                       .agg(F.min(F.struct("h", "node"))["node"].alias("node")).select("band", "node"))
             found = minor.join(others, "band")
+            found = agreeing(pairs(found, "x", "node").join(known.select("a", "b"), ["a", "b"], "left_anti"), used)
         else:
-            found = minor.join(placed.select("band", "node", "component"), "band").where("cx <> component")
-        found = pairs(found, "x", "node").join(known.select("a", "b"), ["a", "b"], "left_anti")
+            found = crossing(placed, used).join(known.select("a", "b"), ["a", "b"], "left_anti")
         found = stored(verify(found, used), "links")
         known = known.union(found)
         found = found.where(F.col("similarity") >= threshold)
@@ -219,20 +226,79 @@ def _outside(members: DataFrame, part: DataFrame) -> tuple[DataFrame, DataFrame]
     placed = members.join(part, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
     largest = (placed.groupBy("band", "component").agg(F.count("*").alias("n"))
                .groupBy("band").agg(F.min(F.struct(-F.col("n"), F.col("component").alias("component")))["component"].alias("largest"),
-                                    F.count("*").alias("parts")).where("parts > 1"))
-    placed = stored(placed.join(largest.select("band", "largest"), "band"), "placed")
+                                    F.max("n").alias("most"), F.sum("n").alias("n"), F.count("*").alias("parts")).where("parts > 1"))
+    placed = stored(placed.join(largest.drop("parts"), "band"), "placed")
     minor = (placed.where("component <> largest")
              .select("band", F.col("node").alias("x"), F.col("component").alias("cx")))
     return placed, minor
 
 
+def crossing(placed: DataFrame, used: DataFrame) -> DataFrame:
+    """(a, b): members outside their bucket's largest component and members of
+    its other components whose signatures agree enough.
+
+    A bucket's outsiders and its members are dealt in blocks, every block of
+    outsiders meets every block of members in one task's memory, and only the
+    pairs that agree leave it, each from the first band that it shares.
+    """
+    signed = placed.join(used.select("node", "bands", "signature"), "node").withColumns({
+        "rows": F.ceil((F.col("n") - F.col("most")) / OUTSIDERS), "columns": F.ceil(F.col("n") / MEMBERS), "outer": F.col("component") != F.col("largest")})
+    deal = lambda n: F.pmod(F.xxhash64("node", "band"), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    cols = ["node", "component", "bands", "signature", "outer"]
+    asking = signed.where("outer").select("band", deal("rows").alias("row"), every("columns").alias("column"), F.lit(True).alias("asks"), *cols)
+    asked = signed.select("band", every("rows").alias("row"), deal("columns").alias("column"), F.lit(False).alias("asks"), *cols)
+    return (asking.union(asked).repartition("band", "row", "column").sortWithinPartitions("band", "row", "column")
+            .mapInArrow(_crossed, "a long, b long"))
+
+
+def _crossed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: list[pa.RecordBatch] = []
+    last: tuple = ()
+    for batch in batches:
+        key = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)])
+        cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist(), len(key)]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if held and tuple(key[a]) != last:
+                yield _agreeing_in(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = tuple(key[a])
+    if held:
+        yield _agreeing_in(held)
+
+
+def _agreeing_in(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    t = pa.Table.from_batches(parts).combine_chunks()
+    asks, node, part, outer = (t[c].to_numpy() for c in ("asks", "node", "component", "outer"))
+    bands = np.concatenate([c.flatten().to_numpy() for c in t["bands"].chunks]).reshape(-1, BANDS)
+    sig = np.frombuffer(b"".join(t["signature"].to_pylist()), np.uint8).reshape(-1, COORDINATES)
+    here = t["band"][0].as_py()
+    found = []
+    asked = np.flatnonzero(~asks)
+    for i in np.flatnonzero(asks):
+        # of two outsiders the lesser asks
+        j = asked[(part[asked] != part[i]) & (~outer[asked] | (node[asked] > node[i]))]
+        j = j[(bands[j] == bands[i]).argmax(axis=1) == int(np.argmax(bands[i] == here))]
+        j = j[(sig[j] == sig[i]).sum(axis=1) >= LATE_AGREEMENT * COORDINATES]
+        found.append(np.column_stack([np.minimum(node[j], node[i]), np.maximum(node[j], node[i])]))
+    ab = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+    return pa.record_batch([pa.array(ab[:, 0]), pa.array(ab[:, 1])], names=["a", "b"])
+
+
+def agreeing(candidates: DataFrame, used: DataFrame) -> DataFrame:
+    """The candidate pairs (a, b) whose signatures agree enough."""
+    side = lambda name: used.select(F.col("node").alias(name), F.col("signature").alias(f"signature_{name}"))
+    return (candidates.join(side("a"), "a").join(side("b"), "b")
+            .select("a", "b", "signature_a", "signature_b").mapInArrow(_agree, "a long, b long"))
+
+
 def verify(candidates: DataFrame, used: DataFrame) -> DataFrame:
-    """(a, b, similarity) of the candidate pairs whose signatures agree enough,
-    from the whole texts of both (``used``: node, signature, text)."""
-    side = lambda name, *cols: used.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in cols])
-    near = stored(candidates.join(side("a", "signature"), "a").join(side("b", "signature"), "b")
-                  .select("a", "b", "signature_a", "signature_b").mapInArrow(_agree, "a long, b long"), "near")
-    return (near.join(side("a", "text"), "a").join(side("b", "text"), "b")
+    """(a, b, similarity) of candidate pairs from the whole texts of both
+    (``used``: node, text)."""
+    near = stored(candidates, "near")
+    side = lambda name: used.select(F.col("node").alias(name), F.col("text").alias(f"text_{name}"))
+    return (near.join(side("a"), "a").join(side("b"), "b")
             .select("a", "b", "text_a", "text_b").mapInArrow(_verified, "a long, b long, similarity double"))
 
 
