@@ -125,7 +125,10 @@ def fitted(lengths: np.ndarray, counts: np.ndarray, budget: float) -> np.ndarray
         if more > 0:
             taken[i] += more
             left -= more * int(lengths[i])
-    return taken + subset(lengths, counts - taken, min(left, CAPACITY))
+    out = taken + subset(lengths, counts - taken, min(left, CAPACITY))
+    if budget <= CAPACITY and int((lengths * out).sum()) < budget:  # few documents: the programme alone
+        return subset(lengths, counts, budget)
+    return out
 
 
 def _fit(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -1,7 +1,7 @@
 """Operator 5: secret scan with a random forest against false positives.
 
 Candidates are runs of at least MIN_LENGTH credential characters that hold a
-digit, and the values that follow a credential word.  Each has features of its
+digit (or 20 capitals), and the values that follow a credential word.  Each has features of its
 own (length, character classes and transitions, entropy, share covered by
 common words, path marks) and of its neighbours (credential, hash and
 identifier words around it).  Findings are labelled by rules that are right by
@@ -9,7 +9,8 @@ form alone: published key formats and values behind a credential word are
 secrets; Luhn numbers, dates, addresses, digests and identifiers named as such,
 path parts and placeholders are not.  The forest learns from the labelled
 findings without seeing which rule labelled them, and every finding, labelled
-or not, gets its probability.
+or not, gets its probability; a value of a published format stays a secret
+whatever its probability.
 
 At most MAX_LABELLED findings of each label train the forest, taken by a hash
 of the finding (so copies of one value count once); the words that count as
@@ -57,7 +58,7 @@ FORMATS = (
 _FORMAT = re.compile("|".join(f"(?:{f})" for f in FORMATS))
 _CANDIDATE = re.compile(
     r"(?i:(?<![A-Za-z])(?:" + "|".join(re.escape(w) for w in CREDENTIAL_WORDS) + r")s?[\"']?\s{0,2}[:=]\s{0,2}[\"']?)(?P<value>[^\s\"'<>,;]{6,})"
-    rf"|(?P<run>(?=[A-Za-z+/_.=-]{{0,64}}[0-9])[A-Za-z0-9+/_.=-]{{{MIN_LENGTH},}})")
+    rf"|(?<![A-Za-z0-9+/_.=-])(?P<run>(?=[A-Za-z+/_.=-]*[0-9]|[A-Z]{{20}})[A-Za-z0-9+/_.=-]{{{MIN_LENGTH},}})")
 _UUID = re.compile(r"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}")
 _NUMBER = re.compile(r"[0-9][0-9.:/+_-]*")
 _WORD = re.compile(r"[a-z]{3,}")
@@ -175,4 +176,5 @@ def findings(documents: DataFrame) -> DataFrame:
                                     minInstancesPerNode=2, probabilityCol="p", predictionCol="predicted", rawPredictionCol="raw").fit(train)
     scored = forest.transform(rows.withColumn("x", array_to_vector("features")))
     p = vector_to_array("p")[1]
-    return scored.select("doc_id", "start", "end", "value", "label", F.round(p, 6).alias("probability"), (p >= SECRET_AT).alias("is_secret"))
+    return scored.select("doc_id", "start", "end", "value", "label", F.round(p, 6).alias("probability"),
+                         ((p >= SECRET_AT) | F.col("value").rlike("^(?:" + "|".join(FORMATS) + ")$")).alias("is_secret"))
