@@ -8,7 +8,6 @@ Sub-packages:
 * ``operators`` -- cleaning, filters, enrichment, joins, aggregates,
   ordering, classification, share prediction and backtest.
 * ``plans``     -- composed pipelines (preprocess, analyze, staged run).
-* ``streaming`` -- incremental ingestion of ballot files.
 """
 
 __version__ = "0.1.0"

@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from scrutin import schema as S
 
-_LEADING_WS = r"^\s+"
-_TRAILING_WS = r"\s+$"
+#: White space as Unicode has it, no-break spaces and separators included.
+_WS = r"[\s\x1C-\x1F\x85\p{Z}]"
+_LEADING_WS = rf"^{_WS}+"
+_TRAILING_WS = rf"{_WS}+$"
 
 
 def col(c: str | Column) -> Column:

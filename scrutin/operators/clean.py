@@ -89,7 +89,8 @@ def default_rate_bounds(df: DataFrame) -> dict[str, tuple[float, float]]:
 
 
 def impute_median(df: DataFrame, columns: Sequence[str], approx: bool = False) -> DataFrame:
-    """Replace nulls by the column median.
+    """Replace nulls by the column median; the columns come back as doubles,
+    so the median of an integer column keeps its half.
 
     Each median is a scalar subquery; Spark merges them into one aggregate
     over the input and inlines the one-row result (no join, nothing through
@@ -99,8 +100,7 @@ def impute_median(df: DataFrame, columns: Sequence[str], approx: bool = False) -
     if not columns:
         return df
     agg = F.percentile_approx if approx else (lambda c, p: F.percentile(c, p))
-    fill = {c: F.coalesce(F.col(c), df.agg(agg(F.col(c).cast("double"), 0.5)).scalar()
-                          .cast(df.schema[c].dataType)) for c in columns}
+    fill = {c: F.coalesce(F.col(c).cast("double"), df.agg(agg(F.col(c).cast("double"), 0.5)).scalar()) for c in columns}
     return df.withColumns(fill)
 
 

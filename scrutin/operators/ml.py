@@ -111,6 +111,8 @@ def standardise(df: DataFrame, columns: Sequence[str], stats: DataFrame | None =
 # -- M4 / M5 -------------------------------------------------------------------
 def _unit_hash(keys: Sequence[str], seed: int) -> F.Column:
     """A stable pseudo-random number in [0, 1) from the row's key columns."""
+    if not keys:
+        raise ValueError("a split needs key columns; without a row key pass all columns")
     h = F.xxhash64(*[F.col(k) for k in keys], F.lit(seed))
     return F.pmod(h, F.lit(1 << 30)).cast("double") / float(1 << 30)
 
@@ -288,7 +290,8 @@ def confusion_matrix(df: DataFrame, actual: str, predicted: str) -> DataFrame:
 def roc_curve(df: DataFrame, label: str, score_col: str) -> DataFrame:
     """(threshold, fpr, tpr) at every distinct score, highest first, plus
     the (inf, 0, 0) start.  Rows are first reduced to one per distinct score
-    (partial aggregation); the running sums run over that table."""
+    (partial aggregation); the running sums run over that table.  With one
+    class only, the rate of the other is null."""
     per = df.groupBy(score_col).agg(F.sum(F.col(label).cast("long")).alias("__p"),
                                     F.sum((1 - F.col(label)).cast("long")).alias("__n"))
     tp = per.agg(F.sum("__p")).scalar()
@@ -296,7 +299,7 @@ def roc_curve(df: DataFrame, label: str, score_col: str) -> DataFrame:
     w = Window.orderBy(F.col(score_col).desc()).rowsBetween(Window.unboundedPreceding, 0)
     cum = per.select(score_col, F.sum("__p").over(w).alias("__cp"), F.sum("__n").over(w).alias("__cn"))
     pts = cum.select(F.col(score_col).cast("double").alias("threshold"),
-                     (F.col("__cn") / tn).alias("fpr"), (F.col("__cp") / tp).alias("tpr"))
+                     F.try_divide(F.col("__cn"), tn).alias("fpr"), F.try_divide(F.col("__cp"), tp).alias("tpr"))
     start = df.sparkSession.createDataFrame([(float("inf"), 0.0, 0.0)], "threshold DOUBLE, fpr DOUBLE, tpr DOUBLE")
     return start.unionByName(pts)
 

@@ -69,7 +69,7 @@ def final_order(df: DataFrame) -> DataFrame:
     return df.orderBy(*keys) if keys else df
 
 
-def scan_order_limit(df: DataFrame, n: int = 10000, tiebreak: Sequence[str] = ()) -> DataFrame:
+def scan_order_limit(df: DataFrame, n: int, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Year descending, round, department (then ``tiebreak``); first n.
     Planned as TakeOrderedAndProject: each task keeps its own top n."""
     keys = [F.col(S.YEAR).desc(), F.col(S.ROUND).asc(), F.col(S.DEPT).asc()]

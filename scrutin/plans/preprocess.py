@@ -45,8 +45,9 @@ def preprocess(df: DataFrame, tiebreak: Sequence[str] | None = None,
                sort: bool = True, observation: Observation | None = None) -> DataFrame:
     """The full preprocessing.  ``tiebreak`` orders rows inside a duplicate
     group (first one kept); by default every non-key column, ascending."""
-    df = validated(df, regions, urban, observation)
+    df = clean.validate(clean_columns(df), regions, observation)
     if all(c in df.columns for c in S.DEDUP_KEYS):
         df = clean.first_per_key(df, S.DEDUP_KEYS, tiebreak)
-    df = clean.order_columns(df)
+    # family, region and rates depend on their own row only: added to the kept rows
+    df = clean.order_columns(enrich.with_rates(enrich_rows(df, urban)))
     return final_order(df) if sort else df

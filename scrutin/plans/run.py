@@ -35,7 +35,7 @@ def run(spark: SparkSession, source: DataFrame, out_dir: str, stages: Sequence[s
     if "collect" in stages:
         done["collect"] = files.write_table(source, paths["collect"])
     if "process" in stages:
-        raw = spark.read.parquet(paths["collect"]) if "collect" in stages or _exists(spark, paths["collect"]) \
+        raw = spark.read.parquet(paths["collect"]) if "collect" in stages or files.exists(spark, paths["collect"]) \
             else source
         processed = L1.preprocess(raw, tiebreak=tiebreak, sort=False)
         done["process"] = files.write_table(processed, paths["process"], partition_by=[S.YEAR])
@@ -43,7 +43,9 @@ def run(spark: SparkSession, source: DataFrame, out_dir: str, stages: Sequence[s
     if "analyze" in stages:
         done["analyze"] = files.write_table(L4.analyze(spark.read.parquet(processed_path)), paths["analyze"])
     if "train" in stages:
-        results, artifacts = M.train_and_select(spark.read.parquet(processed_path), keys or tiebreak or [])
+        rows = spark.read.parquet(processed_path)
+        # without a row key the split hashes all columns
+        results, artifacts = M.train_and_select(rows, keys or tiebreak or rows.columns)
         if artifacts["models"]:
             M.save_models(artifacts, results, paths["train"])
         else:
@@ -61,9 +63,3 @@ def run(spark: SparkSession, source: DataFrame, out_dir: str, stages: Sequence[s
             files.write_table(df, f"{paths['charts']}/{name}")
         done["charts"] = paths["charts"]
     return done
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)

@@ -226,7 +226,7 @@ ERROR_GOOD, ERROR_FAIR = 2.0, 5.0
 ERROR_LARGE = 10.0
 
 # History info defaults.
-DEFAULT_MODEL_NAME = "Analyse Nuances"
+DEFAULT_MODEL_NAME = "Analyse Nuances MySQL"
 DEFAULT_YEARS_COVERED = "2012-2022"
 
 # ---------------------------------------------------------------------------

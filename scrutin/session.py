@@ -46,8 +46,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins.  Only when it is unset (tests, a
-    laptop) a fresh scratch folder is created and registered.
+    The cluster's setting always wins; ``local_session`` makes a scratch
+    folder for tests.  Anywhere else an unset folder is an error, because
+    executors do not share their own disks.
     """
     try:
         sc = spark.sparkContext
@@ -55,7 +56,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return spark.conf.get(CHECKPOINT_CONF, "")
     configured = sc.getConf().get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if not configured:
-        configured = tempfile.mkdtemp(prefix="scrutin-ckpt-")
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

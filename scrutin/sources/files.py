@@ -54,18 +54,28 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Se
 def collect_datasets(spark: SparkSession, root: str, years: Sequence[int] = (2017, 2022),
                      types: Sequence[str] = ("presidentielle", "legislative", "socio"),
                      fmt: str = "parquet", sep: str = OPEN_DATA_SEP) -> dict[str, DataFrame]:
-    """Tables keyed ``type_year`` from ``root/type_year.<fmt>``; missing
-    files are skipped."""
+    """Tables keyed ``type_year`` from ``root/type_year.<fmt>`` on any file
+    system that Spark reads; missing files are skipped, but none at all is an
+    error."""
     out: dict[str, DataFrame] = {}
     for t in types:
         for y in years:
             key = f"{t}_{y}"
             path = os.path.join(root, f"{key}.{fmt}")
-            if os.path.exists(path):
+            if exists(spark, path):
                 out[key] = read_table(spark, path, fmt, sep)
+    if not out:
+        raise FileNotFoundError(f"no {fmt} dataset of {list(types)} x {list(years)} in {root}")
     return out
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, asked of its own file system."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+
+
 def stacked_datasets(datasets: dict[str, DataFrame]) -> DataFrame:
     """S7 single-table form: ``unionByName`` with type and year columns."""
     return J.stack_datasets(datasets)

@@ -48,7 +48,7 @@ def read_jdbc(spark: SparkSession, url: str, table: str | None = None,
                         .option("numPartitions", num_partitions))
     df = cols.resolve_columns(reader.load())
     if regions is not None:
-        df = df.where(F.col(S.DEPT).cast("int").isin(list(regions)))
+        df = df.where(F.col(S.DEPT).try_cast("int").isin(list(regions)))
     if years:
         df = df.where(F.col(S.YEAR).isin(list(years)))
     if min_year is not None:  # the history scan: every year from min_year on
