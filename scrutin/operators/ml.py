@@ -14,12 +14,13 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import IndexToString, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import IndexToString, StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from scrutin import schema as S
+from scrutin.sources import files
 
 UNKNOWN_CLASS = "Inconnu"
 
@@ -33,19 +34,36 @@ def target_column(df: DataFrame) -> str:
     raise ValueError("no target column (famille_politique or nuance)")
 
 
-def encode_labels(df: DataFrame, column: str, out: str) -> tuple[DataFrame, list[str]]:
+def encode_labels(df: DataFrame, column: str, out: str, labels: Sequence[str] | None = None,
+                  invalid: str = "keep") -> tuple[DataFrame, list[str]]:
     """M2: alphabetical index of a text column (``StringIndexer`` alphabetAsc);
-    returns the encoded frame and the class list (bounded by distinct values)."""
-    model = StringIndexer(inputCol=column, outputCol=out, stringOrderType="alphabetAsc",
-                          handleInvalid="keep").fit(df)
+    returns the encoded frame and the class list (bounded by distinct values).
+    With ``labels`` (those of a fitted model) nothing is fitted anew; a value
+    outside them gets the index after the last."""
+    if labels is not None:
+        model = StringIndexerModel.from_labels(list(labels), inputCol=column, outputCol=out, handleInvalid="keep")
+    else:
+        model = StringIndexer(inputCol=column, outputCol=out, stringOrderType="alphabetAsc",
+                              handleInvalid=invalid).fit(df)
     return model.transform(df), list(model.labels)
 
 
-def prepare_features(df: DataFrame, keep: Sequence[str] = ()) -> tuple[DataFrame, list[str], list[str]]:
+def department_labels(df: DataFrame) -> list[str]:
+    """The department codes in index order, kept with a fitted model."""
+    if S.DEPT not in df.columns:
+        return []
+    work = df.select(F.col(S.DEPT).cast("string").alias("__dept_txt"))
+    return encode_labels(work, "__dept_txt", "__dept_idx")[1]
+
+
+def prepare_features(df: DataFrame, keep: Sequence[str] = (), departments: Sequence[str] | None = None,
+                     classes: Sequence[str] | None = None) -> tuple[DataFrame, list[str], list[str]]:
     """M1: up to 15 features in the fixed order (absent inputs are skipped),
     nulls -> 0; target text (family, else label; null -> 'Inconnu') and its
     alphabetical index in ``label``; ``keep`` columns are carried along.
-    Returns (frame, feature names, classes)."""
+    Returns (frame, feature names, classes).  To score with a fitted model pass
+    its ``departments`` and ``classes``: the encoding is then that of training,
+    and the target column may be missing."""
     cols = set(df.columns)
     feats: dict[str, F.Column] = {}
     if S.YEAR in cols:
@@ -56,7 +74,7 @@ def prepare_features(df: DataFrame, keep: Sequence[str] = ()) -> tuple[DataFrame
     work = df
     if S.DEPT in cols:
         work = work.withColumn("__dept_txt", F.col(S.DEPT).cast("string"))
-        work, _ = encode_labels(work, "__dept_txt", "__dept_idx")
+        work, _ = encode_labels(work, "__dept_txt", "__dept_idx", departments)
         feats["departement_encoded"] = F.col("__dept_idx")
     if "typologie" in cols:
         feats["is_urbain"] = (F.col("typologie") == S.URBAN).cast("double")
@@ -73,9 +91,13 @@ def prepare_features(df: DataFrame, keep: Sequence[str] = ()) -> tuple[DataFrame
     if S.ROUND in cols:
         feats["tour"] = F.col(S.ROUND).cast("double")
     names = [n for n in S.MODEL_FEATURES if n in feats]
+    if classes is not None and not cols & {"famille_politique", S.LABEL}:
+        out = work.select(*[F.col(k) for k in keep], *[F.coalesce(feats[n], F.lit(0.0)).alias(n) for n in names])
+        return out, names, list(classes)
     tgt = target_column(df)
     work = work.withColumn("__target", F.coalesce(F.col(tgt).cast("string"), F.lit(UNKNOWN_CLASS)))
-    work, classes = encode_labels(work, "__target", "label")
+    # no slot for unknown classes when fitting: k classes are k, not k + 1
+    work, classes = encode_labels(work, "__target", "label", classes, invalid="error")
     out = work.select(*[F.col(k) for k in keep],
                       *[F.coalesce(feats[n], F.lit(0.0)).alias(n) for n in names],
                       F.col("__target").alias(tgt), "label")
@@ -176,13 +198,14 @@ def train_and_select(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, dic
     "classes": [...], "best": name}).  An unusable input gives a one-row
     table with an ``error`` and no models."""
     spark = df.sparkSession
-    feats, names, classes = prepare_features(df, keep=list(keys))
+    departments = department_labels(df) if S.DEPT in df.columns else None
+    feats, names, classes = prepare_features(df, keep=list(keys), departments=departments)
     counts = feats.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("label").alias("k")).first()
     n, k = int(counts["n"]), int(counts["k"])
     if n < S.MIN_TRAIN_ROWS or k < 2:
         msg = "not enough rows (minimum 20)" if n < S.MIN_TRAIN_ROWS else f"not enough classes ({k})"
         return model_table(spark, [], error=msg), {"models": {}, "features": names,
-                                                   "classes": classes, "best": None}
+                                                   "classes": classes, "departments": departments, "best": None}
     split = stratified_split(feats, "label", keys).persist()
     train, test = split.where(~F.col("is_test")), split.where(F.col("is_test"))
     n_train = train.count()
@@ -203,7 +226,7 @@ def train_and_select(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, dic
             best, best_score = name, acc
     split.unpersist()
     return (model_table(spark, rows, best=best),
-            {"models": models, "features": names, "classes": classes, "best": best})
+            {"models": models, "features": names, "classes": classes, "departments": departments, "best": best})
 
 
 def model_table(spark: SparkSession, rows: list[tuple], best: str | None = None,
@@ -240,8 +263,7 @@ def score(df: DataFrame, model: PipelineModel, classes: Sequence[str]) -> DataFr
     labeller = IndexToString(inputCol="prediction", outputCol="classe_predite", labels=list(classes))
     out = labeller.transform(out)
     return out.withColumns({
-        "confiance": F.array_max(probs),
-        # the indexer keeps a slot for unseen labels: only the known classes
+        "confiance": F.array_max(F.slice(probs, 1, len(classes))),
         "probabilites": F.map_from_arrays(names, F.slice(probs, 1, len(classes))),
     }).drop("features", "scaled", "rawPrediction", "probability")
 
@@ -253,8 +275,8 @@ def save_models(artifacts: dict, results: DataFrame, path: str) -> None:
     spark = results.sparkSession
     best_acc = results.where(F.col("is_best")).select("accuracy")
     meta = spark.createDataFrame(
-        [(artifacts["best"], ",".join(artifacts["features"]), ",".join(artifacts["classes"]))],
-        "best_model_name STRING, features STRING, classes STRING")
+        [(artifacts["best"], list(artifacts["features"]), list(artifacts["classes"]), artifacts.get("departments"))],
+        "best_model_name STRING, features ARRAY<STRING>, classes ARRAY<STRING>, departments ARRAY<STRING>")
     meta = meta.withColumn("best_score", best_acc.agg(F.max("accuracy")).scalar())
     meta.write.mode("overwrite").parquet(f"{path}/metadata")
     results.write.mode("overwrite").parquet(f"{path}/results")
@@ -264,12 +286,12 @@ def load_models(spark: SparkSession, path: str) -> dict:
     meta = spark.read.parquet(f"{path}/metadata").first()  # one row
     models = {}
     for name in ("RandomForest", "LogisticRegression"):
-        try:
-            models[name] = PipelineModel.load(f"{path}/{name.lower()}_model")
-        except Exception:  # noqa: BLE001 - a model may be absent
-            continue
+        where = f"{path}/{name.lower()}_model"
+        if files.exists(spark, where):  # a model may be absent; a broken one is an error
+            models[name] = PipelineModel.load(where)
     return {"models": models, "best": meta["best_model_name"], "best_score": meta["best_score"],
-            "features": meta["features"].split(","), "classes": meta["classes"].split(",")}
+            "features": list(meta["features"]), "classes": list(meta["classes"]),
+            "departments": None if meta["departments"] is None else list(meta["departments"])}
 
 
 # -- M12 / M13 -------------------------------------------------------------------

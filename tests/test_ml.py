@@ -100,3 +100,27 @@ def test_confusion_and_roc(spark):
     assert auc == pytest.approx(ev.evaluate(df.withColumn("yd", F.col("y").cast("double"))))
     curve = M.roc_curve(df, "y", "s").collect()
     assert (curve[0].fpr, curve[0].tpr) == (0.0, 0.0) and max(r.tpr for r in curve) == 1.0
+
+
+def test_loaded_model_scores_one_department_as_in_training(spark, tmp_path):
+    """The encoding of departments and classes is that of training, whatever is scored."""
+    from pyspark.sql import functions as F
+    rows = [(2012 + 5 * (i % 3), 9 + (i % 3) * 22, ["Gauche", "Droite", "Centre"][i % 3], 1000 + i, 5000, 60.0 + i % 7, i) for i in range(90)]
+    df = spark.createDataFrame(rows, "annee INT, departement INT, famille_politique STRING, voix LONG, inscrits LONG, taux_participation DOUBLE, id LONG")
+    results, art = M.train_and_select(df, ["id"])
+    M.save_models(art, results, str(tmp_path / "m"))
+    back = M.load_models(spark, str(tmp_path / "m"))
+    assert back["classes"] == ["Centre", "Droite", "Gauche"] and back["departments"] == ["31", "53", "9"]
+
+    def scored(part):
+        f, _, _ = M.prepare_features(part, ["id"], back["departments"], back["classes"])
+        out = M.score(f, back["models"]["RandomForest"], back["classes"])
+        return {r.id: (r.classe_predite, round(r.confiance, 9), round(sum(r.probabilites.values()), 9)) for r in out.collect()}
+
+    whole, one = scored(df), scored(df.where("departement = 9").drop("famille_politique"))
+    assert one and all(whole[k] == v and v[2] == 1.0 for k, v in one.items())
+
+
+def test_one_class_roc_is_null(spark):
+    df = spark.createDataFrame([(1, 0.2), (1, 0.4)], "label INT, score DOUBLE")
+    assert all(r.fpr is None for r in M.roc_curve(df, "label", "score").where("threshold < 10").collect())
