@@ -314,8 +314,13 @@ def scenario_grid(history: DataFrame, years: Sequence[int], participations: Sequ
                              F.lit(u).alias("u")) for y, p, u in grid])
     depts = summarise_history(history).select(S.DEPT).distinct()
     g = depts.select(S.DEPT, F.explode(arr).alias("g"))
-    sid = ((F.col("g.y").cast("long") * 1000 + F.col(S.DEPT)) * 1000
-           + F.rint(F.col("g.p") * 10).cast("long")) * 10 + F.col("g.u").cast("long")
+    # tenths of a percent below 100 in three digits, any other level in nine
+    tenths = all(0 <= p < 100 and abs(p * 10 - round(p * 10)) < 1e-9 for p in participations)
+    scale, width = (10, 1000) if tenths else (10 ** 6, 10 ** 9)
+    if len({(y, round(p * scale), bool(u)) for y, p, u in grid}) < len(grid):
+        raise ValueError("two scenarios of the grid have the same year, participation and urban flag")
+    sid = ((F.col("g.y").cast("long") * 1000 + F.col(S.DEPT)) * width
+           + F.rint(F.col("g.p") * scale).cast("long")) * 10 + F.col("g.u").cast("long")
     out = g.select(sid.alias("scenario_id"), F.col("g.y").alias(S.YEAR), S.DEPT,
                    F.lit(round_).cast("int").alias(S.ROUND),
                    F.lit(None).cast("long").alias("inscrits"),

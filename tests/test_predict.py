@@ -243,3 +243,16 @@ def test_backtest_excluding_test_year(spark):
     kept = {r.nuance: r.prediction_brute for r in B.backtest(results, _hist(spark, HIST))
             .where("has_pred AND annee = 2022 AND departement = 31").collect()}
     assert kept != got[(2022, 31, 1)]
+
+
+def test_scenario_ids_do_not_merge_near_levels(spark):
+    hist = spark.createDataFrame([(2022, 1, d, "RN", 100) for d in (30, 31)], "annee INT, tour INT, departement INT, nuance STRING, voix LONG")
+    grid = P.scenario_grid(hist, [2027], [68.51, 68.54, 100.0])
+    assert grid.select("scenario_id").distinct().count() == 2 * 3 * 2
+    with pytest.raises(ValueError):
+        P.scenario_grid(hist, [2027, 2027], [68.5])
+
+
+def test_model_name_default_is_the_original_one():
+    from scrutin import schema
+    assert schema.DEFAULT_MODEL_NAME == "Analyse Nuances MySQL"
