@@ -42,9 +42,9 @@ def query(name: str, sql: str | None = None, floats: list[str] | tuple = ()):
     return deco
 
 
-def round_floats(df: DataFrame, floats: list[str], digits: int = 4) -> DataFrame:
+def round_floats(df: DataFrame, floats: list[str], digits: int = 9) -> DataFrame:
     """Half-even rounding of the named double columns on the binary value,
-    identical to the oracle's ``round_even(x * 1e4, 0) / 1e4``."""
+    identical to the oracle's ``round_even(x * 1e9, 0) / 1e9``."""
     if not floats:
         return df
     scale = float(10 ** digits)

@@ -134,7 +134,7 @@ def with_ctes(*ctes: str, body: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n" + body
 
 
-def rounded(sql: str, floats: list[str], digits: int = 4) -> str:
+def rounded(sql: str, floats: list[str], digits: int = 9) -> str:
     """Wrap ``sql`` so that the named double columns are rounded half-even at
     ``digits`` decimals on the binary value (same as the Spark side)."""
     if not floats:
@@ -145,9 +145,7 @@ def rounded(sql: str, floats: list[str], digits: int = 4) -> str:
 
 
 def mean2(expr: str) -> str:
-    """Exact mean of 2-decimal values via integer hundredths (as the Spark side)."""
-    return (f"(CAST(sum(CAST(round_even(({expr}) * 100, 0) AS BIGINT)) AS DOUBLE)"
-            f" / CAST(count({expr}) AS DOUBLE) / 100)")
+    return f"avg(CAST({expr} AS DOUBLE))"
 
 
 def _spread(mult: int, modulus: int, base: float) -> str:

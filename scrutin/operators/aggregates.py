@@ -1,8 +1,9 @@
 """Aggregations.
 
-All are grouped hash aggregates with map-side partial aggregation, so a key
-holding a large share of the rows is combined inside each task before the
-shuffle.  Window functions only ever run over already-aggregated rows.
+Grouped aggregates with map-side partial aggregation, so a key holding a
+large share of the rows is combined inside each task before the shuffle.
+Window functions only ever run over already-aggregated rows; quantiles are
+exact and split over value ranges (``quantiles``).
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from scrutin import schema as S
 from scrutin.functions import exprs as X
 from scrutin.operators import clean
+from scrutin.operators.quantiles import with_quantiles
 
 
 # -- A1 / A2 / A11 ----------------------------------------------------------------
@@ -36,7 +38,7 @@ def records_per_department(df: DataFrame) -> DataFrame:
 
 # -- A3 / A4 / A5 / A6 ----------------------------------------------------------------
 def mean_participation(df: DataFrame, column: str = "taux_participation") -> DataFrame:
-    return df.agg(X.mean_2dp(column).alias("mean_participation"))
+    return df.agg(F.avg(column).alias("mean_participation"))
 
 
 def former_region_split(df: DataFrame) -> DataFrame:
@@ -75,7 +77,7 @@ def summary_stats(df: DataFrame) -> DataFrame:
         sorted_list(S.DEPT).alias("departments"),
         F.count_distinct(S.LABEL).alias("nuances"),
         F.sum(S.VOTES).alias("total_voix"),
-        X.mean_2dp("taux_participation").alias("avg_participation"),
+        F.avg("taux_participation").alias("avg_participation"),
     )
 
 
@@ -86,19 +88,19 @@ DESCRIBE_STATS = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
 def describe(df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
     """pandas-style describe in long form ``(column, stat, value)``.
 
-    Exact quantiles by default (linear interpolation, as pandas); one
-    aggregate computes every statistic of every column.
+    Exact quantiles by default (linear interpolation, as pandas), as one
+    scalar subquery; one aggregate computes the other statistics.
     """
     columns = list(columns) if columns is not None else clean.columns_of_kind(df)
-    q = (lambda c, p: F.percentile_approx(c, p)) if approx else (lambda c, p: F.percentile(c, p))
+    if not columns:
+        raise ValueError("no numeric column to describe")
     aggs = []
     for i, c in enumerate(columns):
         x = F.col(c).cast("double")
         aggs += [F.count(x).cast("double").alias(f"s{i}_0"), F.avg(x).alias(f"s{i}_1"),
-                 F.stddev_samp(x).alias(f"s{i}_2"), F.min(x).alias(f"s{i}_3"),
-                 q(x, 0.25).alias(f"s{i}_4"), q(x, 0.5).alias(f"s{i}_5"),
-                 q(x, 0.75).alias(f"s{i}_6"), F.max(x).alias(f"s{i}_7")]
-    wide = df.agg(*aggs)
+                 F.stddev_samp(x).alias(f"s{i}_2"), F.min(x).alias(f"s{i}_3"), F.max(x).alias(f"s{i}_7")]
+    wide, q = with_quantiles(df.agg(*aggs), df, columns, [0.25, 0.5, 0.75], approx)
+    wide = wide.withColumns({f"s{i}_{4 + k}": q[c, k] for i, c in enumerate(columns) for k in range(3)})
     pairs = ", ".join(f"'{c}', '{s}', s{i}_{j}" for i, c in enumerate(columns)
                       for j, s in enumerate(DESCRIBE_STATS))
     n = len(columns) * len(DESCRIBE_STATS)
@@ -109,8 +111,8 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, approx: bool =
 def by_department(df: DataFrame, share: str = "pct_exprimes") -> DataFrame:
     """Mean participation, mean share, summed votes and registered, plus name."""
     out = df.groupBy(S.DEPT).agg(
-        X.mean_2dp("taux_participation").alias("taux_participation"),
-        X.mean_2dp(share).alias("part_voix"),
+        F.avg("taux_participation").alias("taux_participation"),
+        F.avg(share).alias("part_voix"),
         F.sum(S.VOTES).alias("voix"),
         F.sum("inscrits").alias("inscrits"))
     return out.withColumn("nom_departement", X.department_name(S.DEPT))
@@ -118,7 +120,7 @@ def by_department(df: DataFrame, share: str = "pct_exprimes") -> DataFrame:
 
 def by_year(df: DataFrame) -> DataFrame:
     return df.groupBy(S.YEAR).agg(
-        X.mean_2dp("taux_participation").alias("taux_participation"),
+        F.avg("taux_participation").alias("taux_participation"),
         F.sum(S.VOTES).alias("voix"),
         F.sum("inscrits").alias("inscrits"),
         F.sum("abstentions").alias("abstentions"))
@@ -135,7 +137,7 @@ def label_evolution(df: DataFrame, k: int = 8, share: str = "pct_exprimes") -> D
     top = F.broadcast(top_values(df, S.LABEL, k))  # at most k rows
     kept = df.join(top, on=S.LABEL, how="left_semi")
     return kept.groupBy(S.YEAR, S.LABEL).agg(F.sum(S.VOTES).alias("voix"),
-                                             X.mean_2dp(share).alias("part_voix"))
+                                             F.avg(share).alias("part_voix"))
 
 
 # -- A12 / A13 ----------------------------------------------------------------------
@@ -262,10 +264,22 @@ def distinct_labels(df: DataFrame, column: str = S.LABEL, sort: bool = True) ->
     return out.orderBy(column) if sort else out
 
 
+def common_columns(a: DataFrame, b: DataFrame) -> list[str]:
+    """Common column names, in the left table's order."""
+    right = set(b.columns)
+    return [c for c in a.columns if c in right]
+
+
+def common_numeric(a: DataFrame, b: DataFrame) -> list[str]:
+    """The common columns that are numeric on both sides."""
+    numeric = set(clean.columns_of_kind(a)) & set(clean.columns_of_kind(b))
+    return [c for c in common_columns(a, b) if c in numeric]
+
+
 def compare_tables(left: DataFrame, right: DataFrame, approx: bool = False) -> DataFrame:
     """Describe of both sides for their common numeric columns, as
     ``(column, stat, left, right)``."""
-    common = [c for c in clean.columns_of_kind(left) if c in set(clean.columns_of_kind(right))]
+    common = common_numeric(left, right)
     a = describe(left, common, approx).withColumnRenamed("value", "left")
     b = describe(right, common, approx).withColumnRenamed("value", "right")
     return a.join(b, on=["column", "stat"], how="full_outer")
@@ -274,7 +288,7 @@ def compare_tables(left: DataFrame, right: DataFrame, approx: bool = False) -> D
 def compare_histograms(left: DataFrame, right: DataFrame, bins: int = 20) -> DataFrame:
     """A20, second part: histogram of the first common numeric column on each
     side, as ``(side, column, bin, bin_start, bin_end, n)``."""
-    common = [c for c in clean.columns_of_kind(left) if c in set(clean.columns_of_kind(right))]
+    common = common_numeric(left, right)
     if not common:
         raise ValueError("no common numeric column")
     c = common[0]

@@ -92,7 +92,7 @@ def backtest_scores(bt: DataFrame) -> DataFrame:
     """Per contest mean and max error, predicted and actual winners,
     whether they agree, and score = 100 - min(2 x mean error, 100)."""
     keys = list(S.CONTEST_KEYS)
-    stats = bt.groupBy(*keys).agg(X.mean_2dp("ecart").alias("ecart_moyen"),
+    stats = bt.groupBy(*keys).agg(F.avg("ecart").alias("ecart_moyen"),
                                   F.max("ecart").alias("ecart_max"),
                                   F.count(F.lit(1)).alias("n_nuances"))
     wp = W.winner(bt.where("has_pred"), by=keys, value="prediction_brute").select(

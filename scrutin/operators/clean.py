@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from scrutin import schema as S
 from scrutin.functions import exprs as X
+from scrutin.operators.quantiles import with_quantiles
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
                  T.DoubleType, T.DecimalType)
@@ -56,10 +57,6 @@ def department_code(df: DataFrame, column: str = S.DEPT, as_text: bool = False)
     return df.withColumn(column, X.pad2(code) if as_text else code)
 
 
-def normalise_labels(df: DataFrame, column: str = S.LABEL) -> DataFrame:
-    return df.withColumn(column, X.normalise_label(column))
-
-
 # -- P5 ----------------------------------------------------------------------
 def order_columns(df: DataFrame, groups: Sequence[Sequence[str]] = S.COLUMN_GROUPS) -> DataFrame:
     first = [c for g in groups for c in g if c in df.columns]
@@ -90,37 +87,29 @@ def default_rate_bounds(df: DataFrame) -> dict[str, tuple[float, float]]:
 
 def impute_median(df: DataFrame, columns: Sequence[str], approx: bool = False) -> DataFrame:
     """Replace nulls by the column median; the columns come back as doubles,
-    so the median of an integer column keeps its half.
-
-    Each median is a scalar subquery; Spark merges them into one aggregate
-    over the input and inlines the one-row result (no join, nothing through
-    the driver).
-    """
+    so the median of an integer column keeps its half.  The medians are one
+    scalar subquery (see ``quantiles``): no join, nothing through the driver."""
     columns = [c for c in columns if c in df.columns]
     if not columns:
         return df
-    agg = F.percentile_approx if approx else (lambda c, p: F.percentile(c, p))
-    fill = {c: F.coalesce(F.col(c).cast("double"), df.agg(agg(F.col(c).cast("double"), 0.5)).scalar()) for c in columns}
-    return df.withColumns(fill)
+    out, q = with_quantiles(df, df, columns, [0.5], approx)
+    return out.withColumns({c: F.coalesce(F.col(c).cast("double"), q[c, 0]) for c in columns}).drop("__q")
 
 
 def winsorize(df: DataFrame, columns: Sequence[str], lower: float = 0.01,
               upper: float = 0.99, approx: bool = False) -> DataFrame:
     """Clip each column to its own ``lower``/``upper`` quantiles (linear
-    interpolation, like pandas).  The bounds are scalar subqueries that Spark
-    merges into one aggregate over the input."""
+    interpolation, like pandas); the bounds are one scalar subquery."""
     columns = [c for c in columns if c in df.columns]
     if not columns:
         return df
-    q = F.percentile_approx if approx else (lambda c, p: F.percentile(c, p))
+    out, q = with_quantiles(df, df, columns, [lower, upper], approx)
     clipped = {}
     for c in columns:
         x = F.col(c).cast("double")
-        lo = df.agg(q(x, lower)).scalar()   # scalar subqueries, merged into one
-        hi = df.agg(q(x, upper)).scalar()   # aggregate by the optimizer
         # pandas returns floats once float bounds are applied: keep double.
-        clipped[c] = F.when(x < lo, lo).when(x > hi, hi).otherwise(x)
-    return df.withColumns(clipped)
+        clipped[c] = F.when(x < q[c, 0], q[c, 0]).when(x > q[c, 1], q[c, 1]).otherwise(x)
+    return out.withColumns(clipped).drop("__q")
 
 
 def drop_empty_rows(df: DataFrame) -> DataFrame:
@@ -167,29 +156,11 @@ def for_elections(df: DataFrame, years: Sequence[int] | None = None,
     return df
 
 
-def require_keys(df: DataFrame) -> DataFrame:
-    keys = [c for c in (S.YEAR, S.DEPT, S.ROUND) if c in df.columns]
-    return df.na.drop(subset=keys) if keys else df
-
-
-def year_between(df: DataFrame, lo: int = S.MIN_YEAR, hi: int = S.MAX_YEAR) -> DataFrame:
-    return df.where(F.col(S.YEAR).between(lo, hi))
-
-
-def valid_rounds(df: DataFrame, rounds: Sequence[int] = S.VALID_ROUNDS) -> DataFrame:
-    return df.where(F.col(S.ROUND).isin(list(rounds)))
-
-
-def non_negative(df: DataFrame, columns: Sequence[str] = S.COUNT_COLUMNS) -> DataFrame:
-    cond = None
-    for c in columns:
-        if c in df.columns:
-            cond = (F.col(c) >= 0) if cond is None else (cond & (F.col(c) >= 0))
-    return df if cond is None else df.where(cond)
-
-
-def validation_predicate(df: DataFrame, regions: Sequence[int] = S.REGION_DEPARTMENTS):
-    """The whole of F3-F6 as one predicate (a single Filter in the plan)."""
+def validation_predicate(df: DataFrame, regions: Sequence[int] = S.REGION_DEPARTMENTS,
+                         years: tuple[int, int] = (S.MIN_YEAR, S.MAX_YEAR)):
+    """The whole of F3-F6 as one predicate (a single Filter in the plan):
+    keys present, region, years within ``years`` (both inclusive), round 1 or
+    2, no negative count."""
     cols = set(df.columns)
     conds = []
     for c in (S.YEAR, S.DEPT, S.ROUND):
@@ -198,7 +169,7 @@ def validation_predicate(df: DataFrame, regions: Sequence[int] = S.REGION_DEPART
     if S.DEPT in cols:
         conds.append(F.col(S.DEPT).isin(list(regions)))
     if S.YEAR in cols:
-        conds.append(F.col(S.YEAR).between(S.MIN_YEAR, S.MAX_YEAR))
+        conds.append(F.col(S.YEAR).between(*years))
     if S.ROUND in cols:
         conds.append(F.col(S.ROUND).isin(S.VALID_ROUNDS))
     for c in S.COUNT_COLUMNS:
@@ -211,10 +182,11 @@ def validation_predicate(df: DataFrame, regions: Sequence[int] = S.REGION_DEPART
 
 
 def validate(df: DataFrame, regions: Sequence[int] = S.REGION_DEPARTMENTS,
-             observation: Observation | None = None) -> DataFrame:
+             observation: Observation | None = None,
+             years: tuple[int, int] = (S.MIN_YEAR, S.MAX_YEAR)) -> DataFrame:
     """F7.  With an ``Observation`` the row counts before and after are
     collected by the first action on the result (no extra job)."""
-    pred = validation_predicate(df, regions)
+    pred = validation_predicate(df, regions, years)
     if observation is None:
         return df if pred is None else df.where(pred)
     marked = df.withColumn("__valid", F.coalesce(pred, F.lit(True)) if pred is not None else F.lit(True))
@@ -224,17 +196,20 @@ def validate(df: DataFrame, regions: Sequence[int] = S.REGION_DEPARTMENTS,
 
 
 # -- F8 / F9 / F10 -----------------------------------------------------------------
-def recent_or_all(df: DataFrame, since: int = S.RECENT_YEAR,
-                  by: str | Sequence[str] = S.DEPT) -> DataFrame:
+def recent_or_all(df: DataFrame, since: int = S.RECENT_YEAR, by: str | Sequence[str] = S.DEPT,
+                  codes: Sequence[int] | None = None) -> DataFrame:
     """Per department: rows with year >= ``since``, or every row if none.
 
-    The per-department flag is a partial aggregate (one row per department
-    per task before the shuffle), joined back on the key; no window over
-    raw rows, so a department holding a third of the data is still split
-    across tasks.
+    The per-department flag is a partial aggregate, joined back on the key; no
+    window over raw rows.  ``codes`` names the departments that can occur (as
+    after a region filter): then the flags, at most one row for each, are
+    broadcast and the rows are not shuffled at all, so a department holding a
+    third of them needs no care; rows of other departments go.
     """
     by = [by] if isinstance(by, str) else list(by)
     flags = df.groupBy(*by).agg(F.max((F.col(S.YEAR) >= since).cast("int")).alias("__has_recent"))
+    if codes is not None and by == [S.DEPT]:
+        flags = F.broadcast(in_region(flags, codes))
     out = df.join(flags, on=by, how="inner")
     return out.where((F.col("__has_recent") == 0) | (F.col(S.YEAR) >= since)).drop("__has_recent")
 
@@ -253,10 +228,6 @@ def contests_present(df: DataFrame, contests: DataFrame) -> DataFrame:
     return df.join(contests.select(*S.CONTEST_KEYS), on=S.CONTEST_KEYS, how="left_semi")
 
 
-def known_labels_only(df: DataFrame, labels: DataFrame, column: str = S.LABEL) -> DataFrame:
-    return df.join(labels.select(column).distinct(), on=column, how="left_semi")
-
-
 # -- W1 ----------------------------------------------------------------------
 def first_per_key(df: DataFrame, keys: Sequence[str] = S.DEDUP_KEYS,
                   order: Sequence[str] | None = None) -> DataFrame:

@@ -8,7 +8,7 @@ measured size allows, without a hint that assumes it.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -87,12 +87,6 @@ def key_union(a: DataFrame, b: DataFrame, column: str = S.LABEL) -> DataFrame:
     return a.select(column).union(b.select(column)).distinct()
 
 
-def common_columns(a: DataFrame, b: DataFrame) -> list[str]:
-    """Common column names, in the left table's order."""
-    right = set(b.columns)
-    return [c for c in a.columns if c in right]
-
-
 def stack_datasets(datasets: Mapping[str, DataFrame]) -> DataFrame:
     """One table from ``type_year`` keyed tables; the key parts become
     ``election_type`` and ``annee_source`` columns."""
@@ -102,7 +96,3 @@ def stack_datasets(datasets: Mapping[str, DataFrame]) -> DataFrame:
         frames.append(df.withColumns({"election_type": F.lit(kind or key),
                                       "annee_source": F.lit(year).try_cast("int")}))
     return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), frames)
-
-
-def join_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.select(*[c for c in cols if c in df.columns])

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from scrutin import schema as S
+from scrutin.operators.quantiles import RANGES, range_bounds, range_of
 from scrutin.sources import files
 
 UNKNOWN_CLASS = "Inconnu"
@@ -104,10 +105,6 @@ def prepare_features(df: DataFrame, keep: Sequence[str] = (), departments: Seque
     return out, names, classes
 
 
-def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
-    return VectorAssembler(inputCols=list(features), outputCol=out).transform(df)
-
-
 # -- M3 ----------------------------------------------------------------------
 def scaler_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Mean and population standard deviation of each column (one row)."""
@@ -119,15 +116,16 @@ def scaler_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def standardise(df: DataFrame, columns: Sequence[str], stats: DataFrame | None = None) -> DataFrame:
     """M3: (x - mean) / population std (a zero std leaves the scale at 1), with
-    statistics fitted on ``stats`` (e.g. the training rows) or on ``df``."""
+    statistics fitted on ``stats`` (e.g. the training rows) or on ``df``: one
+    scalar subquery that holds the whole statistics row."""
     stats = stats if stats is not None else scaler_stats(df, columns)
+    df = df.withColumn("__stats", stats.select(F.struct("*")).scalar())
     out = {}
     for c in columns:
-        mu = stats.select(f"__mu_{c}").scalar()   # one-row statistics as scalar subqueries
-        sd = stats.select(f"__sd_{c}").scalar()
+        mu, sd = F.col("__stats").getField(f"__mu_{c}"), F.col("__stats").getField(f"__sd_{c}")
         scale = F.when(sd.isNull() | (sd == 0), F.lit(1.0)).otherwise(sd)
         out[c] = (F.col(c) - mu) / scale
-    return df.withColumns(out)
+    return df.withColumns(out).drop("__stats")
 
 
 # -- M4 / M5 -------------------------------------------------------------------
@@ -309,30 +307,47 @@ def confusion_matrix(df: DataFrame, actual: str, predicted: str) -> DataFrame:
                  .withColumn("n", F.coalesce("n", F.lit(0)).cast("long")))
 
 
+def _cumulative(df: DataFrame, label: str, score_col: str, ranges: int = RANGES) -> tuple[DataFrame, F.Column, F.Column]:
+    """Per distinct score its positives and negatives and their running sums
+    from the highest score on, and both totals.  Scores are laid into ranges by
+    a sketch; a range's running sums start at the sum of the ranges above it
+    (a list of at most ``ranges`` sums), so no task sees all scores."""
+    per = (df.groupBy(F.col(score_col).alias("s")).agg(F.sum(F.col(label).cast("long")).alias("p"),
+                                                       F.sum((1 - F.col(label)).cast("long")).alias("n"),
+                                                       F.count(F.lit(1)).alias("c"))
+             .where(F.col("c") > 0))   # keeps one shape of the aggregate for all its readers
+    bounds = per.agg(range_bounds("s", ranges)).scalar()
+    placed = per.withColumn("bounds", bounds).withColumn("r", range_of(F.col("s"), F.col("bounds"))).drop("bounds")
+    sums = placed.groupBy("r").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
+    above = sums.agg(F.collect_list(F.struct("r", "p", "n"))).scalar()
+
+    def before(name: str) -> F.Column:
+        return F.aggregate(F.filter("above", lambda x: x["r"] > F.col("r")), F.lit(0).cast("long"),
+                           lambda acc, x: acc + F.coalesce(x[name], F.lit(0)))
+
+    w = Window.partitionBy("r").orderBy(F.col("s").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    cum = (placed.withColumns({"wp": F.sum("p").over(w), "wn": F.sum("n").over(w), "above": above})
+           .select("s", "p", "n", (F.col("wp") + before("p")).alias("cp"), (F.col("wn") + before("n")).alias("cn")))
+    return cum, per.agg(F.sum("p")).scalar(), per.agg(F.sum("n")).scalar()
+
+
 def roc_curve(df: DataFrame, label: str, score_col: str) -> DataFrame:
     """(threshold, fpr, tpr) at every distinct score, highest first, plus
-    the (inf, 0, 0) start.  Rows are first reduced to one per distinct score
-    (partial aggregation); the running sums run over that table.  With one
-    class only, the rate of the other is null."""
-    per = df.groupBy(score_col).agg(F.sum(F.col(label).cast("long")).alias("__p"),
-                                    F.sum((1 - F.col(label)).cast("long")).alias("__n"))
-    tp = per.agg(F.sum("__p")).scalar()
-    tn = per.agg(F.sum("__n")).scalar()
-    w = Window.orderBy(F.col(score_col).desc()).rowsBetween(Window.unboundedPreceding, 0)
-    cum = per.select(score_col, F.sum("__p").over(w).alias("__cp"), F.sum("__n").over(w).alias("__cn"))
-    pts = cum.select(F.col(score_col).cast("double").alias("threshold"),
-                     F.try_divide(F.col("__cn"), tn).alias("fpr"), F.try_divide(F.col("__cp"), tp).alias("tpr"))
+    the (inf, 0, 0) start.  With one class only, the rate of the other is null."""
+    cum, tp, tn = _cumulative(df, label, score_col)
+    pts = cum.select(F.col("s").cast("double").alias("threshold"),
+                     F.try_divide(F.col("cn"), tn).alias("fpr"), F.try_divide(F.col("cp"), tp).alias("tpr"))
     start = df.sparkSession.createDataFrame([(float("inf"), 0.0, 0.0)], "threshold DOUBLE, fpr DOUBLE, tpr DOUBLE")
     return start.unionByName(pts)
 
 
 def roc_auc(df: DataFrame, label: str, score_col: str) -> DataFrame:
-    """Trapezoid area under the ROC curve (one row)."""
-    curve = roc_curve(df, label, score_col)
-    w = Window.orderBy(F.col("threshold").desc())
-    seg = curve.select((F.col("fpr") - F.lag("fpr", 1, 0.0).over(w)).alias("dx"),
-                       ((F.col("tpr") + F.lag("tpr", 1, 0.0).over(w)) / 2).alias("h"))
-    return seg.agg(F.sum(F.col("dx") * F.col("h")).alias("auc"))
+    """Trapezoid area under the ROC curve (one row; null with one class only):
+    each score adds its negatives times the mean of the positives before and
+    with it."""
+    cum, tp, tn = _cumulative(df, label, score_col)
+    area = cum.agg(F.sum(F.col("n") * (F.col("cp") * 2 - F.col("p"))).alias("a"))
+    return area.select(F.try_divide(F.col("a").cast("double") / 2, tp.cast("double") * tn).alias("auc"))
 
 
 # -- M15 ---------------------------------------------------------------------

@@ -27,7 +27,7 @@ def analyze(results: DataFrame, top_n: int = TOP_N) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("__n"),
             (F.count_if(F.col("ancien_midi_pyrenees")) if "ancien_midi_pyrenees" in cols
              else F.lit(None).cast("long")).alias("__midi"),
-            (X.mean_2dp("taux_participation") if "taux_participation" in cols
+            (F.avg("taux_participation") if "taux_participation" in cols
              else F.lit(None).cast("double")).alias("__part")]
     sets = [[F.col(c)] for c in keyed] + [[]]
     g = results.groupingSets(sets, *[F.col(c) for c in keyed]).agg(

@@ -30,9 +30,10 @@ def enrich_rows(df: DataFrame, urban: Sequence[int] = S.URBAN_DEPARTMENTS) -> Da
 
 def validated(df: DataFrame, regions: Sequence[int] = S.REGION_DEPARTMENTS,
               urban: Sequence[int] = S.URBAN_DEPARTMENTS,
-              observation: Observation | None = None) -> DataFrame:
+              observation: Observation | None = None,
+              years: tuple[int, int] = (S.MIN_YEAR, S.MAX_YEAR)) -> DataFrame:
     """Steps 1-4: every valid row, enriched and with its rates (no dedup)."""
-    df = clean.validate(clean_columns(df), regions, observation)
+    df = clean.validate(clean_columns(df), regions, observation, years)
     return enrich.with_rates(enrich_rows(df, urban))
 
 
@@ -42,10 +43,11 @@ final_order = W.final_order
 def preprocess(df: DataFrame, tiebreak: Sequence[str] | None = None,
                regions: Sequence[int] = S.REGION_DEPARTMENTS,
                urban: Sequence[int] = S.URBAN_DEPARTMENTS,
-               sort: bool = True, observation: Observation | None = None) -> DataFrame:
+               sort: bool = True, observation: Observation | None = None,
+               years: tuple[int, int] = (S.MIN_YEAR, S.MAX_YEAR)) -> DataFrame:
     """The full preprocessing.  ``tiebreak`` orders rows inside a duplicate
     group (first one kept); by default every non-key column, ascending."""
-    df = clean.validate(clean_columns(df), regions, observation)
+    df = clean.validate(clean_columns(df), regions, observation, years)
     if all(c in df.columns for c in S.DEDUP_KEYS):
         df = clean.first_per_key(df, S.DEDUP_KEYS, tiebreak)
     # family, region and rates depend on their own row only: added to the kept rows
