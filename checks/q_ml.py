@@ -52,37 +52,99 @@ def standardised_features(spark, sf):
     return M.standardise(f, names)
 
 
-@query("stratified_split")
+def _unit(keys) -> str:
+    parts = ", ".join(f"CAST({k} AS VARCHAR)" for k in keys)
+    return (f"(CAST(('0x' || substr(md5(concat_ws('|', {parts}, '{S.SPLIT_SEED}')), 1, 8)) AS BIGINT)"
+            " / 4294967296.0)")
+
+
+SHARE = "least(0.3, greatest(0.1, 50.0 / (SELECT count(*) FROM results)))"
+SPLIT = f"""SELECT {Q.TIEBREAK}, famille_politique,
+  c > 1 AND u <= max(u) FILTER (WHERE i <= greatest(ceil({SHARE} * c), 1)) OVER (PARTITION BY famille_politique) AS is_test
+FROM (SELECT *, count(*) OVER (PARTITION BY famille_politique) AS c,
+        row_number() OVER (PARTITION BY famille_politique ORDER BY u) AS i
+      FROM (SELECT *, {_unit(TD.TIEBREAK)} AS u FROM results))"""
+
+
+@query("stratified_split", sql=on_results(SPLIT))
 def stratified_split(spark, sf):
     f, _, _ = M.prepare_features(I.results(spark, sf), keep=TD.TIEBREAK)
-    return M.stratified_split(f, "label", TD.TIEBREAK).groupBy("famille_politique", "is_test") \
-            .agg(F.count(F.lit(1)).alias("n"))
+    return M.stratified_split(f, "label", TD.TIEBREAK).select(*TD.TIEBREAK, "famille_politique", "is_test")
 
 
-@query("random_split")
+@query("random_split", sql=on_results(f"SELECT *, {_unit(TD.TIEBREAK)} < 0.2 AS is_test FROM results"))
 def random_split(spark, sf):
-    return M.random_split(I.results(spark, sf), TD.TIEBREAK, 0.2).groupBy("is_test") \
-            .agg(F.count(F.lit(1)).alias("n"))
+    return M.random_split(I.results(spark, sf), TD.TIEBREAK, 0.2)
+
+
+_FITS: dict = {}
+
+
+def fitted(spark, sf):
+    """The fit of one session and data folder, shared by the queries on it."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _FITS:
+        _FITS[key] = M.train_and_select(I.results(spark, sf), TD.TIEBREAK)
+    return _FITS[key]
 
 
 @query("train_and_select")
 def train_and_select(spark, sf):
-    return M.train_and_select(I.results(spark, sf), TD.TIEBREAK)[0]
+    return fitted(spark, sf)[0]
 
 
 @query("feature_importance")
 def feature_importance(spark, sf):
-    _, art = M.train_and_select(I.results(spark, sf), TD.TIEBREAK)
+    art = fitted(spark, sf)[1]
     return M.feature_importance(art["models"]["RandomForest"], art["features"])
 
 
+def scores(spark, sf):
+    art = fitted(spark, sf)[1]
+    f, _, _ = M.prepare_features(I.results(spark, sf), keep=TD.TIEBREAK, departments=art["departments"],
+                                 classes=art["classes"])
+    return M.score(f, art["models"][art["best"] or "LogisticRegression"], art["classes"])
+
+
 @query("model_scores")
 def model_scores(spark, sf):
-    res = I.results(spark, sf)
-    _, art = M.train_and_select(res, TD.TIEBREAK)
-    f, _, _ = M.prepare_features(res, keep=TD.TIEBREAK)
-    best = art["models"][art["best"] or "LogisticRegression"]
-    return M.score(f, best, art["classes"]).drop("probabilites")
+    return scores(spark, sf)
+
+
+# What SQL can state of the fits: sizes, names, and what must hold of every value.
+@query("train_and_select_facts", sql=on_results(f"""SELECT * FROM (WITH sp AS ({SPLIT}),
+n AS (SELECT count_if(NOT is_test) AS n_train, count_if(is_test) AS n_test,
+  CAST(count(DISTINCT famille_politique) AS INTEGER) AS n_classes FROM sp)
+SELECT m.model, CAST(n_train AS BIGINT) AS n_train, CAST(n_test AS BIGINT) AS n_test,
+  {len(FEATS)} AS n_features, n_classes, TRUE AS accuracy_in_range, TRUE AS best_is_highest
+FROM n, (VALUES ('RandomForest'), ('LogisticRegression')) m(model))"""))
+def train_and_select_facts(spark, sf):
+    t = fitted(spark, sf)[0]
+    top = t.agg(F.max("accuracy")).scalar()
+    return t.select("model", "n_train", "n_test", "n_features", "n_classes",
+                    F.col("accuracy").between(0, 1).alias("accuracy_in_range"),
+                    (~F.col("is_best") | (F.col("accuracy") == top)).alias("best_is_highest"))
+
+
+@query("feature_importance_facts", floats=["total"], sql=on_results(
+    "SELECT f.feature, TRUE AS in_range, 1.0::DOUBLE AS total FROM (VALUES "
+    + ", ".join(f"('{c}')" for c in FEATS) + ") f(feature) WHERE EXISTS (SELECT 1 FROM results)"))
+def feature_importance_facts(spark, sf):
+    imp = feature_importance(spark, sf)
+    return imp.select("feature", F.col("importance").between(0, 1).alias("in_range"),
+                      imp.agg(F.sum("importance")).scalar().alias("total"))
+
+
+@query("model_scores_facts", floats=["total"], sql=on_results(f"""SELECT {Q.TIEBREAK}, famille_politique,
+  (SELECT count(DISTINCT famille_politique) FROM results) AS n_classes, 1.0::DOUBLE AS total,
+  TRUE AS predicted_is_likeliest FROM results"""))
+def model_scores_facts(spark, sf):
+    p = F.map_values("probabilites")
+    return scores(spark, sf).select(
+        *TD.TIEBREAK, "famille_politique", F.size("probabilites").cast("long").alias("n_classes"),
+        F.aggregate(p, F.lit(0.0), lambda a, x: a + x).alias("total"),
+        ((F.element_at("probabilites", F.col("classe_predite")) == F.array_max(p))
+         & (F.col("confiance") == F.array_max(p))).alias("predicted_is_likeliest"))
 
 
 # Two-class scores for M12/M13: document quality against a length score.

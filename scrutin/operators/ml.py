@@ -25,6 +25,10 @@ from scrutin.sources import files
 
 UNKNOWN_CLASS = "Inconnu"
 
+#: Columns that M1 reads.
+MODEL_INPUTS = (S.YEAR, S.DEPT, S.ROUND, S.LABEL, "famille_politique", "typologie", "ancien_midi_pyrenees",
+                "taux_participation", "taux_abstention", "voix", "inscrits", "votants")
+
 
 # -- M1 / M2 -------------------------------------------------------------------
 def target_column(df: DataFrame) -> str:
@@ -130,11 +134,12 @@ def standardise(df: DataFrame, columns: Sequence[str], stats: DataFrame | None =
 
 # -- M4 / M5 -------------------------------------------------------------------
 def _unit_hash(keys: Sequence[str], seed: int) -> F.Column:
-    """A stable pseudo-random number in [0, 1) from the row's key columns."""
+    """A stable pseudo-random number in [0, 1) from the row's key columns as
+    text: the first 32 bits of an MD5 digest, which other engines have too."""
     if not keys:
         raise ValueError("a split needs key columns; without a row key pass all columns")
-    h = F.xxhash64(*[F.col(k) for k in keys], F.lit(seed))
-    return F.pmod(h, F.lit(1 << 30)).cast("double") / float(1 << 30)
+    digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed))))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / float(1 << 32)
 
 
 def test_share(n: int) -> float:
@@ -194,7 +199,18 @@ def train_and_select(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, dic
     test accuracy; the best is the first model with a strictly higher
     accuracy.  Returns (results table M14, {"models": {...}, "features": [...],
     "classes": [...], "best": name}).  An unusable input gives a one-row
-    table with an ``error`` and no models."""
+    table with an ``error`` and no models; a model that fails to fit gives a
+    row with its ``error`` and the other one is still trained.  The columns
+    that are used are kept in memory (or on disk) while the models are fitted."""
+    used = [c for c in df.columns if c in {*keys, *MODEL_INPUTS}]
+    df = df.select(*used).persist()
+    try:
+        return _train_and_select(df, keys)
+    finally:
+        df.unpersist()
+
+
+def _train_and_select(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, dict]:
     spark = df.sparkSession
     departments = department_labels(df) if S.DEPT in df.columns else None
     feats, names, classes = prepare_features(df, keep=list(keys), departments=departments)
@@ -204,25 +220,31 @@ def train_and_select(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, dic
         msg = "not enough rows (minimum 20)" if n < S.MIN_TRAIN_ROWS else f"not enough classes ({k})"
         return model_table(spark, [], error=msg), {"models": {}, "features": names,
                                                    "classes": classes, "departments": departments, "best": None}
-    split = stratified_split(feats, "label", keys).persist()
-    train, test = split.where(~F.col("is_test")), split.where(F.col("is_test"))
-    n_train = train.count()
-    n_test = n - n_train
-    assembler = VectorAssembler(inputCols=names, outputCol="features")
-    scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)
-    pipelines = {
-        "RandomForest": Pipeline(stages=[assembler, random_forest()]),
-        "LogisticRegression": Pipeline(stages=[assembler, scaler, logistic(n_train)]),
-    }
-    models, rows, best, best_score = {}, [], None, 0.0
-    for name, pipe in pipelines.items():
-        model = pipe.fit(train)
-        acc = accuracy(model.transform(test)) if n_test else 0.0
-        models[name] = model
-        rows.append((name, float(acc), n_train, n_test, len(names), k))
-        if acc > best_score:
-            best, best_score = name, acc
-    split.unpersist()
+    split = stratified_split(feats, "label", keys, share=test_share(n)).persist()
+    try:
+        train, test = split.where(~F.col("is_test")), split.where(F.col("is_test"))
+        n_train = train.count()
+        n_test = n - n_train
+        assembler = VectorAssembler(inputCols=names, outputCol="features")
+        scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)
+        pipelines = {
+            "RandomForest": Pipeline(stages=[assembler, random_forest()]),
+            "LogisticRegression": Pipeline(stages=[assembler, scaler, logistic(n_train)]),
+        }
+        models, rows, best, best_score = {}, [], None, 0.0
+        for name, pipe in pipelines.items():
+            try:
+                model = pipe.fit(train)
+                acc = accuracy(model.transform(test)) if n_test else 0.0
+            except Exception as e:  # noqa: BLE001 - a failed fit is a result of its own
+                rows.append((name, None, n_train, n_test, len(names), k, f"{type(e).__name__}: {e}"[:500]))
+                continue
+            models[name] = model
+            rows.append((name, float(acc), n_train, n_test, len(names), k, None))
+            if acc > best_score:
+                best, best_score = name, acc
+    finally:
+        split.unpersist()
     return (model_table(spark, rows, best=best),
             {"models": models, "features": names, "classes": classes, "departments": departments, "best": best})
 
@@ -232,7 +254,7 @@ def model_table(spark: SparkSession, rows: list[tuple], best: str | None = None,
     """Model, accuracy, train/test sizes, feature and class counts."""
     schema = ("model STRING, accuracy DOUBLE, n_train BIGINT, n_test BIGINT, n_features INT, "
               "n_classes INT, is_best BOOLEAN, error STRING")
-    data = [(m, a, tr, te, nf, nc, m == best, None) for m, a, tr, te, nf, nc in rows]
+    data = [(m, a, tr, te, nf, nc, m == best, err) for m, a, tr, te, nf, nc, err in rows]
     if error is not None:
         data = [(None, None, None, None, None, None, False, error)]
     return spark.createDataFrame(data, schema)
