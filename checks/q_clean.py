@@ -12,6 +12,7 @@ from scrutin import schema as S
 from scrutin.operators import clean as C
 from scrutin.operators import enrich as E
 from scrutin.operators import joins as J
+from scrutin.operators import ordering as W
 from scrutin.plans import analyze as L4
 from scrutin.plans import preprocess as L
 from scrutin.sources import catalog as K
@@ -63,13 +64,13 @@ def clean_columns(spark, sf):
     return L.clean_columns(I.raw(spark, sf))
 
 
-@query("department_code_text", sql=on(Q.BALLOTS, Q.RAW, body="""SELECT DISTINCT
+@query("department_code_text", sql=on(Q.BALLOTS, Q.RAW, body=f"""SELECT {TB},
   CASE WHEN TRY_CAST("Departement" AS DOUBLE) IS NULL THEN NULL
        ELSE lpad(CAST(CAST(TRY_CAST("Departement" AS DOUBLE) AS INTEGER) AS VARCHAR), 2, '0') END
   AS departement FROM raw"""))
 def department_code_text(spark, sf):
     r = C.rename_synonyms(I.raw(spark, sf))
-    return C.department_code(r, as_text=True).select("departement").distinct()
+    return C.department_code(r, as_text=True).select(*TD.TIEBREAK, "departement")
 
 
 @query("minimal_clean", sql=on(Q.BALLOTS, Q.RAW, body=f"""SELECT l_orderkey, l_linenumber, l_partkey,
@@ -144,6 +145,48 @@ def clean_table_socio(spark, sf):
     return C.clean_table(socio(spark, sf), exclude=("annee", "tour", "id", "departement", "DEP"))
 
 
+# The socio rows with every seventh unemployment missing, a fractional rate
+# beyond [0, 1], each tenth row twice and an empty row for each fiftieth.
+DIRTY_COLS = ["DEP", "COM", "LIBCOM", *S.SOCIO_INDICATORS, "annee"]
+DIRTY = f"""keyed AS (SELECT *, CAST(COM AS BIGINT) AS k FROM socio),
+dirty0 AS (SELECT * EXCLUDE (k) REPLACE (CASE WHEN k % 7 = 0 THEN NULL ELSE taux_chomage END AS taux_chomage),
+  CAST(k % 150 - 10 AS DOUBLE) / 100 AS growth_rate, k FROM keyed),
+dirty AS (SELECT * EXCLUDE (k) FROM dirty0 UNION ALL SELECT * EXCLUDE (k) FROM dirty0 WHERE k % 10 = 0
+  UNION ALL SELECT {', '.join('NULL' for _ in [*DIRTY_COLS, 'growth_rate'])} FROM dirty0 WHERE k % 50 = 0)"""
+DIRTY_RATES = [*S.SOCIO_INDICATORS, "growth_rate"]
+
+
+def _clean_dirty_sql() -> str:
+    clipped = "least(greatest(growth_rate, 0.0), 1.0) AS growth_rate"
+    med = ", ".join(f"quantile_cont({c}, 0.5) AS m_{c}" for c in DIRTY_RATES)
+    fill = ", ".join(f"coalesce({c}, m_{c}) AS {c}" for c in DIRTY_RATES)
+    qs = ", ".join(f"quantile_cont({c}, 0.01) AS lo_{c}, quantile_cont({c}, 0.99) AS hi_{c}" for c in DIRTY_RATES)
+    rep = ", ".join(f"least(greatest({c}, lo_{c}), hi_{c}) AS {c}" for c in DIRTY_RATES)
+    return f"""SELECT * FROM (WITH {DIRTY},
+d AS (SELECT DISTINCT * REPLACE ({clipped}) FROM dirty WHERE COM IS NOT NULL),
+f AS (SELECT d.* REPLACE ({fill}) FROM d, (SELECT {med} FROM d) AS m),
+q AS (SELECT {qs} FROM f)
+SELECT f.* REPLACE (CAST(DEP AS DOUBLE) AS DEP, CAST(annee AS DOUBLE) AS annee, {rep}) FROM f, q)"""
+
+
+@query("clean_table_dirty", floats=DIRTY_RATES, sql=on(Q.SOCIO, body=_clean_dirty_sql()))
+def clean_table_dirty(spark, sf):
+    k = F.col("COM").cast("long")
+    base = socio(spark, sf).withColumns({"taux_chomage": F.when(k % 7 != 0, F.col("taux_chomage")),
+                                         "growth_rate": (k % 150 - 10).cast("double") / 100})
+    empty = base.where(k % 50 == 0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in base.schema])
+    return C.clean_table(base.unionByName(base.where(k % 10 == 0)).unionByName(empty),
+                         exclude=("annee", "tour", "id", "departement", "DEP"))
+
+
+# W2
+@query("share_of_total", floats=["pct"], sql=on(Q.BALLOTS, Q.TYPED_CLEAN, body="""SELECT *,
+  CASE WHEN sum(voix) OVER w <> 0 THEN CAST(voix AS DOUBLE) / sum(voix) OVER w * 100 ELSE 0.0 END AS pct
+FROM typed_clean WINDOW w AS (PARTITION BY annee, tour, departement)"""))
+def share_of_total(spark, sf):
+    return W.share_of_total(I.typed(spark, sf), "voix", S.CONTEST_KEYS)
+
+
 @query("distinct_contest_labels", sql=on(Q.BALLOTS, Q.TYPED_CLEAN, body="""SELECT DISTINCT annee, tour,
   departement, nuance FROM typed_clean"""))
 def distinct_contest_labels(spark, sf):
@@ -181,12 +224,11 @@ def rounds_for_year(spark, sf):
     return C.rounds_for_year(I.results(spark, sf), 2017)
 
 
-@query("contests_present", sql=on(Q.BALLOTS, Q.TYPED, Q.ENRICHED, Q.RESULTS, body="""SELECT * FROM enriched e
-WHERE EXISTS (SELECT 1 FROM results r WHERE r.voix > 900 AND r.annee = e.annee
+@query("contests_present", sql=on(Q.BALLOTS, Q.TYPED, Q.ENRICHED, Q.RESULTS, Q.TYPED_CLEAN, body="""
+SELECT * FROM typed_clean e WHERE EXISTS (SELECT 1 FROM results r WHERE r.annee = e.annee
   AND r.departement = e.departement AND r.tour = e.tour)"""))
 def contests_present(spark, sf):
-    r = I.results(spark, sf)
-    return C.contests_present(I.enriched(spark, sf), r.where(F.col("voix") > 900))
+    return C.contests_present(I.typed(spark, sf), I.results(spark, sf))
 
 
 # -- E7 / J1 / J2 / J3 / T3 ---------------------------------------------------------------
@@ -221,11 +263,11 @@ LEG = ("SELECT departement, avg(inscrits) AS inscrits_leg, avg(votants) AS votan
 
 
 @query("join_legislative", floats=["inscrits_leg", "votants_leg", "abstentions_leg"],
-       sql=on_results(f"SELECT r.*, l.* EXCLUDE (departement) FROM (SELECT * FROM results WHERE tour = 1) r "
+       sql=on_results(f"SELECT r.*, l.* EXCLUDE (departement) FROM results r "
                       f"LEFT JOIN ({LEG}) l ON r.departement = l.departement"))
 def join_legislative(spark, sf):
     r = I.results(spark, sf)
-    return J.join_legislative(r.where(F.col("tour") == 1), r.where(F.col("tour") == 2))
+    return J.join_legislative(r, r.where(F.col("tour") == 2))
 
 
 MERGE_FLOATS = ([f"{c}_2012" for c in S.SOCIO_INDICATORS] + [f"{c}_2017" for c in S.SOCIO_INDICATORS]
@@ -249,13 +291,13 @@ def merge_datasets(spark, sf):
 
 
 @query("stack_datasets", sql=on_results("""
-SELECT *, 'legislative' AS election_type, 2017 AS annee_source FROM results WHERE annee = 2017
+SELECT *, 'legislative' AS election_type, 2017 AS annee_source FROM results WHERE tour = 1
 UNION ALL
-SELECT *, 'legislative' AS election_type, 2018 AS annee_source FROM results WHERE annee = 2018"""))
+SELECT *, 'presidentielle' AS election_type, 2022 AS annee_source FROM results WHERE tour = 2"""))
 def stack_datasets(spark, sf):
     r = I.results(spark, sf)
-    return J.stack_datasets({"legislative_2017": r.where(F.col("annee") == 2017),
-                             "legislative_2018": r.where(F.col("annee") == 2018)})
+    return J.stack_datasets({"legislative_2017": r.where(F.col("tour") == 1),
+                             "presidentielle_2022": r.where(F.col("tour") == 2)})
 
 
 # -- L4 / L3 ------------------------------------------------------------------------

@@ -192,7 +192,7 @@ def regional_trends(spark, sf):
 SELECT * EXCLUDE (r) FROM (SELECT *, max(CASE WHEN annee >= {S.RECENT_YEAR} THEN 1 ELSE 0 END)
   OVER (PARTITION BY departement) AS r FROM history_e9) WHERE r = 0 OR annee >= {S.RECENT_YEAR}"""))
 def recent_or_all(spark, sf):
-    return C.recent_or_all(history(spark, sf))
+    return C.recent_or_all(history(spark, sf), codes=S.REGION_DEPARTMENTS)
 
 
 @query("history_participation", floats=["taux_participation"], sql=on_hist(HIST_E9, body="""
@@ -254,6 +254,38 @@ def predict_shares_earliest(spark, sf):
     return predictions(spark, sf, "earliest")
 
 
+# Branches that the region's own history never reaches.
+ALL_DEPTS = GRID.replace("SELECT DISTINCT departement FROM history", "SELECT DISTINCT departement FROM typed_clean")
+NO_VOTES = Q.HISTORY.replace("SELECT * FROM typed_clean", "SELECT * REPLACE (voix * 0 AS voix) FROM typed_clean")
+TOP_LABELS = """labs AS (SELECT nuance FROM history WHERE nuance IS NOT NULL GROUP BY nuance
+  ORDER BY count(*) DESC, nuance LIMIT 8)"""
+
+
+@query("predict_shares_all_departments", floats=["pct"], sql=on_hist(
+    SHARES, trends_cte("latest"), REGIONAL, LABELS, ALL_DEPTS, CHAIN, body="SELECT * FROM pred"))
+def predict_shares_all_departments(spark, sf):
+    """Departments outside the region have no history: the regional means."""
+    return P.predict_shares(P.scenario_grid(I.typed(spark, sf), GRID_YEARS, GRID_PARTICIPATION), summary(spark, sf))
+
+
+@query("predict_shares_top_labels", floats=["pct"], sql=on_hist(
+    SHARES, trends_cte("latest"), REGIONAL, TOP_LABELS, GRID, CHAIN, body="SELECT * FROM pred"))
+def predict_shares_top_labels(spark, sf):
+    """A label list smaller than the history."""
+    h = summary(spark, sf)
+    return P.predict_shares(P.scenario_grid(h, GRID_YEARS, GRID_PARTICIPATION), h,
+                            labels=A.top_values(history(spark, sf), "nuance", 8))
+
+
+@query("predict_shares_no_votes", floats=["pct"], sql=on(
+    Q.BALLOTS, Q.TYPED_CLEAN, NO_VOTES, SHARES, trends_cte("latest"), REGIONAL, LABELS, GRID, CHAIN,
+    body="SELECT * FROM pred"))
+def predict_shares_no_votes(spark, sf):
+    """A history without any vote has no shares: the fixed table."""
+    h = P.summarise_history(history(spark, sf).withColumn("voix", F.col("voix") * 0), materialise=True)
+    return P.predict_shares(P.scenario_grid(h, GRID_YEARS, GRID_PARTICIPATION), h)
+
+
 @query("estimated_votes", floats=["pct"], sql=on_pred(f"""SELECT p.*,
   CAST(floor(floor(s.votants * {S.EXPRESSED_SHARE_OF_VOTERS}) * p.pct / 100) AS BIGINT) AS voix_estimees
 FROM pred p JOIN scen s ON p.scenario_id = s.scenario_id"""))
