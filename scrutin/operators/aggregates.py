@@ -19,6 +19,10 @@ from scrutin.operators import clean
 from scrutin.operators.quantiles import with_quantiles
 
 
+#: The most rows that a top-k table may have to be broadcast.
+MAX_BROADCAST_ROWS = 10_000
+
+
 # -- A1 / A2 / A11 ----------------------------------------------------------------
 def value_counts(df: DataFrame, column: str, n: int | None = None) -> DataFrame:
     """Rows per value, count descending then value; nulls excluded; optional top n."""
@@ -131,11 +135,17 @@ def top_values(df: DataFrame, column: str, k: int) -> DataFrame:
     return value_counts(df, column, k).select(column)
 
 
+def in_top_values(df: DataFrame, column: str, k: int) -> DataFrame:
+    """Rows whose value is among the k most frequent: a semi join on a table of
+    at most k rows, broadcast if k says that it is small."""
+    top = top_values(df, column, k)
+    return df.join(F.broadcast(top) if k <= MAX_BROADCAST_ROWS else top, on=column, how="left_semi")
+
+
 def label_evolution(df: DataFrame, k: int = 8, share: str = "pct_exprimes") -> DataFrame:
     """A10: restrict to the k most frequent labels (J5), then per (year, label)
     summed votes and mean share."""
-    top = F.broadcast(top_values(df, S.LABEL, k))  # at most k rows
-    kept = df.join(top, on=S.LABEL, how="left_semi")
+    kept = in_top_values(df, S.LABEL, k)
     return kept.groupBy(S.YEAR, S.LABEL).agg(F.sum(S.VOTES).alias("voix"),
                                              F.avg(share).alias("part_voix"))
 
@@ -237,7 +247,7 @@ def historical_trends(df: DataFrame, reference_year: str = "latest",
     # pre-aggregate (partial, map-side) so F8's flag join and the shares run
     # on one row per (department, year, label), never on the ballots
     pre = df.groupBy(*keys, S.YEAR, S.LABEL).agg(F.sum(S.VOTES).alias(S.VOTES))
-    shares = label_shares_by_year(clean.recent_or_all(pre, since, keys), by=keys)
+    shares = label_shares_by_year(clean.recent_or_all(pre, since, keys, salts=1), by=keys)
     pick = F.max_by if reference_year == "latest" else F.min_by
     return shares.groupBy(*keys, S.LABEL).agg(
         F.avg("pct").alias("avg_pct"),

@@ -2,8 +2,8 @@
 
 Fact-to-aggregate joins pre-aggregate the right side to one row per
 department first (bounded by the number of departments), so the join never
-multiplies rows; Spark's adaptive planner broadcasts it at run time when the
-measured size allows, without a hint that assumes it.
+multiplies rows, and split each department's rows over several tasks; Spark's
+adaptive planner broadcasts it at run time when the measured size allows.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from scrutin import schema as S
 from scrutin.operators import aggregates as A
 from scrutin.operators import enrich
+from scrutin.operators.salting import salted_join
 
 
 def socio_by_department(socio: DataFrame, suffix: str = "") -> DataFrame:
@@ -30,7 +31,7 @@ def socio_by_department(socio: DataFrame, suffix: str = "") -> DataFrame:
 
 def join_socio(base: DataFrame, socio: DataFrame, suffix: str = "") -> DataFrame:
     """Department means of the socio indicators, left-joined."""
-    return base.join(socio_by_department(socio, suffix), on=S.DEPT, how="left")
+    return salted_join(base, socio_by_department(socio, suffix), [S.DEPT], how="left")
 
 
 def legislative_by_department(leg: DataFrame, suffix: str = "_leg") -> DataFrame:
@@ -40,7 +41,7 @@ def legislative_by_department(leg: DataFrame, suffix: str = "_leg") -> DataFrame
 
 def join_legislative(base: DataFrame, leg: DataFrame, suffix: str = "_leg") -> DataFrame:
     """Department means of registered/voters/abstentions, ``_leg`` suffix."""
-    return base.join(legislative_by_department(leg, suffix), on=S.DEPT, how="left")
+    return salted_join(base, legislative_by_department(leg, suffix), [S.DEPT], how="left")
 
 
 def _year_of(key: str) -> str:
@@ -69,9 +70,8 @@ def merge_datasets(datasets: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def top_labels_only(df: DataFrame, k: int = 8, column: str = S.LABEL) -> DataFrame:
-    """Rows whose label is among the k most frequent (semi join on a
-    k-row table, broadcast: its size is bounded by k)."""
-    return df.join(F.broadcast(A.top_values(df, column, k)), on=column, how="left_semi")
+    """Rows whose label is among the k most frequent."""
+    return A.in_top_values(df, column, k)
 
 
 def with_dimension(df: DataFrame, how: str = "left") -> DataFrame:

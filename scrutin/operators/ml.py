@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from scrutin import schema as S
 from scrutin.operators.quantiles import RANGES, range_bounds, range_of
+from scrutin.operators.salting import salted_join
 from scrutin.sources import files
 
 UNKNOWN_CLASS = "Inconnu"
@@ -160,7 +161,7 @@ def stratified_split(df: DataFrame, label: str, keys: Sequence[str], share: floa
     stats = with_u.groupBy(label).agg(
         F.count(F.lit(1)).alias("__nc"),
         F.percentile_approx("__u", F.lit(float(share)), accuracy).alias("__thr"))
-    j = with_u.join(stats.select(label, "__nc", "__thr"), on=label, how="inner")
+    j = salted_join(with_u, stats, [label])
     return (j.withColumn("is_test", (F.col("__nc") > 1) & (F.col("__u") <= F.col("__thr")))
              .drop("__u", "__nc", "__thr"))
 

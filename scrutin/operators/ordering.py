@@ -12,21 +12,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scrutin import schema as S
+from scrutin.operators.salting import salted_join
 
 
 def share_of_total(df: DataFrame, value: str, by: Sequence[str], out: str = "pct") -> DataFrame:
     """Value / sum(value) over the group x 100 (0 when the sum is 0).
 
     The group totals come from a partial aggregate joined back on the group
-    keys (no window), so a group holding a large share of the rows is never
-    sorted or buffered in one task; AQE broadcasts the totals when small.
+    keys (no window), each group split over several tasks (``salted_join``).
     """
-    by = list(by)
     totals = df.groupBy(*by).agg(F.sum(value).alias("__total"))
-    j = df.join(totals, on=[df[c].eqNullSafe(totals[c]) for c in by], how="inner") \
-          .drop(*[totals[c] for c in by])
-    return j.withColumn(out, F.when(F.col("__total") != 0, F.col(value) / F.col("__total") * 100)
-                         .otherwise(F.lit(0.0))).drop("__total")
+    return salted_join(df, totals, by).withColumn(
+        out, F.when(F.col("__total") != 0, F.col(value) / F.col("__total") * 100).otherwise(F.lit(0.0))).drop("__total")
 
 
 def rank_predictions(df: DataFrame, by: Sequence[str] = ("scenario_id",), value: str = "pct",

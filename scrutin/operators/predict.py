@@ -159,12 +159,13 @@ def apply_rules(shares: DataFrame, scenarios: DataFrame, rules: DataFrame | None
                 value: str = "base", out: str = "adj") -> DataFrame:
     """Multiply each share by the product of the matching rules' factors.
 
-    Equi join on the label plus the rule conditions, against the rule table
-    (a few dozen rows, fixed: broadcast).  Labels with no rule keep 1.0.
+    Equi join on the label plus the rule conditions.  The own rule table (a few
+    dozen rows, fixed) is broadcast; how to join a caller's table is left to
+    Spark.  Labels with no rule keep 1.0.
     """
-    rules = rules if rules is not None else rule_table(shares.sparkSession)
+    rules = rules if rules is not None else F.broadcast(rule_table(shares.sparkSession))
     s = shares.join(scenarios.select(*SCENARIO_ATTRS), on="scenario_id", how="inner")
-    r = F.broadcast(rules.withColumnRenamed(S.LABEL, "__rl"))
+    r = rules.withColumnRenamed(S.LABEL, "__rl")
     cond = ((F.col(S.LABEL) == F.col("__rl"))
             & (F.col("rule_dept").isNull() | (F.col("rule_dept") == F.col(S.DEPT)))
             & (F.col("min_year").isNull() | (F.col(S.YEAR) >= F.col("min_year")))

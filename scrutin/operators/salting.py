@@ -1,0 +1,34 @@
+"""Joins of many rows with a table of one row per key, hot keys split."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+SALTS = 32
+_NESTED = (T.MapType, T.VariantType)
+
+
+def salted_join(rows: DataFrame, per_key: DataFrame, on: Sequence[str], how: str = "inner",
+                salts: int = SALTS) -> DataFrame:
+    """``rows`` with the columns of ``per_key`` (at most one row per key; null
+    keys match null keys).
+
+    Each key is spread over ``salts`` parts by a hash of the row, and the table
+    is repeated once per part, so a key that holds a third of the rows is
+    never one task.  The hash depends on the row alone: a lost task's rows go
+    to the same parts again.  ``how`` is ``inner`` or ``left``.
+    """
+    on = list(on)
+    payload = [c for c in per_key.columns if c not in on]
+    hashable = [f.name for f in rows.schema.fields if not isinstance(f.dataType, _NESTED)]
+    left = rows.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(c) for c in hashable]), F.lit(salts)).cast("int"))
+    right = (per_key.select(*[F.col(c).alias(f"__key_{i}") for i, c in enumerate(on)], *payload)
+             .withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
+    cond = F.col("__salt") == F.col("__part")
+    for i, c in enumerate(on):
+        cond = cond & F.col(c).eqNullSafe(F.col(f"__key_{i}"))
+    return left.join(right, on=cond, how=how).select(*rows.columns, *payload)
