@@ -36,7 +36,9 @@ def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(*TIEBREAK)
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     cu = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    return (li.join(od, li.l_orderkey == od.o_orderkey)
+    # both sides grow with the data: a shuffle join at every size, which also
+    # spreads files of few row groups over the tasks
+    return (li.join(od.hint("merge"), li.l_orderkey == od.o_orderkey)
               .join(cu, od.o_custkey == cu.c_custkey))
 
 
