@@ -1,11 +1,12 @@
 """Operator 4: near-duplicate groups by DartMinHash.
 
-A document is the weighted set of its five-word shingles (weight 1 + ln of the
-shingle's count).  Every element owns a region, its weight wide, into which
+A document is the set of its five-word shingles, each of weight one however
+often it occurs.  Every element owns a region, its weight wide, into which
 hashed darts fall as a Poisson process in time; the darts that an element's
 weight covers are thrown, each names one of K coordinates, and the earliest
 dart of each coordinate is kept.  Two documents agree in a coordinate with
-their weighted Jaccard similarity as probability.  Coordinates are joined in
+the Jaccard similarity of their sets, the one that is verified, as
+probability.  Coordinates are joined in
 bands; candidate pairs are then verified exactly: a link is a Jaccard
 similarity of at least 0.8 between the shingle sets of the whole texts.
 
@@ -54,8 +55,8 @@ REPRESENTATIVES = 4
 _SEEDS = tuple(np.uint64(x) for x in (0x9FB21C651E98DF25, 0xD2B74407B1CE6E93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB))
 
 
-def weighted_shingles(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct shingles of each text, their weights and offsets by text."""
+def distinct_shingles(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles of each text and offsets by text."""
     h, off = B.shingles(B.words(col))
     doc = np.repeat(np.arange(len(col)), np.diff(off))
     by = np.lexsort((h, doc))
@@ -63,8 +64,7 @@ def weighted_shingles(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray
     first = np.ones(len(h), dtype=bool)
     first[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
     at = np.flatnonzero(first)
-    count = np.diff(np.append(at, len(h)))
-    return h[at], 1.0 + np.log(count), np.searchsorted(doc[at], np.arange(len(col) + 1))
+    return h[at], np.searchsorted(doc[at], np.arange(len(col) + 1))
 
 
 def dart_minhash(elements: np.ndarray, weights: np.ndarray, offsets: np.ndarray, k: int = COORDINATES) -> np.ndarray:
@@ -121,8 +121,8 @@ def dart_minhash(elements: np.ndarray, weights: np.ndarray, offsets: np.ndarray,
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, col in B.chunks(batch, size=2 << 20):
-            el, w, off = weighted_shingles(col)
-            sig = dart_minhash(el, w, off)
+            el, off = distinct_shingles(col)
+            sig = dart_minhash(el, np.ones(len(el)), off)
             some = np.diff(off) > 0
             bands = np.zeros((len(col), BANDS), np.uint64)
             for r in range(ROWS):
