@@ -35,12 +35,13 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scrutin.llm.common import stored
+from scrutin.llm.common import shuffle_partitions, stored
 from scrutin.llm.textbytes import text_column
 
 MIN_LENGTH = 12
 MAX_LABELLED = 20_000
 COMMON, WORDS = 1, 50_000
+PART_WORDS = 1 << 17
 SECRET_AT = 0.5
 CONTEXT = 40
 
@@ -140,14 +141,21 @@ def _found(common):
 
 
 def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words of a batch and the documents that hold them; words of one document
-    of the batch only are left out (a common word is in more)."""
+    """Every word of the partition's texts and the documents that hold it, in
+    parts of bounded size."""
+    n: Counter[str] = Counter()
+
+    def part() -> pa.RecordBatch:
+        return pa.record_batch([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], names=["word", "n"])
+
     for batch in batches:
-        n: Counter[str] = Counter()
         for text in text_column(batch.column(0)).to_pylist():
             n.update(set(_WORD.findall(text.lower())))
-        some = [(w, c) for w, c in n.items() if c > 1 and len(w) <= 30]
-        yield pa.record_batch([pa.array([w for w, _ in some], pa.string()), pa.array([c for _, c in some], pa.int64())], names=["word", "n"])
+            if len(n) > PART_WORDS:
+                yield part()
+                n.clear()
+    if n:
+        yield part()
 
 
 def common_words(documents: DataFrame) -> frozenset[str]:
@@ -171,7 +179,9 @@ def findings(documents: DataFrame) -> DataFrame:
     share = F.when(F.col("label") == 1, min(1.0, MAX_LABELLED / n[1])).otherwise(min(1.0, MAX_LABELLED / n[0]))
     train = stored(known.where(F.pmod("key", F.lit(1_000_000)) < share * 1_000_000)
                    .select(array_to_vector("features").alias("x"), F.col("label").cast("double").alias("label"),
-                           F.when(F.col("label") == 1, 1.0 / n[1]).otherwise(1.0 / n[0]).alias("weight")), "train")
+                           F.when(F.col("label") == 1, 1.0 / n[1]).otherwise(1.0 / n[0]).alias("weight"), "key")
+                   # the forest's samples go by partition and row, so both follow the key alone
+                   .repartition(shuffle_partitions(documents.sparkSession), "key").sortWithinPartitions("key", "label"), "train")
     forest = RandomForestClassifier(featuresCol="x", labelCol="label", weightCol="weight", numTrees=40, maxDepth=8, seed=5,
                                     minInstancesPerNode=2, probabilityCol="p", predictionCol="predicted", rawPredictionCol="raw").fit(train)
     scored = forest.transform(rows.withColumn("x", array_to_vector("features")))
