@@ -77,15 +77,9 @@ def random_split(spark, sf):
     return M.random_split(I.results(spark, sf), TD.TIEBREAK, 0.2)
 
 
-_FITS: dict = {}
-
-
 def fitted(spark, sf):
-    """The fit of one session and data folder, shared by the queries on it."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _FITS:
-        _FITS[key] = M.train_and_select(I.results(spark, sf), TD.TIEBREAK)
-    return _FITS[key]
+    """A fit of the tables as they are now; every query makes its own."""
+    return M.train_and_select(I.results(spark, sf), TD.TIEBREAK)
 
 
 @query("train_and_select")
