@@ -12,12 +12,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from scrutin.llm import decontamination, licences, urls
+from scrutin.llm import decontamination, licences, merkle, prefix_trie, urls
 from scrutin.llm.common import table
 from scrutin.llm.fingerprint import fingerprints
 from scrutin.llm.hmm import lm_scores
 from scrutin.llm.mixing import mixed
 from scrutin.llm.neardup import near_duplicates
+from scrutin.llm.packing import packed_digest
 from scrutin.llm.pii import personal_data
 from scrutin.llm.quality import quality_scores
 from scrutin.llm.secrets import findings
@@ -94,6 +95,27 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents")).select("doc_id", "source", "size", "source_size", "target", "taken", "copies")
 
 
+@query
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.shared_prefixes(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op11_conversation_trie"] = prefix_trie.ORACLE
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verifications(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_merkle_manifest"] = merkle.ORACLE
+
+
+@query
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_digest(table(spark, sf_dir, "documents"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
