@@ -1,19 +1,22 @@
 """Operator 12: a Merkle manifest of a dataset, and inclusion proofs by a recursive query.
 
 Every row is a leaf digest.  The leaves of a source, by id, form a tree of
-fan-out 3; the source's roots form the top tree in the same way.  Two levels
+fan-out 3; the sources' roots form the top tree in the same way.  Four levels
 are built at a time: a written link row stands for a node, holds the digests
-of its at most nine grandchildren and three children, and names its own parent
-link.  A Spark recursive query then climbs from every leaf: each step joins the
-link, appends the siblings of both levels to the proof, and folds the leaf's
-digest, which may come from changed content, with those siblings.
-
-Links near the leaves are many but each serves few leaves, so they are joined
-by a shuffle.  From the level on at which at most BROADCAST_LINKS are left
-(about 400 bytes each) they are broadcast, since there one link serves up to
-all leaves of a source.  If there are more sources than that, the low levels of
-the top tree are joined by shuffle in SALTS copies, since one source may have
-most leaves.  Each phase's rows are written before the next one.
+below it layer by layer (81 at most in the lowest, 120 in all), and names its
+own parent link.  A Spark recursive query then climbs from the leaves: each
+step joins the parent link, appends the siblings of its layers to the proof,
+and folds every leaf's digest, which may come from changed content, with those
+siblings.  The up to 81 leaves of a lowest link go the same way from there on,
+so they climb as one row that holds a folded digest for each of them and one
+proof, which each leaf's own siblings inside the link precede in the end.
+
+From the link level on at which at most BROADCAST_LINKS / 2 links are left
+(about 5 kB each) links are broadcast, since there one link serves up to all
+leaves of a source; larger levels, whose links serve 81 rows or few more,
+are joined by a shuffle.  If there are that many sources, the low levels of the
+top tree are joined by shuffle in SALTS copies, since one source may have most
+leaves.  Each phase's rows are written before the next one.
 
 Defined cases: null fields count as ``-``; an empty text is ``0:``.  Equal ids
 are ordered by their leaf's digest, null ids come first; equal rows are leaves
@@ -25,15 +28,16 @@ is only hashed, so its length has no bound of its own.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scrutin.llm.common import stored
 from scrutin.llm.ranks import positions
 
 FAN_OUT = 3
-BLOCK = FAN_OUT * FAN_OUT
-BROADCAST_LINKS = 20_000
+LAYERS = 4
+BLOCK = FAN_OUT ** LAYERS
+BROADCAST_LINKS = 4_000
 SALTS = 32
 
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
@@ -72,93 +76,97 @@ def leaves(documents: DataFrame, tampered: Column | None = None) -> DataFrame:
     return documents.select(tree.alias("tree"), F.col("doc_id").cast("long").alias("doc_id"), leaf.alias("leaf"), other.alias("changed"))
 
 
-_HEX = "array_join(transform({0}, d -> lower(hex(d))), '')"
-_SHA = "unhex(sha2(cast({0} as binary), 256))"
-
-
-def _block(nodes: DataFrame, level: int) -> DataFrame:
-    """Link rows of the trees that have several nodes left: nine nodes each, two levels
-    (one, where the tree has at most three nodes left)."""
-    three = _SHA.format(_HEX.format(f"slice(kids, {FAN_OUT} * i + 1, {FAN_OUT})"))
-    return (nodes.where("n > 1")
-            .groupBy("tree", F.expr(f"pos div {BLOCK}").alias("pos"))
-            .agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("pos", "digest"))).getField("digest").alias("kids"))
-            .withColumn("level", F.lit(level))
-            .withColumn("groups", F.expr(f"transform(sequence(0, (size(kids) - 1) div {FAN_OUT}), i -> {three})"))
-            .withColumn("groups", F.expr(f"if(n > {FAN_OUT}, groups, null)"))
-            .withColumn("digest", F.expr(f"coalesce({_SHA.format(_HEX.format('groups'))}, {_SHA.format(_HEX.format('kids'))})"))
-            .withColumn("n", F.expr(f"if(n > {FAN_OUT}, (n + {BLOCK - 1}) div {BLOCK}, 1L)")))
-
-
-def _build(nodes: DataFrame, name: str) -> tuple[list[DataFrame], DataFrame | None]:
+_HASH = "unhex(sha2(cast(array_join(transform({0}, d -> lower(hex(d))), '') as binary), 256))"
+_RUN = "slice({0}, 3 * ({1} div 3) + 1, 3)"
+#: A digest folded with the run of each layer in which it stands, from place ``slot`` of the lowest.
+_FOLD = ("aggregate({layers}, named_struct('d', {digest}, 's', cast({slot} as bigint)), (acc, layer) -> named_struct('d', "
+         "unhex(sha2(cast(array_join(transform(" + _RUN.format("layer", "acc.s") + ", (d, i) -> lower(hex(if(i = acc.s % 3, acc.d, d)))), '') as binary), 256)), "
+         "'s', acc.s div 3)).d")
+#: The bytes of the siblings in each layer.
+_SIBLINGS = ("unhex(array_join(flatten(transform({layers}, (layer, l) -> transform(filter("
+             + _RUN.format("layer", "({slot} div cast(pow(3, l) as bigint))") + ", (d, i) -> i <> ({slot} div cast(pow(3, l) as bigint)) % 3), d -> hex(d)))), ''))")
+
+_UP = ("tree", "level", "pos", "slot")
+
+
+def _blocks(nodes: DataFrame, level: int, **held: Column) -> DataFrame:
+    """Link rows of the trees that have several nodes left: 81 nodes each, as many
+    layers as the tree still has, four at most.  ``held``: lists to keep of the nodes."""
+    places = F.array_sort(F.collect_list(F.struct("pos", "digest", *[c.alias(k) for k, c in held.items()])))
+    links = (nodes.where("n > 1").groupBy("tree", F.expr(f"pos div {BLOCK}").alias("pos"))
+             .agg(F.first("n").alias("n"), places.alias("places"))
+             .select("tree", "pos", "n", F.lit(level).alias("level"), F.col("places.digest").alias("layer0"), *[F.col(f"places.{k}").alias(k) for k in held]))
+    for i in range(1, LAYERS):
+        run = _HASH.format(f"slice(layer{i - 1}, {FAN_OUT} * i + 1, {FAN_OUT})")
+        links = links.withColumn(f"layer{i}", F.expr(f"if(n > {FAN_OUT ** i}, transform(sequence(0, (size(layer{i - 1}) - 1) div {FAN_OUT}), i -> {run}), null)"))
+    layers = [f"layer{i}" for i in range(LAYERS)]
+    return (links.withColumn("layers", F.filter(F.array(*layers), lambda x: x.isNotNull())).drop(*layers)
+            .withColumn("digest", F.expr(_HASH.format("element_at(layers, -1)")))
+            .withColumn("n", F.expr(f"(n + {BLOCK - 1}) div {BLOCK}")))
+
+
+def _build(nodes: DataFrame, name: str, level: int) -> tuple[list[DataFrame], DataFrame]:
     """The written link levels above ``nodes`` (tree, pos, n, digest), and the last
     node of every tree (tree, digest)."""
-    levels, tops = [], []
+    levels, last = [], None
     while True:
-        tops.append(nodes.where("n = 1").select("tree", "digest"))
+        done = nodes.where("n = 1").select("tree", "digest")
+        last = done if last is None else last.unionByName(done)
         if nodes.where("n > 1").isEmpty():
-            break
-        nodes = stored(_block(nodes, len(levels) + 1), f"{name}-{len(levels) + 1}")
+            return levels, last
+        nodes = stored(_blocks(nodes, level), f"{name}-{level}")
         levels.append(nodes)
-    last = tops[0]
-    for t in tops[1:]:
-        last = last.unionByName(t)
-    return levels, last
+        level += 1
+
+
+def _up(nodes: DataFrame, level: Column) -> DataFrame:
+    """The link above each node of its own tree; null for the last node."""
+    more = F.col("n") > 1
+    return nodes.withColumns({"up_tree": F.when(more, F.col("tree")), "up_level": F.when(more, level), "up_pos": F.when(more, F.expr(f"pos div {BLOCK}")),
+                              "up_slot": F.when(more, F.expr(f"cast(pos % {BLOCK} as int)"))})
 
 
 def manifest(leaf_rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """The leaves with the link above each (null: the leaf is the root), and all
-    link rows, parent-linked: (tree, level, pos) names a link, (up_tree, up_level,
-    up_pos) the link above it and up_slot its place there."""
-    ranked = stored(positions(leaf_rows, ["tree"], ["doc_id", "leaf"], "merkle-leaves"), "merkle-ranked")
-    inner, subroots = _build(ranked.withColumnRenamed("leaf", "digest"), "merkle-level")
-    subroots = stored(positions(subroots.withColumnRenamed("tree", "own"), [], ["own"], "merkle-subroots"), "merkle-tops")
-    upper, _ = _build(subroots.withColumn("tree", F.lit(_TOP)), "merkle-top")
-    # the top tree's link above each source's root; null if there is one source
-    above = subroots.select(F.col("own").alias("tree"), *[
-        F.when(F.col("n") > 1, v).alias(c) for c, v in (("top_tree", F.lit(_TOP)), ("top_level", F.lit(1)), ("top_pos", F.expr(f"pos div {BLOCK}")), ("top_slot", F.expr(f"cast(pos % {BLOCK} as int)")))])
-
-    def linked(nodes: DataFrame, level: Column, last: bool) -> DataFrame:
-        """The link above each node; ``last``: single nodes are a source's root."""
-        more = F.col("n") > 1
-        up = {"up_tree": F.when(more, F.col("tree")), "up_level": F.when(more, level), "up_pos": F.when(more, F.expr(f"pos div {BLOCK}")), "up_slot": F.when(more, F.expr(f"cast(pos % {BLOCK} as int)"))}
-        nodes = nodes.withColumns(up)
-        if not last:
-            return nodes
-        # one node of each tree meets one row of ``above``: no hot key
-        single = nodes.where("n = 1").join(above, "tree").withColumns({f"up_{c}": F.col(f"top_{c}") for c in ("tree", "level", "pos", "slot")})
-        return nodes.where("n > 1").unionByName(single.drop(*[f"top_{c}" for c in ("tree", "level", "pos", "slot")]))
-
-    links = None
-    for group, last in ((inner, True), (upper, False)):
-        for df in group:
-            df = linked(df, F.col("level") + 1, last)
-            links = df if links is None else links.unionByName(df)
-    start = linked(ranked, F.lit(1), True)
-    if links is not None:
-        links = stored(links.select("tree", "level", "pos", "kids", "groups", "digest", "up_tree", "up_level", "up_pos", "up_slot"), "merkle-links")
-    return start, links
+    """The lowest links with their leaves (doc_ids, changed), and all links above
+    them (null: there are none).  Parent-linked: (tree, level, pos) names a link,
+    (up_tree, up_level, up_pos) the one above it and up_slot its place there."""
+    ranked = stored(positions(leaf_rows, ["tree"], ["doc_id", "leaf"], "merkle-leaves").withColumnRenamed("leaf", "digest"), "merkle-ranked")
+    kept = {"doc_ids": F.col("doc_id"), "changed": F.col("changed")}
+    # a source's only leaf is a link without layers
+    lone = ranked.where("n = 1").select("tree", F.lit(0).cast("long").alias("pos"), F.lit(1).cast("long").alias("n"), F.lit(1).alias("level"), F.array("doc_id").alias("doc_ids"),
+                                        F.array("changed").alias("changed"), F.expr("cast(array() as array<array<binary>>)").alias("layers"), "digest")
+    low = stored(_blocks(ranked, 1, **kept).unionByName(lone), "merkle-level-1")
+    inner, subroots = _build(low.select("tree", "pos", "n", "digest"), "merkle-level", 2)
+    subroots = stored(positions(subroots.withColumnRenamed("tree", "own"), [], ["own"], "merkle-subroots").withColumn("tree", F.lit(_TOP)), "merkle-tops")
+    upper, _ = _build(subroots, "merkle-top", 1)
+    above = _up(subroots, F.lit(1)).select(F.col("own").alias("tree"), *[F.col(f"up_{c}").alias(f"top_{c}") for c in _UP])
+
+    def linked(nodes: DataFrame) -> DataFrame:
+        """A source's last node, one for each row of ``above``, goes on into the top tree."""
+        nodes = _up(nodes, F.col("level") + 1)
+        single = nodes.where("n = 1").join(above, "tree").withColumns({f"up_{c}": F.col(f"top_{c}") for c in _UP}).drop(*[f"top_{c}" for c in _UP])
+        return nodes.where("n > 1").unionByName(single)
+
+    links = [linked(x) for x in inner] + [_up(x, F.col("level") + 1) for x in upper]
+    if not links:
+        return linked(low), None
+    every = links[0]
+    for x in links[1:]:
+        every = every.unionByName(x)
+    return linked(low), stored(every.drop("n"), "merkle-links")
 
 
 _CLIMB = """
-WITH RECURSIVE climb(doc_id, leaf, salt, tree, level, pos, slot, folded, proof, subroot, root) MAX RECURSION LEVEL 100 AS (
-  SELECT doc_id, leaf, salt, tree, level, pos, slot, folded, proof, subroot, root FROM {rows}
+WITH RECURSIVE climb(layers, doc_ids, folded, salt, tree, level, pos, slot, proof, subroot, root) MAX RECURSION LEVEL 100 AS (
+  SELECT layers, doc_ids, folded, salt, tree, level, pos, slot, proof, subroot, root FROM {rows}
   UNION ALL
-  SELECT doc_id, leaf, salt, up_tree, up_level, up_pos, up_slot,
-    CASE WHEN groups IS NULL THEN below
-         ELSE unhex(sha2(cast(array_join(transform(groups, (d, i) -> lower(hex(if(i = slot div 3, below, d)))), '') as binary), 256)) END,
-    concat(proof, unhex(array_join(transform(filter(slice(kids, 3 * (slot div 3) + 1, 3), (d, i) -> i <> slot % 3), d -> hex(d)), '')),
-           coalesce(unhex(array_join(transform(filter(groups, (d, i) -> i <> slot div 3), d -> hex(d)), '')), X'')),
-    coalesce(subroot, CASE WHEN top THEN kids[slot] END),
-    CASE WHEN up_tree IS NULL THEN digest END
-  FROM (
-    SELECT {hint} c.doc_id, c.leaf, c.salt, c.slot, c.proof, c.subroot, l.kids, l.groups, l.digest, l.up_tree, l.up_level, l.up_pos, l.up_slot,
-      l.tree = 't' AND l.level = 1 AS top,
-      unhex(sha2(cast(array_join(transform(slice(l.kids, 3 * (c.slot div 3) + 1, 3),
-        (d, i) -> lower(hex(if(i = c.slot % 3, c.folded, d)))), '') as binary), 256)) AS below
-    FROM climb c JOIN {links} l ON c.tree = l.tree AND c.level = l.level AND c.pos = l.pos {salted}))
+  SELECT {hint} c.layers, c.doc_ids, transform(c.folded, f -> {fold}), c.salt, l.up_tree, l.up_level, l.up_pos, l.up_slot,
+    concat(c.proof, {siblings}),
+    coalesce(c.subroot, CASE WHEN l.tree = 't' AND l.level = 1 THEN l.layers[0][c.slot] END),
+    CASE WHEN l.up_tree IS NULL THEN l.digest END
+  FROM climb c JOIN {links} l ON c.tree = l.tree AND c.level = l.level AND c.pos = l.pos {salted})
 SELECT * FROM climb WHERE root IS NOT NULL OR NOT ({here})
-"""
+""".replace("{fold}", _FOLD.format(layers="l.layers", digest="f", slot="c.slot")).replace("{siblings}", _SIBLINGS.format(layers="l.layers", slot="c.slot"))
 
 
 def _phases(counts: list[tuple[bool, int, int]]) -> list[tuple[bool, list[tuple[bool, int]]]]:
@@ -176,18 +184,19 @@ def _phases(counts: list[tuple[bool, int, int]]) -> list[tuple[bool, list[tuple[
     return out
 
 
-def climb(spark: SparkSession, start: DataFrame, links: DataFrame | None) -> DataFrame:
-    """Every leaf's folded root, proof, source root and root, by the recursive query.
+def climb(low: DataFrame, links: DataFrame | None) -> DataFrame:
+    """Every lowest link's leaves with their folded digests at the root, the proof
+    above the link, the source's root and the root, by the recursive query.
 
     The session's row limit for recursive queries is lifted while the phases
     are written, then put back.
     """
-    none = F.lit(None).cast("binary")
-    rows = start.select(
-        "doc_id", "leaf", F.pmod(F.xxhash64("doc_id", "leaf"), F.lit(SALTS)).cast("int").alias("salt"),
-        F.col("up_tree").alias("tree"), F.col("up_level").alias("level"), F.col("up_pos").alias("pos"), F.col("up_slot").alias("slot"),
-        F.col("changed").alias("folded"), F.lit(b"").alias("proof"), none.alias("subroot"),
-        F.when(F.col("up_tree").isNull(), F.col("leaf")).alias("root"))
+    spark = low.sparkSession
+    rows = low.select(
+        F.expr("if(size(layers) = 0, array(array(digest)), layers)").alias("layers"), "doc_ids",
+        F.expr(f"transform(changed, (x, p) -> {_FOLD.format(layers='layers', digest='x', slot='p')})").alias("folded"),
+        F.pmod(F.xxhash64("tree", "pos"), F.lit(SALTS)).cast("int").alias("salt"), *[F.col(f"up_{c}").alias(c) for c in _UP],
+        F.lit(b"").alias("proof"), F.lit(None).cast("binary").alias("subroot"), F.when(F.col("up_tree").isNull(), F.col("digest")).alias("root"))
     if links is None:
         return rows
     counts = [(r.top, r.level, r["count"]) for r in links.groupBy((F.col("tree") == _TOP).alias("top"), "level").count().collect()]
@@ -210,10 +219,12 @@ def climb(spark: SparkSession, start: DataFrame, links: DataFrame | None) -> Dat
 def proofs(documents: DataFrame, tampered: Column | None = None) -> DataFrame:
     """One row per document: ``doc_id``; ``leaf``, ``subroot``, ``root``, ``folded``
     (32-byte digests); ``proof`` (its siblings' digests, in order); ``verified``."""
-    start, links = manifest(leaves(documents, tampered))
-    got = climb(documents.sparkSession, start, links)
-    return got.select("doc_id", "leaf", F.coalesce("subroot", "root").alias("subroot"), "root", "proof", "folded",
-                      (F.col("folded") == F.col("root")).alias("verified"))
+    got = climb(*manifest(leaves(documents, tampered)))
+    # the place in the lowest link; a lone leaf's single layer holds no sibling
+    each = got.select("layers", "subroot", "root", "proof", F.posexplode(F.arrays_zip("doc_ids", "folded")).alias("place", "own"))
+    return each.select(F.col("own.doc_ids").alias("doc_id"), F.expr("layers[0][place]").alias("leaf"), F.coalesce("subroot", "root").alias("subroot"), "root",
+                       F.concat(F.expr(_SIBLINGS.format(layers="layers", slot="place")), "proof").alias("proof"), F.col("own.folded").alias("folded"),
+                       (F.col("own.folded") == F.col("root")).alias("verified"))
 
 
 def verifications(documents: DataFrame) -> DataFrame:
