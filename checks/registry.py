@@ -22,29 +22,31 @@ class Query:
     spark: Callable[[SparkSession, str], DataFrame]
     sql: str | None
     floats: list[str] = field(default_factory=list)
+    digits: int = 9
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        return round_floats(self.spark(spark, sf_dir), self.floats)
+        return round_floats(self.spark(spark, sf_dir), self.floats, self.digits)
 
     def oracle(self) -> str | None:
-        return None if self.sql is None else Q.rounded(self.sql, self.floats)
+        return None if self.sql is None else Q.rounded(self.sql, self.floats, self.digits)
 
 
 REGISTRY: dict[str, Query] = {}
 
 
-def query(name: str, sql: str | None = None, floats: list[str] | tuple = ()):
+def query(name: str, sql: str | None = None, floats: list[str] | tuple = (), digits: int = 9):
+    """``digits``: decimals at which both engines round the ``floats``."""
     def deco(fn):
         if name in REGISTRY:
             raise ValueError(f"duplicate query {name}")
-        REGISTRY[name] = Query(name, fn, sql, list(floats))
+        REGISTRY[name] = Query(name, fn, sql, list(floats), digits)
         return fn
     return deco
 
 
 def round_floats(df: DataFrame, floats: list[str], digits: int = 9) -> DataFrame:
     """Half-even rounding of the named double columns on the binary value,
-    identical to the oracle's ``round_even(x * 1e9, 0) / 1e9``."""
+    identical to the oracle's ``round_even(x * 10^digits, 0) / 10^digits``."""
     if not floats:
         return df
     scale = float(10 ** digits)
