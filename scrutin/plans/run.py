@@ -2,7 +2,9 @@
 
 Each stage is one lazy plan ended by one write; the next stage reads the
 written table.  The hand-over through stored tables also bounds lineage, so
-a lost executor only recomputes the current stage.  ``out_dir`` must be
+a lost executor only recomputes the current stage.  The raw and the processed
+table carry a manifest (``sources/stages.py``): a stored stage is used only if
+it is whole and was made from the stored input.  ``out_dir`` must be
 shared storage on a cluster.
 """
 
@@ -10,40 +12,83 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from scrutin import schema as S
+from scrutin.functions import exprs as X
 from scrutin.operators import aggregates as A
+from scrutin.operators import clean
 from scrutin.operators import enrich as E
 from scrutin.operators import ml as M
 from scrutin.plans import analyze as L4
 from scrutin.plans import preprocess as L1
 from scrutin.sources import files
+from scrutin.sources import stages as stage_tables
 
 STAGES = ("collect", "process", "analyze", "train", "charts")
 
 
-def run(spark: SparkSession, source: DataFrame, out_dir: str, stages: Sequence[str] = STAGES,
-        tiebreak: Sequence[str] | None = None, keys: Sequence[str] | None = None) -> dict[str, str]:
-    """Run the requested stages in order; returns stage -> written path."""
+#: The raw table's partition column: the year as a number, null for a bad one.
+RAW_YEAR = "stage_year"
+
+
+def _year(df: DataFrame) -> Column:
+    typed = clean.rename_synonyms(df)
+    return X.to_int(df[df.columns[typed.columns.index(S.YEAR)]]) if S.YEAR in typed.columns else F.lit(None).cast("int")
+
+
+def _years(df: DataFrame) -> list[int]:
+    """The valid years that occur: as many as the validation allows at most."""
+    rows = df.select(_year(df).alias("y")).where(F.col("y").between(S.MIN_YEAR, S.MAX_YEAR)).distinct().collect()
+    return sorted(r.y for r in rows)
+
+
+def run(spark: SparkSession, source: DataFrame | None, out_dir: str, stages: Sequence[str] = STAGES,
+        tiebreak: Sequence[str] | None = None, keys: Sequence[str] | None = None, update: bool = False) -> dict[str, str]:
+    """Run the requested stages in order; returns stage -> written path.
+
+    ``source`` is what the first stage works on.  Without it, processing
+    starts from the stored raw table.  ``update`` rewrites only the years that
+    the source has, in the raw and in the processed table (deduplication is
+    by year, so a year's rows depend on no other year); the analyses then see
+    all years.
+    """
     unknown = set(stages) - set(STAGES)
     if unknown:
         raise ValueError(f"unknown stages {sorted(unknown)}")
+    if "collect" in stages and source is None:
+        raise ValueError("collect needs source rows")
     paths = {"collect": f"{out_dir}/raw", "process": f"{out_dir}/processed",
              "analyze": f"{out_dir}/analysis", "train": f"{out_dir}/models", "charts": f"{out_dir}/charts"}
     done: dict[str, str] = {}
+    years = _years(source) if update and source is not None else []
     if "collect" in stages:
-        done["collect"] = files.write_table(source, paths["collect"])
+        stage_tables.write_stage(source.withColumn(RAW_YEAR, _year(source)), paths["collect"], partition_by=[RAW_YEAR], update=update, emptied=years)
+        done["collect"] = paths["collect"]
     if "process" in stages:
-        raw = spark.read.parquet(paths["collect"]) if "collect" in stages or files.exists(spark, paths["collect"]) \
-            else source
+        if "collect" in stages or source is None:
+            made_from = stage_tables.checked(spark, paths["collect"]).identity
+            raw = stage_tables.read_stage(spark, paths["collect"])
+            raw = (raw.where(F.col(RAW_YEAR).isin(years)) if update and source is not None else raw).drop(RAW_YEAR)
+        else:
+            raw, made_from = source, stage_tables.GIVEN
         processed = L1.preprocess(raw, tiebreak=tiebreak, sort=False)
-        done["process"] = files.write_table(processed, paths["process"], partition_by=[S.YEAR])
+        stage_tables.write_stage(processed, paths["process"], partition_by=[S.YEAR], made_from=made_from, update=update and source is not None, emptied=years)
+        done["process"] = paths["process"]
     processed_path = paths["process"]
+
+    def processed_rows() -> DataFrame:
+        """The processed table; if it was made from the raw table, from the stored one."""
+        m = stage_tables.checked(spark, processed_path)
+        if m.made_from != stage_tables.GIVEN:
+            stage_tables.checked(spark, processed_path, stage_tables.checked(spark, paths["collect"]).identity)
+        return stage_tables.read_stage(spark, processed_path)
+
     if "analyze" in stages:
-        done["analyze"] = files.write_table(L4.analyze(spark.read.parquet(processed_path)), paths["analyze"])
+        done["analyze"] = files.write_table(L4.analyze(processed_rows()), paths["analyze"])
     if "train" in stages:
-        rows = spark.read.parquet(processed_path)
+        rows = processed_rows()
         # without a row key the split hashes all columns
         results, artifacts = M.train_and_select(rows, keys or tiebreak or rows.columns)
         if artifacts["models"]:
@@ -52,7 +97,7 @@ def run(spark: SparkSession, source: DataFrame, out_dir: str, stages: Sequence[s
             files.write_table(results, f"{paths['train']}/results")
         done["train"] = paths["train"]
     if "charts" in stages:
-        p = spark.read.parquet(processed_path)
+        p = processed_rows()
         by_dept = A.by_department(p)
         tables = {"by_department": by_dept, "by_year": A.by_year(p),
                   "label_evolution": A.label_evolution(p), "correlations": A.correlation_matrix(

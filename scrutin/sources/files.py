@@ -38,12 +38,20 @@ def read_table(spark: SparkSession, path: str, fmt: str | None = None, sep: str
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] | None = None,
-                mode: str = "overwrite") -> str:
+                mode: str = "overwrite", whole: bool = False) -> str:
     """Write a stage table (header for CSV, no index), optionally
-    partitioned (``annee`` gives readers partition pruning)."""
+    partitioned (``annee`` gives readers partition pruning).
+
+    Overwriting a partitioned table replaces only the partitions that ``df``
+    has rows of, so one year can be written again without the others;
+    ``whole`` replaces the table.
+    """
     w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*[c for c in partition_by if c in df.columns])
+    by = [c for c in partition_by or () if c in df.columns]
+    if by:
+        w = w.partitionBy(*by)
+    if mode == "overwrite":
+        w = w.option("partitionOverwriteMode", "dynamic" if by and not whole else "static")
     if fmt == "csv":
         w.option("header", True).csv(path)
     else:

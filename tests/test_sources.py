@@ -11,6 +11,7 @@ from scrutin.sources import catalog as K
 from scrutin.sources import columns as R
 from scrutin.sources import files
 from scrutin.sources import jdbc
+from scrutin.sources import stages
 from scrutin.sources import testdata as TD
 
 
@@ -96,3 +97,85 @@ def test_staged_run(spark):
     assert set(done) == {"collect", "process", "analyze", "charts"}
     assert spark.read.parquet(done["process"]).count() > 0
     assert spark.read.parquet(f"{done['charts']}/map_points").count() == 13
+
+
+BALLOT = "annee INT, tour INT, departement INT, nuance STRING, voix LONG, inscrits LONG, votants LONG, abstentions LONG, exprimes LONG"
+
+
+def ballots_of(spark, year, label="RN", n=6):
+    return spark.createDataFrame([(year, 1 + i % 2, [31, 34, 9][i % 3], label, 10 + i, 100, 60, 40, 50) for i in range(n)], BALLOT)
+
+
+def years_in(df):
+    return {r[0]: r[1] for r in df.groupBy("annee").count().collect()}
+
+
+def test_writing_one_year_again_keeps_the_others(spark):
+    out = tempfile.mkdtemp(prefix="scrutin-years-")
+    files.write_table(ballots_of(spark, 2017).union(ballots_of(spark, 2022)), out, partition_by=["annee"])
+    files.write_table(ballots_of(spark, 2022, n=2), out, partition_by=["annee"])
+    assert years_in(spark.read.parquet(out)) == {2017: 6, 2022: 2}
+    files.write_table(ballots_of(spark, 2022, n=2), out, partition_by=["annee"], whole=True)
+    assert years_in(spark.read.parquet(out)) == {2022: 2}
+
+
+def test_stage_manifest_refuses_what_is_not_whole(spark):
+    out = os.path.join(tempfile.mkdtemp(prefix="scrutin-stage-"), "t")
+    with pytest.raises(stages.StageError):
+        stages.read_stage(spark, out)
+    m = stages.write_stage(ballots_of(spark, 2017).union(ballots_of(spark, 2022)), out, partition_by=["annee"])
+    assert m.rows == 12 and stages.manifest(spark, out) == m and stages.read_stage(spark, out).count() == 12
+    assert stages.read_stage(spark, out).schema["annee"].dataType.simpleString() == "int"
+    with pytest.raises(stages.StageError, match="another input"):
+        stages.read_stage(spark, out, made_from="x")
+    # only rows of one year are written again; the manifest covers the whole table
+    newer = stages.write_stage(ballots_of(spark, 2022, n=1), out, partition_by=["annee"], update=True)
+    assert newer.rows == 7 and newer.identity != m.identity
+    with pytest.raises(stages.StageError, match="other columns"):
+        stages.write_stage(ballots_of(spark, 2022).drop("voix"), out, partition_by=["annee"], update=True)
+    # a file too many, or too few
+    ballots_of(spark, 2012).write.mode("append").partitionBy("annee").parquet(out)
+    with pytest.raises(stages.StageError, match="not those of its manifest"):
+        stages.read_stage(spark, out)
+    # a writer that was lost: files without a manifest
+    lost = os.path.join(tempfile.mkdtemp(prefix="scrutin-lost-"), "t")
+    ballots_of(spark, 2017).write.parquet(lost)
+    with pytest.raises(stages.StageError, match="no manifest"):
+        stages.read_stage(spark, lost)
+
+
+def test_a_failed_write_leaves_no_manifest(spark):
+    out = os.path.join(tempfile.mkdtemp(prefix="scrutin-fail-"), "t")
+    stages.write_stage(ballots_of(spark, 2017), out)
+    broken = ballots_of(spark, 2022).withColumn("voix", F.raise_error(F.lit("lost")).cast("long"))
+    with pytest.raises(Exception):
+        stages.write_stage(broken, out)
+    assert stages.manifest(spark, out) is None
+
+
+def test_run_uses_the_given_rows(spark):
+    from scrutin.plans import run as L2
+    out = tempfile.mkdtemp(prefix="scrutin-given-")
+    L2.run(spark, ballots_of(spark, 2022), out, stages=("collect", "process"))
+    done = L2.run(spark, ballots_of(spark, 2017), out, stages=("process", "analyze"))
+    assert years_in(stages.read_stage(spark, done["process"])) == {2017: 6}
+    done = L2.run(spark, None, out, stages=("process",))
+    assert years_in(stages.read_stage(spark, done["process"])) == {2022: 6}
+
+
+def test_run_updates_one_year(spark):
+    from scrutin.plans import run as L2
+    out = tempfile.mkdtemp(prefix="scrutin-update-")
+    L2.run(spark, ballots_of(spark, 2017).union(ballots_of(spark, 2022)), out, stages=("collect", "process"))
+    done = L2.run(spark, ballots_of(spark, 2022, "LR", 3), out, stages=("collect", "process", "analyze"), update=True)
+    got = stages.read_stage(spark, done["process"])
+    assert years_in(got) == {2017: 6, 2022: 3} and {r.nuance for r in got.where("annee = 2022").collect()} == {"LR"}
+    # a year whose new rows are all invalid loses its old ones
+    done = L2.run(spark, ballots_of(spark, 2022, "LR", 3).withColumn("voix", F.lit(-1).cast("long")), out, stages=("collect", "process"), update=True)
+    assert years_in(stages.read_stage(spark, done["process"])) == {2017: 6}
+    # analysing a processed table that is older than the raw table is an error
+    L2.run(spark, ballots_of(spark, 2012), out, stages=("collect",))
+    with pytest.raises(stages.StageError, match="another input"):
+        L2.run(spark, None, out, stages=("analyze",))
+    with pytest.raises(ValueError):
+        L2.run(spark, None, out, stages=("collect",))
