@@ -3,7 +3,7 @@
 Grouped aggregates with map-side partial aggregation, so a key holding a
 large share of the rows is combined inside each task before the shuffle.
 Window functions only ever run over already-aggregated rows; quantiles are
-exact and split over value ranges (``quantiles``).
+exact, found by narrowing brackets (``quantiles``).
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from scrutin import schema as S
 from scrutin.functions import exprs as X
 from scrutin.operators import clean
-from scrutin.operators.quantiles import with_quantiles
+from scrutin.operators.quantiles import quantile_columns
 
 
 #: The most rows that a top-k table may have to be broadcast.
@@ -92,8 +92,8 @@ DESCRIBE_STATS = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
 def describe(df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
     """pandas-style describe in long form ``(column, stat, value)``.
 
-    Exact quantiles by default (linear interpolation, as pandas), as one
-    scalar subquery; one aggregate computes the other statistics.
+    Exact quantiles by default (linear interpolation, as pandas), computed
+    first (see ``quantiles``); one aggregate computes the other statistics.
     """
     columns = list(columns) if columns is not None else clean.columns_of_kind(df)
     if not columns:
@@ -103,8 +103,8 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, approx: bool =
         x = F.col(c).cast("double")
         aggs += [F.count(x).cast("double").alias(f"s{i}_0"), F.avg(x).alias(f"s{i}_1"),
                  F.stddev_samp(x).alias(f"s{i}_2"), F.min(x).alias(f"s{i}_3"), F.max(x).alias(f"s{i}_7")]
-    wide, q = with_quantiles(df.agg(*aggs), df, columns, [0.25, 0.5, 0.75], approx)
-    wide = wide.withColumns({f"s{i}_{4 + k}": q[c, k] for i, c in enumerate(columns) for k in range(3)})
+    q = quantile_columns(df, columns, [0.25, 0.5, 0.75], approx)
+    wide = df.agg(*aggs).withColumns({f"s{i}_{4 + k}": q[c, k] for i, c in enumerate(columns) for k in range(3)})
     pairs = ", ".join(f"'{c}', '{s}', s{i}_{j}" for i, c in enumerate(columns)
                       for j, s in enumerate(DESCRIBE_STATS))
     n = len(columns) * len(DESCRIBE_STATS)

@@ -1,7 +1,8 @@
 """Projection, coercion, cleaning and filters.
 
 Each function is DataFrame in, DataFrame out, decided at plan-build time
-from ``df.columns``; none runs a job.
+from ``df.columns``.  Quantiles (P7, P8, P11) and the size of a per-key table
+(F8 without codes) are found by jobs of their own; the others run none.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import types as T
 
 from scrutin import schema as S
 from scrutin.functions import exprs as X
-from scrutin.operators.quantiles import with_quantiles
+from scrutin.operators.quantiles import quantile_columns
 from scrutin.operators.salting import SALTS, salted_join
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
@@ -88,29 +89,30 @@ def default_rate_bounds(df: DataFrame) -> dict[str, tuple[float, float]]:
 
 def impute_median(df: DataFrame, columns: Sequence[str], approx: bool = False) -> DataFrame:
     """Replace nulls by the column median; the columns come back as doubles,
-    so the median of an integer column keeps its half.  The medians are one
-    scalar subquery (see ``quantiles``): no join, nothing through the driver."""
+    so the median of an integer column keeps its half.  The medians are
+    computed first (see ``quantiles``) and are literals in the plan: no join."""
     columns = [c for c in columns if c in df.columns]
     if not columns:
         return df
-    out, q = with_quantiles(df, df, columns, [0.5], approx)
-    return out.withColumns({c: F.coalesce(F.col(c).cast("double"), q[c, 0]) for c in columns}).drop("__q")
+    q = quantile_columns(df, columns, [0.5], approx)
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), q[c, 0]) for c in columns})
 
 
 def winsorize(df: DataFrame, columns: Sequence[str], lower: float = 0.01,
               upper: float = 0.99, approx: bool = False) -> DataFrame:
     """Clip each column to its own ``lower``/``upper`` quantiles (linear
-    interpolation, like pandas); the bounds are one scalar subquery."""
+    interpolation, like pandas), which are computed first and are literals in
+    the plan."""
     columns = [c for c in columns if c in df.columns]
     if not columns:
         return df
-    out, q = with_quantiles(df, df, columns, [lower, upper], approx)
+    q = quantile_columns(df, columns, [lower, upper], approx)
     clipped = {}
     for c in columns:
         x = F.col(c).cast("double")
         # pandas returns floats once float bounds are applied: keep double.
         clipped[c] = F.when(x < q[c, 0], q[c, 0]).when(x > q[c, 1], q[c, 1]).otherwise(x)
-    return out.withColumns(clipped).drop("__q")
+    return df.withColumns(clipped)
 
 
 def drop_empty_rows(df: DataFrame) -> DataFrame:
