@@ -17,6 +17,7 @@ from scrutin import schema as S
 from scrutin.functions import exprs as X
 from scrutin.operators import clean
 from scrutin.operators.quantiles import quantile_columns
+from scrutin.session import settled
 
 
 #: The most rows that a top-k table may have to be broadcast.
@@ -98,9 +99,10 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, approx: bool =
     columns = list(columns) if columns is not None else clean.columns_of_kind(df)
     if not columns:
         raise ValueError("no numeric column to describe")
+    df = settled(df.select(*[F.col(c).cast("double").alias(c) for c in dict.fromkeys(columns)]))
     aggs = []
     for i, c in enumerate(columns):
-        x = F.col(c).cast("double")
+        x = F.col(c)
         aggs += [F.count(x).cast("double").alias(f"s{i}_0"), F.avg(x).alias(f"s{i}_1"),
                  F.stddev_samp(x).alias(f"s{i}_2"), F.min(x).alias(f"s{i}_3"), F.max(x).alias(f"s{i}_7")]
     q = quantile_columns(df, columns, [0.25, 0.5, 0.75], approx)

@@ -24,6 +24,8 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from scrutin.session import settled
+
 RANGES = 256  #: value ranges per column; more make each one smaller
 
 SKETCH_K = 1000       #: size of a rank sketch: 22 kB
@@ -132,12 +134,12 @@ def _look_up(values: DataFrame, wanted: list[_Wanted]) -> list[tuple[float, floa
 def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[tuple[str, int], float | None]:
     """The ``probs[k]`` quantile of each column with linear interpolation, as
     pandas and ``percentile`` have it, by (column, k).  Nulls are left out, NaN
-    is the largest value; a column without values has None.  Runs three jobs, and
-    one more for each hundredfold of the rows beyond 20 million."""
+    is the largest value; a column without values has None.  Runs three jobs over
+    the columns, which are kept first if joins or aggregates made them, and one more for each hundredfold of the rows beyond 20 million."""
     columns = list(dict.fromkeys(columns))
     if not columns:
         return {}
-    values = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    values = settled(df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)]))
     counts, sketches = {}, {}
     for i in range(len(columns)):
         counts |= {f"n{i}": F.count(f"c{i}"), f"m{i}": F.count_if(F.col(f"c{i}").isNotNull() & ~F.isnan(f"c{i}"))}

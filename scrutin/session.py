@@ -69,3 +69,16 @@ def materialise(df):
     instead of recomputing it from the scans."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+#: Operators whose result is worth keeping if several jobs read it.
+_COSTLY = ("Join", "Aggregate", "Window", "Sort", "Distinct", "Deduplicate", "Repartition", "MapIn", "FlatMap")
+
+
+def settled(df):
+    """``df`` itself if its plan only reads, filters and projects; else a
+    checkpoint of it, so that the jobs of an iterative statistic do not repeat
+    its joins and aggregates.  Select the columns that are needed first."""
+    lines = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    nodes = [line.lstrip(" :+-!'") for line in lines]
+    return materialise(df) if any(n.startswith(_COSTLY) for n in nodes) else df
