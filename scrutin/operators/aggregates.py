@@ -249,7 +249,7 @@ def historical_trends(df: DataFrame, reference_year: str = "latest",
     # pre-aggregate (partial, map-side) so F8's flag join and the shares run
     # on one row per (department, year, label), never on the ballots
     pre = df.groupBy(*keys, S.YEAR, S.LABEL).agg(F.sum(S.VOTES).alias(S.VOTES))
-    shares = label_shares_by_year(clean.recent_or_all(pre, since, keys, salts=1), by=keys)
+    shares = label_shares_by_year(clean.recent_or_all(pre, since, keys, bounded=True), by=keys)
     pick = F.max_by if reference_year == "latest" else F.min_by
     return shares.groupBy(*keys, S.LABEL).agg(
         F.avg("pct").alias("avg_pct"),

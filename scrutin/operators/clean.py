@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from scrutin import schema as S
 from scrutin.functions import exprs as X
 from scrutin.operators.quantiles import quantile_columns
-from scrutin.operators.salting import SALTS, salted_join
+from scrutin.operators.keyed import join_per_key
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
                  T.DoubleType, T.DecimalType)
@@ -200,21 +200,22 @@ def validate(df: DataFrame, regions: Sequence[int] = S.REGION_DEPARTMENTS,
 
 # -- F8 / F9 / F10 -----------------------------------------------------------------
 def recent_or_all(df: DataFrame, since: int = S.RECENT_YEAR, by: str | Sequence[str] = S.DEPT,
-                  codes: Sequence[int] | None = None, salts: int = SALTS) -> DataFrame:
+                  codes: Sequence[int] | None = None, bounded: bool = False) -> DataFrame:
     """Per department: rows with year >= ``since``, or every row if none.
 
     The per-department flag is a partial aggregate, joined back on the key; no
     window over raw rows.  ``codes`` names the departments that can occur (as
     after a region filter): then the flags, at most one row for each, are
     broadcast and the rows are not shuffled at all; rows of other departments
-    go.  Otherwise a department's rows are split over ``salts`` tasks.
+    go.  ``bounded`` rows (one for each department, year and label) are joined
+    plainly.  Otherwise the flags are counted first (``keyed``).
     """
     by = [by] if isinstance(by, str) else list(by)
     flags = df.groupBy(*by).agg(F.max((F.col(S.YEAR) >= since).cast("int")).alias("__has_recent"))
     if codes is not None and by == [S.DEPT]:
         out = df.join(F.broadcast(in_region(flags, codes)), on=by, how="inner")
     else:
-        out = salted_join(df, flags, by, salts=salts) if salts > 1 else df.join(flags, on=by, how="inner")
+        out = df.join(flags, on=by, how="inner") if bounded else join_per_key(df, flags, by)
     return out.where((F.col("__has_recent") == 0) | (F.col(S.YEAR) >= since)).drop("__has_recent")
 
 

@@ -2,8 +2,8 @@
 
 Fact-to-aggregate joins pre-aggregate the right side to one row per
 department first (bounded by the number of departments), so the join never
-multiplies rows, and split each department's rows over several tasks; Spark's
-adaptive planner broadcasts it at run time when the measured size allows.
+multiplies rows; that table is counted and broadcast, or else the hot
+departments' rows are split from the others (``keyed``).
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from scrutin import schema as S
 from scrutin.operators import aggregates as A
 from scrutin.operators import enrich
-from scrutin.operators.salting import salted_join
+from scrutin.operators.keyed import join_per_key
 
 
 def socio_by_department(socio: DataFrame, suffix: str = "") -> DataFrame:
@@ -31,7 +31,7 @@ def socio_by_department(socio: DataFrame, suffix: str = "") -> DataFrame:
 
 def join_socio(base: DataFrame, socio: DataFrame, suffix: str = "") -> DataFrame:
     """Department means of the socio indicators, left-joined."""
-    return salted_join(base, socio_by_department(socio, suffix), [S.DEPT], how="left")
+    return join_per_key(base, socio_by_department(socio, suffix), [S.DEPT], how="left")
 
 
 def legislative_by_department(leg: DataFrame, suffix: str = "_leg") -> DataFrame:
@@ -41,7 +41,7 @@ def legislative_by_department(leg: DataFrame, suffix: str = "_leg") -> DataFrame
 
 def join_legislative(base: DataFrame, leg: DataFrame, suffix: str = "_leg") -> DataFrame:
     """Department means of registered/voters/abstentions, ``_leg`` suffix."""
-    return salted_join(base, legislative_by_department(leg, suffix), [S.DEPT], how="left")
+    return join_per_key(base, legislative_by_department(leg, suffix), [S.DEPT], how="left")
 
 
 def _year_of(key: str) -> str:

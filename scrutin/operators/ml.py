@@ -20,8 +20,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from scrutin import schema as S
+from scrutin.operators.keyed import join_per_key
 from scrutin.operators.quantiles import RANGES, range_bounds, range_of
-from scrutin.operators.salting import salted_join
+from scrutin.session import settled
 from scrutin.sources import files
 
 UNKNOWN_CLASS = "Inconnu"
@@ -135,35 +136,63 @@ def standardise(df: DataFrame, columns: Sequence[str], stats: DataFrame | None =
 
 # -- M4 / M5 -------------------------------------------------------------------
 def _unit_hash(keys: Sequence[str], seed: int) -> F.Column:
-    """A stable pseudo-random number in [0, 1) from the row's key columns as
-    text: the first 32 bits of an MD5 digest, which other engines have too."""
+    """A stable pseudo-random number in [0, 1) from the row's key columns."""
+    return _key_hash(keys, seed).cast("double") / float(1 << 32)
+
+
+def _key_hash(keys: Sequence[str], seed: int) -> F.Column:
+    """A stable number of 32 bits from the row's key columns as text: the first
+    of an MD5 digest, which other engines have too."""
     if not keys:
         raise ValueError("a split needs key columns; without a row key pass all columns")
     digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed))))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / float(1 << 32)
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
 
 
 def test_share(n: int) -> float:
     return min(0.3, max(0.1, 50 / n)) if n else 0.0
 
 
+#: The hash of a row's key is a number of 32 bits; classes are searched by its first 16, then by all.
+_BITS, _HIGH = 32, 16
+
+
+def _at_rank(counts: DataFrame, by: Sequence[str], value: str, rank: str) -> DataFrame:
+    """Per group the least value whose running count passes ``rank`` (from 0), and the rows under it."""
+    upto = F.sum("n").over(Window.partitionBy(*by).orderBy(value))
+    return (counts.withColumn("__upto", upto).where((F.col(rank) < F.col("__upto")) & (F.col(rank) >= F.col("__upto") - F.col("n")))
+            .select(*by, F.col(value).alias("__found"), (F.col("__upto") - F.col("n")).alias("__under")))
+
+
+def _thresholds(rows: DataFrame, label: str, share: float) -> DataFrame:
+    """Per class its rows and the hash at rank ceil(share * rows), exactly.  The
+    hash's high half is counted per class (at most 65,536 numbers), then the low half
+    among the rows of the one high half that holds the rank: no class is sorted,
+    and no task holds more than 65,536 counts of a class."""
+    high = F.shiftright("__h", _BITS - _HIGH)
+    counts = rows.groupBy(label, high.alias("high")).agg(F.count(F.lit(1)).alias("n"))
+    size = F.sum("n").over(Window.partitionBy(label))
+    counts = counts.withColumn("__nc", size).withColumn("rank", F.greatest(F.ceil(F.col("__nc") * share), F.lit(1)) - 1)
+    bins = _at_rank(counts, [label, "__nc", "rank"], "high", "rank")
+    wanted = bins.select(label, F.col("__found").alias("high"), "__nc", (F.col("rank") - F.col("__under")).alias("rank"))
+    inside = join_per_key(rows.withColumn("high", high), wanted, [label, "high"])
+    low = inside.groupBy(label, "__h", "__nc", "rank").agg(F.count(F.lit(1)).alias("n"))
+    return _at_rank(low, [label, "__nc"], "__h", "rank").select(label, "__nc", F.col("__found").alias("__thr"))
+
+
 def stratified_split(df: DataFrame, label: str, keys: Sequence[str], share: float | None = None,
-                     seed: int = S.SPLIT_SEED, accuracy: int = 100000) -> DataFrame:
-    """M4: adds ``is_test``.  Within each class, rows whose key hash falls at
-    or under the class's ``share`` quantile of hashes go to test (share
-    defaults to min(0.3, max(0.1, 50 / n))); one-row classes stay in train
-    (decision Q23).  The per-class quantile is a grouped sketch with partial
-    aggregation, so no class is sorted or collected in one task.
+                     seed: int = S.SPLIT_SEED) -> DataFrame:
+    """M4: adds ``is_test``.  Within each class, rows whose key hash is among
+    the first ceil(share x n) go to test, with all that share the last of these
+    hashes (share defaults to min(0.3, max(0.1, 50 / n))); one-row classes stay
+    in train (decision Q23).  Exact at every size.
     """
-    with_u = df.withColumn("__u", _unit_hash(keys, seed))
+    hashed = df.withColumn("__h", _key_hash(keys, seed))
     if share is None:
         share = test_share(df.count())  # one number back to the driver
-    stats = with_u.groupBy(label).agg(
-        F.count(F.lit(1)).alias("__nc"),
-        F.percentile_approx("__u", F.lit(float(share)), accuracy).alias("__thr"))
-    j = salted_join(with_u, stats, [label])
-    return (j.withColumn("is_test", (F.col("__nc") > 1) & (F.col("__u") <= F.col("__thr")))
-             .drop("__u", "__nc", "__thr"))
+    j = join_per_key(hashed, _thresholds(settled(hashed.select(label, "__h")), label, float(share)), [label])
+    return (j.withColumn("is_test", (F.col("__nc") > 1) & (F.col("__h") <= F.col("__thr")))
+             .drop("__h", "__nc", "__thr"))
 
 
 def random_split(df: DataFrame, keys: Sequence[str], fraction: float = 0.2,

@@ -12,17 +12,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scrutin import schema as S
-from scrutin.operators.salting import salted_join
+from scrutin.operators.keyed import join_per_key
 
 
 def share_of_total(df: DataFrame, value: str, by: Sequence[str], out: str = "pct") -> DataFrame:
     """Value / sum(value) over the group x 100 (0 when the sum is 0).
 
     The group totals come from a partial aggregate joined back on the group
-    keys (no window), each group split over several tasks (``salted_join``).
+    keys (no window, see ``keyed``).
     """
     totals = df.groupBy(*by).agg(F.sum(value).alias("__total"))
-    return salted_join(df, totals, by).withColumn(
+    return join_per_key(df, totals, by).withColumn(
         out, F.when(F.col("__total") != 0, F.col(value) / F.col("__total") * 100).otherwise(F.lit(0.0))).drop("__total")
 
 
