@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from scrutin import schema as S
 from scrutin.functions import exprs as X
 from scrutin.operators import clean
+from scrutin.operators.gram import correlations, pair_sums
 from scrutin.operators.quantiles import quantile_columns
 from scrutin.session import settled
 
@@ -155,24 +156,13 @@ def label_evolution(df: DataFrame, k: int = 8, share: str = "pct_exprimes") -> D
 # -- A12 / A13 ----------------------------------------------------------------------
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlations, pairwise complete, long form ``(var1, var2, r)``,
-    all pairs from one aggregate."""
+    from one matrix aggregate (``gram``); null where a column is constant."""
     columns = list(columns) if columns is not None else clean.columns_of_kind(df)
-    aggs = []
-    names = []
-    for i, a in enumerate(columns):
-        for j, b in enumerate(columns):
-            if j < i:
-                continue
-            names.append((i, j))
-            aggs.append(F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}_{j}"))
-    wide = df.agg(*aggs)
-    parts = []
-    for i, a in enumerate(columns):
-        for j, b in enumerate(columns):
-            src = f"c{min(i, j)}_{max(i, j)}"
-            parts.append(f"'{a}', '{b}', {src}")
-    n = len(columns) ** 2
-    return wide.selectExpr(f"stack({n}, {', '.join(parts)}) as (var1, var2, r)")
+    upper = correlations(pair_sums(df, columns))
+    names = F.array(*[F.lit(c) for c in columns])
+    both = F.array(F.struct(F.col("i").alias("a"), F.col("j").alias("b")), F.struct(F.col("j").alias("a"), F.col("i").alias("b")))
+    pairs = upper.select("r", F.explode(F.array_distinct(both)).alias("p"))
+    return pairs.select(names[F.col("p.a")].alias("var1"), names[F.col("p.b")].alias("var2"), "r")
 
 
 def top_correlations(df: DataFrame, columns: Sequence[str] | None = None, k: int = 10) -> DataFrame:
