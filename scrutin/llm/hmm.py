@@ -15,9 +15,9 @@ segment's product of transition and emission matrices carries the forward
 vector of a text from one segment to the next (and the backward vector back),
 then all segments are run through side by side.
 
-The start values come from a few rounds over START_DOCUMENTS short training
-texts at most, drawn by a hash of their id; all later rounds and all counts
-cover all training texts.
+The start values are seeded by the tokens' hashes; every round and all counts
+cover all training texts, so neither a sample nor the files' layout has a part
+in the model.
 
 Training texts: crc32(doc_id as text) mod 5 is not 1 (a null id is training).
 Base score: sum of log10((c + 0.5) / (N + 0.5 (V + 1))).
@@ -42,12 +42,13 @@ from scrutin.llm.common import fold_of, stored
 
 HEAD = (1 << 16) - 1
 STATES = 6
-ROUNDS = 3
-START_DOCUMENTS, START_TOKENS, START_ROUNDS = 1500, 2000, 15
-SEGMENT = 64
+ROUNDS = 7
+SEGMENT = 2048
+#: Vectors are scaled every so many steps; no emission is near 1e-38.
+RESCALE = 8
 SMOOTH = 0.5
 END = np.uint64(0x5EED0F7E27C0DE01)
-_BATCH_TOKENS = 1 << 19
+_BATCH_TOKENS = 1 << 20
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,133 +143,141 @@ class Parameters:
     emit: np.ndarray   # symbol by state
 
 
-@dataclass
-class _Segments:
-    """Texts cut in segments of SEGMENT symbols, each padded by symbol -1."""
-    symbols: np.ndarray  # segment by position
-    first: np.ndarray    # of each text
-    count: np.ndarray    # of each text
-
-    @staticmethod
-    def of(sequences: list[np.ndarray]) -> _Segments:
-        n = np.array([len(x) for x in sequences])
-        count = -(-n // SEGMENT)
-        first = np.concatenate([[0], np.cumsum(count)])
-        flat = np.full(int(first[-1]) * SEGMENT, -1, np.int64)
-        text = np.repeat(np.arange(len(n)), n)
-        flat[np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + first[text] * SEGMENT] = np.concatenate(sequences)
-        return _Segments(flat.reshape(-1, SEGMENT), first[:-1], count)
-
-
-def _padded(p: Parameters) -> np.ndarray:
-    """Emissions with a last row of ones, for the padding."""
-    return np.vstack([p.emit, np.ones(p.emit.shape[1])])
-
-
-def _products(s: _Segments, p: Parameters, emit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each segment's product of diag(emission) and transitions, state at its
-    first token to state at the next segment's first token, and its log scale.
-    Padding neither emits nor moves."""
+class _Layout:
+    """Segments of symbols side by side, the longest first, time by time: the
+    symbols that ``live[t]`` segments have at time t are ``flat[at[t]:at[t + 1]]``,
+    so every step works on the first rows of its arrays."""
+
+    def __init__(self, symbols: np.ndarray, starts: np.ndarray, lengths: np.ndarray):
+        self.order = np.argsort(-lengths, kind="stable")
+        self.rank = np.empty(len(lengths), np.int64)
+        self.rank[self.order] = np.arange(len(lengths))
+        longest = int(lengths.max()) if len(lengths) else 0
+        self.live = np.concatenate([np.cumsum(np.bincount(lengths, minlength=longest + 1)[::-1])[::-1][1:], [0]]).astype(np.int64)
+        self.at = np.concatenate([[0], np.cumsum(self.live)])
+        n = int(lengths.sum())
+        time = np.arange(n) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        self.flat = np.empty(n, symbols.dtype)
+        self.flat[self.at[time] + np.repeat(self.rank, lengths)] = symbols[np.repeat(starts, lengths) + time]
+
+    def steps(self) -> Iterator[tuple[int, slice, int, int]]:
+        """(time, its place in ``flat``, live segments, those that go on)."""
+        for t in range(len(self.live) - 1):
+            yield t, slice(self.at[t], self.at[t + 1]), self.live[t], self.live[t + 1]
+
+
+class _Texts:
+    """Texts cut in segments of at most SEGMENT symbols."""
+
+    def __init__(self, sequences: list[np.ndarray]):
+        n = np.array([len(x) for x in sequences], np.int64)
+        self.count = -(-n // SEGMENT)
+        self.first = np.cumsum(self.count) - self.count
+        self.last = self.first + self.count - 1
+        total = int(self.count.sum())
+        inside = np.arange(total) - np.repeat(self.first, self.count)
+        self.starts = np.repeat(np.cumsum(n) - n, self.count) + inside * SEGMENT
+        self.lengths = np.minimum(np.repeat(n, self.count) - inside * SEGMENT, SEGMENT)
+        self.symbols = np.concatenate(sequences)
+        self.layout = _Layout(self.symbols, self.starts, self.lengths)
+
+
+def _products(s: _Texts, some: np.ndarray, p: Parameters) -> np.ndarray:
+    """The product of diag(emission) and transitions over each of some segments,
+    from the state at its first token to that at the next segment's, scaled."""
     k = len(p.start)
-    m = np.broadcast_to(np.eye(k), (len(s.symbols), k, k)).copy()
-    scale = np.zeros(len(s.symbols))
-    for t in range(SEGMENT):
-        live = s.symbols[:, t] >= 0
-        whole = live.all()
-        x = (m if whole else m[live]) * emit[s.symbols[:, t] if whole else s.symbols[live, t]][:, None, :]
-        x = (x.reshape(-1, k) @ p.move).reshape(-1, k, k)
-        if t % 8 == 7 or t == SEGMENT - 1:
-            top = x.max(axis=(1, 2))
-            x /= top[:, None, None]
-            if whole:
-                scale += np.log(top)
-            else:
-                scale[live] += np.log(top)
-        if whole:
-            m = x
-        else:
-            m[live] = x
-    return m, scale
-
-
-def _entries(s: _Segments, p: Parameters, emit: np.ndarray, backward: bool) -> tuple[np.ndarray, np.ndarray | None]:
+    lay = _Layout(s.symbols, s.starts[some], s.lengths[some])
+    m = np.broadcast_to(np.eye(k), (len(some), k, k)).copy()
+    for t, place, live, _ in lay.steps():
+        x = m[:live] * p.emit[lay.flat[place]][:, None, :]
+        if t % RESCALE == RESCALE - 1:
+            x /= x.max(axis=(1, 2), keepdims=True)
+        m[:live] = (x.reshape(-1, k) @ p.move).reshape(-1, k, k)
+    return m[lay.rank]
+
+
+def _entries(s: _Texts, p: Parameters, backward: bool) -> tuple[np.ndarray, np.ndarray | None]:
     """The state distribution before each segment's first token and, if asked
-    for, the scaled backward vector after each segment's last move."""
-    k = len(p.start)
-    alpha = np.empty((len(s.symbols), k))
+    for, the scaled backward vector before the next segment's first emission
+    (ones after a text's last)."""
+    k, n = len(p.start), len(s.lengths)
+    alpha = np.empty((n, k))
     alpha[s.first] = p.start
-    beta = np.ones((len(s.symbols), k)) if backward else None
+    beta = np.ones((n, k)) if backward else None
     long = np.flatnonzero(s.count > 1)
     if len(long):
         some = np.repeat(s.first[long] - (np.cumsum(s.count[long]) - s.count[long]), s.count[long]) + np.arange(int(s.count[long].sum()))
-        m = np.empty((len(s.symbols), k, k))
-        m[some], _ = _products(_Segments(s.symbols[some], s.first, s.count), p, emit)
+        place = np.empty(n, np.int64)
+        place[some] = np.arange(len(some))
+        m = _products(s, some, p)
         for i in range(1, int(s.count.max())):
             at = s.first[s.count > i] + i
-            a = np.einsum("ni,nij->nj", alpha[at - 1], m[at - 1])
+            a = np.einsum("ni,nij->nj", alpha[at - 1], m[place[at - 1]])
             alpha[at] = a / a.sum(axis=1, keepdims=True)
         if backward:
             for i in range(1, int(s.count.max())):
-                d = np.flatnonzero(s.count > i)
-                at = s.first[d] + s.count[d] - 1 - i
-                b = np.einsum("nij,nj->ni", m[at + 1], beta[at + 1])
+                at = s.last[s.count > i] - i
+                b = np.einsum("nij,nj->ni", m[place[at + 1]], beta[at + 1])
                 beta[at] = b / b.sum(axis=1, keepdims=True)
     return alpha, beta
 
 
+def _forward(s: _Texts, p: Parameters, entry: np.ndarray, kept: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """The log probability of each segment given its entry, and the emissions of
+    all symbols; ``kept`` takes the forward vectors, scaled every RESCALE steps."""
+    lay = s.layout
+    emit = p.emit[lay.flat]
+    alpha, out = entry[lay.order], np.zeros(len(lay.order))
+    for t, place, live, on in lay.steps():
+        x = alpha[:live] * emit[place] if kept is None else np.multiply(alpha[:live], emit[place], out=kept[place])
+        if t % RESCALE == RESCALE - 1:
+            c = x.sum(axis=1)
+            out[:live] += np.log(c)
+            x /= c[:, None]
+        if on < live:
+            out[on:live] += np.log(x[on:].sum(axis=1))
+        np.dot(x[:on], p.move, out=alpha[:on])
+    return out[lay.rank], emit
+
+
 def log_likelihood(sequences: list[np.ndarray], p: Parameters) -> np.ndarray:
     """The natural log probability of each sequence of symbols (the scaled
     forward recursion)."""
-    s = _Segments.of(sequences)
-    emit = _padded(p)
-    alpha, _ = _entries(s, p, emit, False)
-    out = np.zeros(len(s.symbols))
-    for t in range(SEGMENT):
-        live = np.flatnonzero(s.symbols[:, t] >= 0)
-        a = alpha[live] * emit[s.symbols[live, t]]
-        c = a.sum(axis=1)
-        out[live] += np.log(c)
-        alpha[live] = (a / c[:, None]) @ p.move
-    return np.add.reduceat(out, s.first)
+    s = _Texts(sequences)
+    entry, _ = _entries(s, p, False)
+    return np.add.reduceat(_forward(s, p, entry, None)[0], s.first)
 
 
 def expected_counts(sequences: list[np.ndarray], p: Parameters) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     """Baum-Welch: expected starts, moves and emissions, and the log likelihood."""
-    s = _Segments.of(sequences)
-    emit, k = _padded(p), len(p.start)
-    entry, beta = _entries(s, p, emit, True)
-    n = len(s.symbols)
-    alphas = np.empty((SEGMENT, n, k))  # after emission, scaled
-    alpha, total = entry, 0.0
-    for t in range(SEGMENT):
-        a = alpha * emit[s.symbols[:, t]]
-        c = a.sum(axis=1, keepdims=True)
-        total += float(np.log(c[s.symbols[:, t] >= 0]).sum())
-        alphas[t] = a / c
-        alpha = np.where(s.symbols[:, t, None] >= 0, alphas[t] @ p.move, alpha)
-    last = np.zeros(n, dtype=bool)
-    last[s.first + s.count - 1] = True
-    moves, emits, starts = np.zeros((k, k)), np.zeros((len(p.emit) + 1, k)), np.zeros(k)
-    filled = (s.symbols >= 0).sum(axis=1)
-    for t in range(SEGMENT - 1, -1, -1):
-        live = s.symbols[:, t] >= 0
-        inner = live & ~(last & (filled == t + 1))  # a move follows this token
-        into = beta @ p.move.T                       # over the next state
-        b = np.where(inner[:, None], into, 1.0)
-        g = alphas[t] * b
-        g /= g.sum(axis=1, keepdims=True)
-        g[~live] = 0.0
-        for j in range(k):
-            emits[:, j] += np.bincount(s.symbols[:, t], g[:, j], minlength=len(emits)) if live.all() else np.bincount(
-                np.where(live, s.symbols[:, t], len(p.emit)), g[:, j], minlength=len(emits))
-        a = alphas[t][inner]
-        z = np.einsum("ni,ni->n", a, into[inner])
-        moves += (a / z[:, None]).T @ beta[inner] * p.move
-        if t == 0:
-            starts += g[s.first].sum(axis=0)
-        nb = b * emit[s.symbols[:, t]]
-        beta = np.where(live[:, None], nb / nb.sum(axis=1, keepdims=True), beta)
-    return starts, moves, emits[:-1], total
+    s = _Texts(sequences)
+    lay, k = s.layout, len(p.start)
+    entry, beta = _entries(s, p, True)
+    alphas = np.empty((len(lay.flat), k))
+    out, emit = _forward(s, p, entry, alphas)
+    goes_on = np.ones(len(s.lengths), bool)
+    goes_on[s.last] = False
+    beta, goes_on = beta[lay.order], goes_on[lay.order]
+    final = np.where(goes_on[:, None], beta @ p.move.T, 1.0)   # the backward vector at each segment's last token
+    moves, back, after = np.zeros((k, k)), np.empty_like(final), np.empty_like(final)
+    for t, place, live, on in reversed(list(lay.steps())):
+        a, b = alphas[place], back[:live]
+        b[on:] = final[on:live]
+        both = a * b
+        scale = both.sum(axis=1, keepdims=True)
+        over = a / scale
+        moves += over[:on].T @ after[:on]
+        ends = np.flatnonzero(goes_on[on:live])
+        if len(ends):
+            moves += over[on:][ends].T @ beta[on:live][ends]
+        e = np.multiply(emit[place], b, out=after[:live])
+        if t % RESCALE == 0:
+            e /= e.sum(axis=1, keepdims=True)
+        np.divide(both, scale, out=a)                          # from here on the posterior
+        np.dot(e, p.move.T, out=back[:live])
+    starts = alphas[lay.rank[s.first]].sum(axis=0)             # time 0 comes first, by rank
+    emits = np.column_stack([np.bincount(lay.flat, alphas[:, j], minlength=len(p.emit)) for j in range(k)])
+    return starts, moves * p.move, emits, float(out.sum())
 
 
 def updated(starts: np.ndarray, moves: np.ndarray, emits: np.ndarray, background: np.ndarray) -> Parameters:
@@ -327,14 +336,14 @@ def _score(parameters):
     return run
 
 
-def _start(sample: list[np.ndarray], background: np.ndarray, k: int) -> Parameters:
-    """Start values: rounds over a bounded sample from random emissions."""
-    rng = np.random.default_rng(11)
-    emit = background[:, None] * rng.gamma(1.0, 1.0, (len(background), k)) + 1e-12
-    p = Parameters(np.full(k, 1.0 / k), np.full((k, k), 0.1 / max(k - 1, 1)) + np.eye(k) * (0.9 - 0.1 / max(k - 1, 1)), emit / emit.sum(axis=0))
-    for _ in range(START_ROUNDS if sample else 0):
-        p = updated(*expected_counts(sample, p)[:3], background)
-    return p
+def _start(tokens: np.ndarray, background: np.ndarray, k: int) -> Parameters:
+    """Start values: the background's emissions, each token's weights in the
+    states seeded by its hash, and states that tend to stay."""
+    seeds = np.append(tokens, np.uint64(0))[:, None] ^ B.mix(np.arange(1, k + 1, dtype=np.uint64))[None]
+    emit = background[:, None] * np.log(B.unit(B.mix(seeds))) ** 2
+    move = np.full((k, k), 0.02 / max(k - 1, 1))
+    np.fill_diagonal(move, 0.98 if k > 1 else 1.0)
+    return Parameters(np.full(k, 1.0 / k), move, emit / emit.sum(axis=0))
 
 
 def lm_scores(documents: DataFrame, states: int = STATES, rounds: int = ROUNDS, head: int = HEAD) -> DataFrame:
@@ -364,11 +373,7 @@ def lm_scores(documents: DataFrame, states: int = STATES, rounds: int = ROUNDS,
     norm = total + SMOOTH * (distinct + 1)
     background = np.append(voc.counts + SMOOTH, tail_n + SMOOTH * (tail_v + 1)) / norm
     train = encoded.where("not held_out").select("symbols")
-    n = encoded.where(f"not held_out and n_tokens <= {START_TOKENS}").count()
-    sample = (encoded.where(f"not held_out and n_tokens <= {START_TOKENS}")
-              .where(F.pmod(F.xxhash64("rid"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, START_DOCUMENTS / max(n, 1))))
-              .select("symbols").limit(2 * START_DOCUMENTS).collect())
-    p = _start([np.frombuffer(r.symbols, "<u2") for r in sample], background, states)
+    p = _start(voc.tokens, background, states)
     names = [f"s{j}" for j in range(states)]
     for _ in range(rounds if total else 0):
         rows = (train.mapInArrow(_expect(sc.broadcast(p)), "symbol long, " + ", ".join(f"{c} double" for c in names))

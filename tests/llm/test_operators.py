@@ -233,30 +233,79 @@ def test_language_model(spark, docs, nothing):
     assert hmm.lm_scores(nothing).count() == 0
 
 
-def test_forward_and_expected_counts_match_plain_recursion():
-    k, v = 3, 7
-    rng = np.random.default_rng(0)
-    norm = lambda x: x / x.sum(axis=-1, keepdims=True)
-    emit = rng.random((v, k))
-    p = hmm.Parameters(norm(rng.random(k)), norm(rng.random((k, k))), emit / emit.sum(axis=0))
-    seqs = [rng.integers(0, v, n).astype("<u2") for n in (1, 3, 64, 65, 129, 300)]
-    total, moves = [], np.zeros((k, k))
+def plain_counts(seqs, p):
+    """Expected starts, moves and emissions and each log likelihood, one text and token at a time."""
+    k = len(p.start)
+    total, starts, moves, emits = [], np.zeros(k), np.zeros((k, k)), np.zeros(p.emit.shape)
     for x in seqs:
-        a, ll, alphas = p.start, 0.0, []
+        ll, alphas = 0.0, []
         for t, o in enumerate(x):
-            a = (a if t == 0 else alphas[-1] @ p.move) * p.emit[o]
+            a = (p.start if t == 0 else alphas[-1] @ p.move) * p.emit[o]
             ll += np.log(a.sum())
             alphas.append(a / a.sum())
         total.append(ll)
         b = np.ones(k)
-        for t in range(len(x) - 2, -1, -1):
-            q = alphas[t][:, None] * p.move * (p.emit[x[t + 1]] * b)
-            moves += q / q.sum()
-            b = p.move @ (p.emit[x[t + 1]] * b)
-            b /= b.sum()
-    assert np.allclose(hmm.log_likelihood(seqs, p), total)
-    starts, got, emits, ll = hmm.expected_counts(seqs, p)
-    assert np.allclose(got, moves) and np.isclose(ll, sum(total)) and np.isclose(emits.sum(), sum(map(len, seqs))) and np.isclose(starts.sum(), len(seqs))
+        for t in range(len(x) - 1, -1, -1):
+            g = alphas[t] * b
+            emits[x[t]] += g / g.sum()
+            if t:
+                q = alphas[t - 1][:, None] * p.move * (p.emit[x[t]] * b)
+                moves += q / q.sum()
+                b = p.move @ (p.emit[x[t]] * b)
+                b /= b.sum()
+        starts += g / g.sum()
+    return starts, moves, emits, np.array(total)
+
+
+@pytest.mark.parametrize("segment", [1, 7, 64, 2048])
+def test_forward_and_expected_counts_match_plain_recursion(monkeypatch, segment):
+    monkeypatch.setattr(hmm, "SEGMENT", segment)
+    k, v = 3, 7
+    rng = np.random.default_rng(0)
+    norm = lambda x: x / x.sum(axis=-1, keepdims=True)
+    emit = rng.random((v, k))
+    p = hmm.Parameters(norm(rng.random(k)), norm(rng.random((k, k))), emit / emit.sum(axis=0))
+    seqs = [rng.integers(0, v, n).astype("<u2") for n in (1, 3, 64, 65, 129, 300, 7, 1)]
+    want = plain_counts(seqs, p)
+    assert np.allclose(hmm.log_likelihood(seqs, p), want[3])
+    got = hmm.expected_counts(seqs, p)
+    assert all(np.allclose(x, y) for x, y in zip(got[:3], want)) and np.isclose(got[3], want[3].sum())
+
+
+def test_language_model_scores_match_plain_training_and_recursion(spark, docs):
+    """The whole model again in plain loops: vocabulary, rounds over every training text, exact scores."""
+    states, rounds, head = 3, 3, 60
+    data = docs.collect()
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 5 == 1
+    hashes = [np.append(textbytes.words(pa.array([r.text or ""], pa.large_string()), textbytes.SPACE).hashes, hmm.END) for r in data]
+    c = collections.Counter(int(h) for r, x in zip(data, hashes) if not held(r.doc_id) for h in x)
+    level = lambda n: int(np.floor(64 * np.log2(n)))
+    kept, left = set(), head
+    for lv in sorted({level(n) for n in c.values()}, reverse=True):
+        bin_ = {h for h, n in c.items() if level(n) == lv}
+        left -= len(bin_)
+        if left < 0:
+            break
+        kept |= bin_
+    tokens = np.array(sorted(kept), np.uint64)
+    voc = hmm.Vocabulary(tokens, np.array([c[int(h)] for h in tokens]), sum(c.values()), len(c))
+    tail_n, tail_v = voc.tail
+    assert tail_n > 0
+    norm = voc.total + 0.5 * (voc.distinct + 1)
+    background = np.append(voc.counts + 0.5, tail_n + 0.5 * (tail_v + 1)) / norm
+    seqs = [voc.symbols(x) for x in hashes]
+    p = hmm._start(voc.tokens, background, states)
+    for _ in range(rounds):
+        p = hmm.updated(*plain_counts([s for s, r in zip(seqs, data) if not held(r.doc_id)], p)[:3], background)
+    want = []
+    for s, h, r in zip(seqs, hashes, data):
+        rare = sum(np.log10((c[int(x)] + 0.5) / (tail_n + 0.5 * (tail_v + 1))) for x in h[s == len(tokens)])
+        want.append((r.doc_id, plain_counts([s], p)[3][0] / np.log(10) + rare))
+    key = lambda x: (str(x[0]), x[1])
+    for layout in (docs.coalesce(1), docs.repartition(7)):
+        got = sorted(((r.doc_id, r.score) for r in hmm.lm_scores(layout, states, rounds, head).collect()), key=key)
+        assert [g[0] for g in got] == [w[0] for w in sorted(want, key=key)]
+        assert np.allclose([g[1] for g in got], [w[1] for w in sorted(want, key=key)], rtol=1e-7)
 
 
 def test_quality(spark, docs, nothing):
