@@ -54,6 +54,17 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores added until no column of ``df`` has it in any case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def only(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """The named columns; those that are missing come as null."""
     return df.select(*[F.col(c) if c in df.columns else F.lit(None).alias(c) for c in columns])
