@@ -26,7 +26,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scrutin.llm.common import stored
+from scrutin.llm.common import stored, unused
 
 WINDOW = 10
 SHINGLE = 5
@@ -122,9 +122,10 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 def clean_documents(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents, whole rows, in which no window occurs."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = hits(docs, stored(windows(benchmark), "windows")).select(F.col("doc_id").alias("h_id"), F.col("version").alias("h_version")).distinct()
+    h_id, h_version = unused(documents, "h_id", "h_version")
+    found = hits(docs, stored(windows(benchmark), "windows")).select(F.col("doc_id").alias(h_id), F.col("version").alias(h_version)).distinct()
     found = stored(found, "hits")
-    return documents.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("h_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("h_version")), "left_anti")
+    return documents.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col(h_id)) & (F.xxhash64(F.col("text").cast("string")) == F.col(h_version)), "left_anti")
 
 
 ORACLE = r"""

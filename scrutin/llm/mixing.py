@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scrutin.llm.common import stored
+from scrutin.llm.common import stored, unused
 
 WEIGHTS = (3.0, 1.0, 2.0)
 BUDGET = 1.5
@@ -113,10 +113,13 @@ def subset(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
 
 
 def fitted(lengths: np.ndarray, counts: np.ndarray, budget: float) -> np.ndarray:
-    """How many documents of each length to take for a total near the budget."""
+    """How many documents of each length to take for a total near the budget:
+    never above it, and below it by less than the shortest document that is
+    left.  Up to CAPACITY words the total is the best that there is."""
     total = int((lengths * counts).sum())
     budget = int(round(min(budget, total)))
-    taken = counts * budget // total if total else counts * 0
+    # in Python's integers: the product passes 64 bits at about a million documents of one length
+    taken = np.array([int(c) * budget // total for c in counts], np.int64) if total else counts * 0
     left = budget - int((lengths * taken).sum())
     for i in np.argsort(-lengths, kind="stable"):  # fill with long documents down to what the programme can hold
         if left <= CAPACITY:
@@ -126,7 +129,12 @@ def fitted(lengths: np.ndarray, counts: np.ndarray, budget: float) -> np.ndarray
             taken[i] += more
             left -= more * int(lengths[i])
     out = taken + subset(lengths, counts - taken, min(left, CAPACITY))
-    if budget <= CAPACITY and int((lengths * out).sum()) < budget:  # few documents: the programme alone
+    left = budget - int((lengths * out).sum())
+    for i in np.argsort(-lengths, kind="stable"):  # longer documents than the programme holds
+        more = min(int(counts[i] - out[i]), left // int(lengths[i]))
+        out[i] += more
+        left -= more * int(lengths[i])
+    if budget <= CAPACITY and left > 0:  # few documents: the programme alone
         return subset(lengths, counts, budget)
     return out
 
@@ -177,11 +185,13 @@ def mixed(documents: DataFrame, weights=WEIGHTS, budget: float = BUDGET, most: f
 
 def mixture(documents: DataFrame, **parameters) -> DataFrame:
     """The documents that the mix takes, with mix_size, mix_source_size,
-    mix_target, mix_taken and mix_copies; a row stands for its copies, repeated
-    rows are one."""
-    taken = mixed(documents, **parameters).where("taken > 0").groupBy(F.col("doc_id").alias("_id"), F.col("draw").alias("_draw")).agg(
-        F.max("size").alias("mix_size"), F.max("source_size").alias("mix_source_size"), F.max("target").alias("mix_target"),
-        F.sum("taken").alias("mix_taken"), F.sum("copies").alias("mix_copies"))
-    docs = documents.withColumn("_key", draw())
-    return (docs.join(taken, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_draw")))
-            .dropDuplicates(["_id", "_draw"]).drop("_id", "_draw", "_key"))
+    mix_target, mix_taken and mix_copies (underscores are added to a name that
+    the documents have); a row stands for its copies, repeated rows are one."""
+    names = unused(documents, "mix_size", "mix_source_size", "mix_target", "mix_taken", "mix_copies", "mix_id", "mix_draw", "mix_key")
+    (id_, draw_, key), names = names[5:], names[:5]
+    totals = (F.max("size"), F.max("source_size"), F.max("target"), F.sum("taken"), F.sum("copies"))
+    taken = mixed(documents, **parameters).where("taken > 0").groupBy(F.col("doc_id").alias(id_), F.col("draw").alias(draw_)).agg(
+        *[v.alias(c) for v, c in zip(totals, names)])
+    docs = documents.withColumn(key, draw())
+    return (docs.join(taken, F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & (F.col(key) == F.col(draw_)))
+            .dropDuplicates([id_, draw_]).drop(id_, draw_, key))
