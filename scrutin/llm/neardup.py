@@ -21,8 +21,8 @@ components is left out, and no bucket is written out as its pairs.
 
 Defined cases: null and empty texts are equal texts and one group; a text
 without words is grouped with equal texts only; repeated rows and ties keep
-every row; the group's id is the least row number of its members, its kept
-document the row of that number.  Columns beside doc_id and text are carried
+every row; a group's kept document is that of its least doc_id (null last), of
+equal ids that of the least text digest, wherever the rows lie.  Columns beside doc_id and text are carried
 by ``deduplicate`` only.
 """
 
@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scrutin.llm import textbytes as B
-from scrutin.llm.common import stored, text_key
+from scrutin.llm.common import stored, text_key, unused
 
 BANDS, ROWS = 26, 5
 #: Kept coordinates; the first BANDS * ROWS make the bands.
@@ -303,35 +303,32 @@ def verify(candidates: DataFrame, used: DataFrame) -> DataFrame:
 
 
 def near_duplicates(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per document: rid (row number), doc_id, node_key, group (least
-    rid of its class), keep (it is that row), group_doc_id, copies (equal
-    texts), links (other texts linked to its text), group_size."""
+    """One row per document: rid (row number), doc_id, node_key, group (a number
+    of its class), keep, group_doc_id, copies (equal texts), group_size.  The
+    class's row of the least doc_id (null last), then the least digest of its
+    text is kept; rows equal in both are told apart by their number."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = stored(
         docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", text_key().alias("node_key"), "text")
         .mapInArrow(_signed, "rid long, doc_id long, node_key binary, bands array<long>, signature binary"), "signed")
-    classes = stored(signed.groupBy("node_key").agg(F.min("rid").alias("node"), F.count("*").alias("copies")), "classes")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node_key", "rid"))
+    classes = stored(signed.groupBy("node_key").agg(F.min("rid").alias("node"), F.count("*").alias("copies"), first.alias("first")), "classes")
     nodes = signed.join(classes.select(F.col("node").alias("rid")), "rid", "left_semi").withColumnRenamed("rid", "node")
     nodes = stored(nodes, "nodes")
-    links, part = near_links(nodes, docs.withColumn("node_key", text_key()), threshold)
-    ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node")))
-    full = classes.join(ends.groupBy("node").agg(F.count("*").alias("links")), "node", "left")
-    full = full.join(part, "node", "left").select("node_key", "node", "copies", F.coalesce("links", F.lit(0)).cast("long").alias("links"),
-                       F.coalesce("component", "node").alias("group"))
-    heads = signed.select(F.col("rid").alias("group"), F.col("doc_id").alias("group_doc_id"))
-    groups = (full.groupBy("group").agg(F.sum("copies").alias("group_size")).join(heads, "group"))
-    full = stored(full.join(groups, "group"), "groups")
+    _, part = near_links(nodes, docs.withColumn("node_key", text_key()), threshold)
+    full = classes.join(part, "node", "left").select("node_key", "node", "copies", "first", F.coalesce("component", "node").alias("group"))
+    groups = full.groupBy("group").agg(F.sum("copies").alias("group_size"), F.min("first").alias("head"))
+    full = stored(full.join(groups, "group").select("node_key", "group", "copies", "group_size", "head"), "groups")
     return (signed.select("rid", "doc_id", "node_key").join(full, "node_key")
-            .select("rid", "doc_id", "node_key", "group", (F.col("rid") == F.col("group")).alias("keep"),
-                    "group_doc_id", "copies", "links", "group_size"))
+            .select("rid", "doc_id", "node_key", "group", (F.col("rid") == F.col("head.rid")).alias("keep"),
+                    F.col("head.doc_id").alias("group_doc_id"), "copies", "group_size"))
 
 
 def deduplicate(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents without all but one of each near-duplicate group; the
     kept row is matched by id and text, and repeated rows of it are one."""
-    kept = near_duplicates(documents, threshold).where("keep").select(F.col("doc_id").alias("_id"), F.col("node_key").alias("_key"))
-    key = text_key()
-    cols = documents.columns
-    return (documents.withColumn("_text_key", key)
-            .join(kept, F.col("_text_key").eqNullSafe(F.col("_key")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_id")))
-            .dropDuplicates(["_id", "_key"]).select(*cols))
+    id_, key, own = unused(documents, "kept_id", "kept_key", "text_key")
+    kept = near_duplicates(documents, threshold).where("keep").select(F.col("doc_id").alias(id_), F.col("node_key").alias(key))
+    return (documents.withColumn(own, text_key())
+            .join(kept, F.col(own).eqNullSafe(F.col(key)) & F.col("doc_id").cast("long").eqNullSafe(F.col(id_)))
+            .dropDuplicates([id_, key]).drop(id_, key, own))

@@ -53,9 +53,9 @@ def op3_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: the id of its group (its kept document's doc_id),
-    whether it is kept, its group's size and the links of its text."""
+    whether it is kept, its group's size and the copies of its text."""
     g = near_duplicates(table(spark, sf_dir, "documents"))
-    return g.select("doc_id", g.group_doc_id.alias("class_id"), "keep", "group_size", "links", "copies")
+    return g.select("doc_id", g.group_doc_id.alias("class_id"), "keep", "group_size", "copies")
 
 
 @query
