@@ -42,7 +42,7 @@ from scrutin.llm.common import fold_of, stored
 
 HEAD = (1 << 16) - 1
 STATES = 6
-ROUNDS = 7
+ROUNDS = 5
 SEGMENT = 2048
 #: Vectors are scaled every so many steps; no emission is near 1e-38.
 RESCALE = 8

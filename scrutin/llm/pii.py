@@ -65,6 +65,10 @@ def automaton() -> ahocorasick.Automaton:
     return _automaton
 
 
+#: Letters before a street cue in which its house number and name are looked for.
+LOOK_BACK = 100
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for i, c in enumerate(reversed(digits)):
@@ -124,8 +128,10 @@ def find(text: str) -> dict[str, list[tuple[int, int]]]:
                     add("account", m.start(1), m.end(1))
         elif not text[at + 1: at + 2].isalnum():  # a street cue at a word's end
             cue = at + 1
-            start = max(text.rfind(" ", 0, cue), text.rfind("\n", 0, cue)) + 1
-            if m := _HOUSE.search(text, max(end["address"], start - 100), start):
+            # a word of more than LOOK_BACK letters is no street's name
+            least = max(0, cue - LOOK_BACK)
+            start = max(text.rfind(" ", least, cue), text.rfind("\n", least, cue)) + 1
+            if (start or not least) and (m := _HOUSE.search(text, max(end["address"], start - LOOK_BACK), start)):
                 end["address"] = cue
                 add("address", m.start(), cue)
     return out
