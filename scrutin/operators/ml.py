@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import IllegalArgumentException, SparkRuntimeException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -266,7 +268,7 @@ def _train_and_select(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, di
             try:
                 model = pipe.fit(train)
                 acc = accuracy(model.transform(test)) if n_test else 0.0
-            except Exception as e:  # noqa: BLE001 - a failed fit is a result of its own
+            except (IllegalArgumentException, SparkRuntimeException, Py4JJavaError) as e:  # a failed fit is a result of its own
                 rows.append((name, None, n_train, n_test, len(names), k, f"{type(e).__name__}: {e}"[:500]))
                 continue
             models[name] = model

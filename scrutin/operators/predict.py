@@ -290,18 +290,22 @@ def compare_shares(pred: DataFrame, actual: DataFrame, keys: Sequence[str] = ("s
 
 # -- R13 ---------------------------------------------------------------------
 def history_info(history: DataFrame, metadata: DataFrame | None = None) -> DataFrame:
-    """Model name, accuracy, history rows, years covered, department count."""
+    """Model name, accuracy, history rows, years covered, department count.  The
+    metadata's first row gives name, accuracy and years, those that it has a
+    column and a value for (an empty name or span counts as none)."""
     info = history.agg(F.count(F.lit(1)).alias("data_points"))
-    if metadata is not None:
-        info = info.withColumns({"__name": metadata.select("best_model_name").limit(1).scalar(),
-                                 "__acc": metadata.select(F.col("best_score").cast("double")).limit(1).scalar()})
-    else:
-        info = info.withColumns({"__name": F.lit(None).cast("string"), "__acc": F.lit(None).cast("double")})
+
+    def known(column: str, kind: str, default):
+        if metadata is None or column not in metadata.columns:
+            return F.lit(default)
+        value = metadata.select(F.col(column).cast(kind)).limit(1).scalar()
+        return F.coalesce(F.nullif(value, F.lit("")) if kind == "string" else value, F.lit(default))
+
     return info.select(
-        F.coalesce(F.col("__name"), F.lit(S.DEFAULT_MODEL_NAME)).alias("model_name"),
-        F.coalesce(F.col("__acc"), F.lit(0.0)).alias("accuracy"),
+        known("best_model_name", "string", S.DEFAULT_MODEL_NAME).alias("model_name"),
+        known("best_score", "double", 0.0).alias("accuracy"),
         "data_points",
-        F.lit(S.DEFAULT_YEARS_COVERED).alias("years_covered"),
+        known("years_covered", "string", S.DEFAULT_YEARS_COVERED).alias("years_covered"),
         F.lit(len(S.REGION_DEPARTMENTS)).alias("departments"))
 
 

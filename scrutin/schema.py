@@ -130,6 +130,15 @@ COLUMN_PATTERNS = {
     "exprimes": ["exprimes", "valid_votes", "nb_exprimes"],
 }
 
+# Headings of open-data files, normalised (``files.heading``), and their canonical names.
+OPEN_DATA_HEADINGS = {
+    "code_du_departement": "departement", "code_departement": "departement", "code_dep": "departement", "dep": "departement",
+    "departement": "departement", "annee": "annee", "tour": "tour", "numero_du_tour": "tour",
+    "nuance": "nuance", "code_nuance": "nuance", "nuance_candidat": "nuance",
+    "voix": "voix", "inscrits": "inscrits", "votants": "votants", "abstentions": "abstentions", "exprimes": "exprimes",
+    "com": "commune", "code_de_la_commune": "commune", "libcom": "nom_commune", "libelle_de_la_commune": "nom_commune",
+}
+
 # Table discovery: exact name, then these name fragments in order.
 PREFERRED_TABLE = "resultatslegi"
 TABLE_PATTERNS = ["resultat", "election", "vote", "legi"]

@@ -29,11 +29,6 @@ def pick_table(names: Sequence[str], preferred: str = S.PREFERRED_TABLE,
     return names[0]
 
 
-def catalog_tables(spark, database: str | None = None) -> list[str]:
-    """Table names of the session catalog (metadata only), for ``pick_table``."""
-    return [t.name for t in spark.catalog.listTables(database)]
-
-
 def resolve_mapping(columns: Sequence[str],
                     patterns: Mapping[str, Sequence[str]] = S.COLUMN_PATTERNS) -> dict[str, str | None]:
     """Canonical name -> source column (or None).  Exact (case-insensitive)
@@ -73,10 +68,3 @@ def resolve_columns(df: DataFrame, patterns: Mapping[str, Sequence[str]] = S.COL
         used = {v for v in mapping.values() if v}
         cols += [F.col(c) for c in df.columns if c not in used and c not in mapping]
     return df.select(*cols)
-
-
-def with_missing_defaults(df: DataFrame, columns: Sequence[str] = tuple(S.COLUMN_PATTERNS)) -> DataFrame:
-    """S4 alone: add absent canonical columns as 0 (counts) or ''."""
-    add = {c: (F.lit(0).cast("long") if c in S.COUNT_COLUMNS else F.lit(""))
-           for c in columns if c not in df.columns}
-    return df.withColumns(add) if add else df

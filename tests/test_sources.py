@@ -67,8 +67,8 @@ def test_csv_round_trip_and_datasets(spark):
     back = files.read_csv(spark, os.path.join(out, "legislative_2017.csv"))
     assert back.count() == 50 and "annee" in back.columns
     files.write_table(b, os.path.join(out, "socio_2022.parquet"))
-    ds = files.collect_datasets(spark, out, years=[2017, 2022], types=["legislative", "socio"], fmt="parquet")
-    assert list(ds) == ["socio_2022"]
+    ds = files.collect_datasets(spark, out, years=[2017, 2022], types=["legislative", "socio_economic"], fmt="parquet")
+    assert list(ds) == ["socio_economic_2022"]
     st = files.stacked_datasets({"legislative_2017": back.select("annee"), "socio_2022": b.select("voix")})
     assert set(st.columns) == {"annee", "voix", "election_type", "annee_source"} and st.count() == 100
 
@@ -179,3 +179,54 @@ def test_run_updates_one_year(spark):
         L2.run(spark, None, out, stages=("analyze",))
     with pytest.raises(ValueError):
         L2.run(spark, None, out, stages=("collect",))
+
+
+def test_open_data_headings_and_region(spark):
+    out = tempfile.mkdtemp(prefix="scrutin-open-")
+    lines = ["\ufeffCode du département;Libellé du département;Année;Tour;Nuance;Voix;% Voix/Ins;Exprimés",
+             "09;Ariège;2022;1;RN;10;1,5;50", "9;Ariège;2022;2;RN;11;1,5;50", "2A;Corse;2022;1;LR;7;1;9", "75;Paris;2022;1;LR;7;1;9", "31;Haute-Garonne;2022;1;;5;1;9"]
+    with open(os.path.join(out, "presidentielle_2022.csv"), "w", encoding="utf-8") as f:
+        f.write("\n".join(lines))
+    with open(os.path.join(out, "insee_data_2022.csv"), "w", encoding="utf-8") as f:
+        f.write("DEP;COM;LIBCOM;taux_pauvrete\n31;31001;Agassac;12.5\n75;75056;Paris;10\n")
+    ds = files.collect_datasets(spark, out, fmt="csv")
+    assert list(ds) == ["presidentielle_2022", "socio_economic_2022"]
+    votes = ds["presidentielle_2022"]
+    assert votes.columns == ["departement", "Libellé du département", "annee", "tour", "nuance", "voix", "% Voix/Ins", "exprimes"]
+    assert sorted(r.departement for r in votes.collect()) == ["09", "31", "9"]
+    assert ds["socio_economic_2022"].columns[:3] == ["departement", "commune", "nom_commune"] and ds["socio_economic_2022"].count() == 1
+    assert files.read_open_data(spark, os.path.join(out, "presidentielle_2022.csv"), regions=None).count() == 5
+    # two headings of one name: the first takes it
+    assert files.canonical_headings(["Code département", "DEP", "annee", "Année"]) == ["departement", "DEP", "annee", "Année"]
+    with pytest.raises(FileNotFoundError):
+        files.collect_datasets(spark, out, years=[1999], fmt="csv")
+
+
+def test_jdbc_text_codes_and_slices(spark):
+    url, props = "jdbc:derby:memory:scrutin_text;create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    rows = [(i, 2022, 1, ["09", "9", "31", "75", "2A"][i % 5], "RN", i) for i in range(100)]
+    src = spark.createDataFrame(rows, "ID BIGINT, ANNEE INT, TOUR INT, DEPARTEMENT STRING, NUANCE STRING, VOIX BIGINT")
+    src.write.option("createTableColumnTypes", "DEPARTEMENT VARCHAR(4), NUANCE VARCHAR(8)").jdbc(url, "VOTES", mode="overwrite", properties=props)
+    want = sorted(r[5] for r in rows if r[3] in ("09", "9", "31"))
+    df = jdbc.read_jdbc(spark, url, "VOTES", props, partition_column="ID", num_partitions=4)
+    leaf = df._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    assert "In(DEPARTEMENT" in leaf.metadata().get("PushedFilters").get().replace(" ", "")
+    assert sorted(r.voix for r in df.collect()) == want and df.rdd.getNumPartitions() == 4
+    # every slice has rows: the bounds are those of the table
+    assert min(len(p) for p in jdbc.read_jdbc(spark, url, "VOTES", props, regions=None, partition_column="ID", num_partitions=4).rdd.glom().collect()) == 25
+    by = jdbc.read_jdbc(spark, url, "VOTES", props, predicates=["ID < 50", "ID >= 50"])
+    assert by.rdd.getNumPartitions() == 2 and sorted(r.voix for r in by.collect()) == want
+    for wrong in ({"num_partitions": 4}, {"partition_column": "ID"}, {"partition_column": "ID", "num_partitions": 2, "predicates": ["ID < 5"]}):
+        with pytest.raises(ValueError):
+            jdbc.read_jdbc(spark, url, "VOTES", props, **wrong)
+    assert jdbc.list_tables(spark, url, props) == ["VOTES"] and jdbc.list_tables(spark, url, props, schema_pattern="NONE%") == []
+
+
+def test_history_info_reads_the_metadata(spark):
+    from scrutin.operators import predict as P
+    history = ballots_of(spark, 2017)
+    meta = spark.createDataFrame([("Forest", 0.9, "2002-2017")], "best_model_name STRING, best_score DOUBLE, years_covered STRING")
+    assert tuple(P.history_info(history, meta).first()) == ("Forest", 0.9, 6, "2002-2017", 13)
+    assert P.history_info(history, meta.drop("years_covered", "best_score")).first()[1:4] == (0.0, 6, P.history_info(history).first().years_covered)
+    empty = spark.createDataFrame([("", None, None)], "best_model_name STRING, best_score DOUBLE, years_covered STRING")
+    assert P.history_info(history, empty).first() == P.history_info(history).first()
