@@ -223,10 +223,9 @@ def label_shares_by_year(df: DataFrame, by: Sequence[str] = (S.DEPT,)) -> DataFr
 
 
 def historical_trends(df: DataFrame, reference_year: str = "latest",
-                      since: int = S.RECENT_YEAR, extra_keys: Sequence[str] = ()) -> DataFrame:
+                      since: int = S.RECENT_YEAR) -> DataFrame:
     """Per department and label, mean share over the years where the label
-    is present (Q4), the reference-year share (Q3), and the election count
-    (per ``extra_keys`` group too, e.g. a backtest fold).
+    is present (Q4), the reference-year share (Q3), and the election count.
 
     F8 chooses the window on the rows first (a department with any row from
     ``since`` on keeps only those rows, even when their votes sum to 0), then
@@ -235,7 +234,7 @@ def historical_trends(df: DataFrame, reference_year: str = "latest",
     """
     if reference_year not in ("latest", "earliest"):
         raise ValueError("reference_year is 'latest' or 'earliest'")
-    keys = [*extra_keys, S.DEPT]
+    keys = [S.DEPT]
     # pre-aggregate (partial, map-side) so F8's flag join and the shares run
     # on one row per (department, year, label), never on the ballots
     pre = df.groupBy(*keys, S.YEAR, S.LABEL).agg(F.sum(S.VOTES).alias(S.VOTES))
@@ -247,13 +246,18 @@ def historical_trends(df: DataFrame, reference_year: str = "latest",
         F.count(F.lit(1)).alias("n_elections"))
 
 
-def regional_trends(df: DataFrame, regions: Sequence[int] = S.REGION_DEPARTMENTS,
-                    extra_keys: Sequence[str] = ()) -> DataFrame:
-    """Shares per year over the whole region, averaged per label
-    (per ``extra_keys`` group, e.g. a backtest fold, when given)."""
-    shares = label_shares_by_year(clean.in_region(df, regions), by=list(extra_keys))
-    return shares.groupBy(*extra_keys, S.LABEL).agg(F.avg("pct").alias("avg_pct"),
-                                       F.count(F.lit(1)).alias("n_elections"))
+def regional_trends(df: DataFrame, regions: Sequence[int] = S.REGION_DEPARTMENTS) -> DataFrame:
+    """Shares per year over the whole region, averaged per label."""
+    shares = label_shares_by_year(clean.in_region(df, regions), by=[])
+    return shares.groupBy(S.LABEL).agg(F.avg("pct").alias("avg_pct"), F.count(F.lit(1)).alias("n_elections"))
+
+
+def shares_over_years(df: DataFrame, by: Sequence[str] = (S.DEPT,)) -> DataFrame:
+    """A16 with a label's years in one row: (by..., label, ``years``: the structs
+    (year, pct) in order of years).  As long as the calendar, whatever the rows."""
+    by = list(by)
+    return label_shares_by_year(df, by).groupBy(*by, S.LABEL).agg(
+        F.array_sort(F.collect_list(F.struct(F.col(S.YEAR).alias("y"), F.col("pct").alias("pct")))).alias("years"))
 
 
 # -- A19 / A20 / A21 ------------------------------------------------------------------

@@ -53,22 +53,14 @@ def backtest(results: DataFrame, history: DataFrame, labels: DataFrame | None =
     ``materialise=True`` to checkpoint it once.
 
     ``exclude_test_year`` (decision Q22): each contest is predicted from the
-    history without its own year.  The history summary is replicated once
-    per tested year other than its own (the replication factor is the number
-    of contest years); the known labels still come from the whole history."""
+    history without its own year (``predict.base_shares_without``); the known
+    labels still come from the whole history."""
+    results = results.select(*dict.fromkeys([*S.CONTEST_KEYS, S.LABEL, S.VOTES, "inscrits", "taux_participation", *tiebreak]))
     if materialise:
         results = session.materialise(results)
     scen = P.prepare_scenarios(contest_scenarios(results, tiebreak, urban))
     summary = P.summarise_history(history, materialise=True)
-    if exclude_test_year:
-        labels = labels if labels is not None else P.known_labels(summary, sort=False)
-        folds = scen.agg(F.array_sort(F.collect_set(S.YEAR))).scalar()  # the contest years
-        folded = (summary.select("*", F.explode(folds).alias("test_year"))
-                  .where(F.col("test_year") != F.col(S.YEAR)))
-        scen_f = scen.withColumn("test_year", F.col(S.YEAR))
-        pred = P.predict_shares(scen_f, folded, labels, reference_year, fold="test_year")
-    else:
-        pred = P.predict_shares(scen, summary, labels, reference_year)
+    pred = P.predict_shares(scen, summary, labels, reference_year, without=S.YEAR if exclude_test_year else None)
     actual = A.actual_shares(results).select(contest_id(), S.LABEL, "pct_reel")
     cmp = P.compare_shares(pred, actual, keys=["scenario_id"])
     err = F.abs(F.col("prediction") - F.col("reel"))
@@ -92,14 +84,14 @@ def backtest_scores(bt: DataFrame) -> DataFrame:
     """Per contest mean and max error, predicted and actual winners,
     whether they agree, and score = 100 - min(2 x mean error, 100)."""
     keys = list(S.CONTEST_KEYS)
-    stats = bt.groupBy(*keys).agg(F.avg("ecart").alias("ecart_moyen"),
-                                  F.max("ecart").alias("ecart_max"),
-                                  F.count(F.lit(1)).alias("n_nuances"))
-    wp = W.winner(bt.where("has_pred"), by=keys, value="prediction_brute").select(
-        *keys, F.col("gagnant").alias("gagnant_predit"))
-    wa = W.winner(bt.where("has_reel"), by=keys, value="reel_brut").select(
-        *keys, F.col("gagnant").alias("gagnant_reel"))
-    out = stats.join(wp, on=keys, how="left").join(wa, on=keys, how="left")
+
+    def best(value: str, present: str) -> F.Column:
+        """The label of the largest value, the least on ties, among the rows that have one."""
+        rank = F.when(F.col(present), F.struct((-F.col(value)).alias("v"), F.col(S.LABEL).alias("l")))
+        return F.min_by(F.col(S.LABEL), rank)
+
+    out = bt.groupBy(*keys).agg(F.avg("ecart").alias("ecart_moyen"), F.max("ecart").alias("ecart_max"), F.count(F.lit(1)).alias("n_nuances"),
+                                best("prediction_brute", "has_pred").alias("gagnant_predit"), best("reel_brut", "has_reel").alias("gagnant_reel"))
     return out.withColumns({
         "gagnant_correct": F.coalesce(F.col("gagnant_predit") == F.col("gagnant_reel"), F.lit(False)),
         "score_precision": F.lit(100.0) - F.least(F.col("ecart_moyen") * 2, F.lit(100.0)),

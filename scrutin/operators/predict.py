@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 
 from scrutin import schema as S
 from scrutin import session
+from scrutin.functions import exprs as X
 from scrutin.operators import aggregates as A
+from scrutin.operators import clean
 from scrutin.operators import ordering as W
 from scrutin.plans import preprocess as L
 
@@ -85,14 +87,42 @@ def prepare_scenarios(df: DataFrame, urban: Sequence[int] = S.BACKTEST_URBAN_DEP
 
 
 # -- R2 / R3 -------------------------------------------------------------------
-def base_shares(scenarios: DataFrame, trends: DataFrame, fold: str | None = None) -> DataFrame:
+def base_shares(scenarios: DataFrame, trends: DataFrame) -> DataFrame:
     """R2: max(0.5, 0.7 x mean share + 0.3 x reference share) per label of the
-    scenario's department (and of its fold when trends are per fold)."""
-    base = F.greatest(F.lit(S.BASE_SHARE_FLOOR),
-                      F.col("avg_pct") * S.WEIGHT_MEAN + F.col("ref_pct") * S.WEIGHT_REFERENCE)
-    keys = [S.DEPT] + ([fold] if fold else [])
-    return (scenarios.select("scenario_id", *keys).join(trends, on=keys, how="inner")
-                     .select("scenario_id", S.LABEL, base.alias("base")))
+    scenario's department."""
+    return (scenarios.select("scenario_id", S.DEPT).join(trends, on=S.DEPT, how="inner")
+                     .select("scenario_id", S.LABEL, _base("avg_pct", "ref_pct").alias("base")))
+
+
+def _base(mean, reference) -> F.Column:
+    mean, reference = X.col(mean), X.col(reference)
+    return F.greatest(F.lit(S.BASE_SHARE_FLOOR), mean * S.WEIGHT_MEAN + reference * S.WEIGHT_REFERENCE)
+
+
+def _mean(years: F.Column) -> F.Column:
+    """Mean share of a list of (y, pct)."""
+    return F.aggregate(years, F.lit(0.0), lambda acc, x: acc + x["pct"]) / F.size(years)
+
+
+def base_shares_without(scenarios: DataFrame, history: DataFrame, year: str, reference_year: str = "latest",
+                        since: int = S.RECENT_YEAR) -> DataFrame:
+    """R2 from the history less the scenario's own year (column ``year``).
+
+    The history is reduced once, to a row for each department and label with
+    its shares by year; a scenario takes its own year out of that list.  So
+    the history is shuffled once, however many years are tested.  F8's window
+    (recent years, or all if there is none) is chosen without that year too.
+    """
+    if reference_year not in ("latest", "earliest"):
+        raise ValueError("reference_year is 'latest' or 'earliest'")
+    lists = A.shares_over_years(history)
+    recent = history.groupBy(S.DEPT).agg(F.collect_set(F.when(F.col(S.YEAR) >= since, F.col(S.YEAR))).alias("recent"))
+    asked = scenarios.select("scenario_id", S.DEPT, F.col(year).alias("__y")).join(recent, on=S.DEPT, how="inner")
+    asked = asked.withColumn("window", F.size(F.array_remove("recent", F.col("__y"))) > 0).drop("recent")
+    kept = F.filter("years", lambda x: (x["y"] != F.col("__y")) & (~F.col("window") | (x["y"] >= since)))
+    rows = asked.join(lists, on=S.DEPT, how="inner").withColumn("kept", kept).where(F.size("kept") > 0)
+    reference = F.element_at("kept", -1 if reference_year == "latest" else 1)["pct"]
+    return rows.select("scenario_id", S.LABEL, _base(_mean(F.col("kept")), reference).alias("base"))
 
 
 def _pairs(label_col: F.Column, value_col: F.Column) -> F.Column:
@@ -100,31 +130,29 @@ def _pairs(label_col: F.Column, value_col: F.Column) -> F.Column:
 
 
 def base_with_fallback(scenarios: DataFrame, history: DataFrame, labels: DataFrame,
-                       trends: DataFrame, fold: str | None = None) -> DataFrame:
+                       trends: DataFrame | None, without: str | None = None, reference_year: str = "latest") -> DataFrame:
     """Department trends; else the regional mean (no floor); else a
     uniform share over the known labels; else one 'Erreur' row of 100.
 
-    The fallback inputs are scalar subqueries (history size, the regional
-    shares as a list bounded by the label domain, the label list) attached
-    to the uncovered scenarios and exploded.  With a ``fold`` column (history
-    and scenarios carry it) size and regional shares are one row per fold,
-    joined on the fold.
+    The fallback inputs are scalar subqueries (rows per year, the regional
+    shares as a list bounded by the label domain and the calendar, the label
+    list) attached to the uncovered scenarios and exploded.  ``without`` names
+    the scenarios' column of the year that is left out of the history.
     """
-    dept = base_shares(scenarios, trends, fold)
-    uncovered = (scenarios.select("scenario_id", *([fold] if fold else []))
+    dept = base_shares(scenarios, trends) if without is None else base_shares_without(scenarios, history, without, reference_year)
+    uncovered = (scenarios.select("scenario_id", *([F.col(without).alias("__y")] if without else []))
                  .join(dept.select("scenario_id").distinct(), on="scenario_id", how="left_anti"))
     size = (F.sum("n_rows") if "n_rows" in history.columns else F.count(F.lit(1)))
     labs = labels.agg(F.collect_list(F.col(S.LABEL))).scalar()  # the label list (label domain)
-    if fold:
-        regional = A.regional_trends(history, extra_keys=[fold])
-        per_fold = (history.groupBy(fold).agg(size.alias("n_hist"))
-                    .join(regional.groupBy(fold).agg(
-                        F.collect_list(_pairs(F.col(S.LABEL), F.col("avg_pct"))).alias("reg")),
-                          on=fold, how="left"))
-        ctx_u = (uncovered.join(per_fold, on=fold, how="left")
-                 .withColumns({"n_hist": F.coalesce("n_hist", F.lit(0)),
-                               "reg": F.coalesce("reg", F.array().cast(per_fold.schema["reg"].dataType)),
-                               "labs": labs}))
+    if without:
+        years = history.groupBy(S.YEAR).agg(size.alias("n")).agg(F.collect_list(F.struct(F.col(S.YEAR).alias("y"), "n"))).scalar()
+        region = A.shares_over_years(clean.in_region(history), by=[]).agg(F.collect_list(F.struct(S.LABEL, "years"))).scalar()
+        ctx_u = uncovered.withColumns({"size_by_year": years, "region": region, "labs": labs})
+        other = lambda x: F.coalesce(x["y"] != F.col("__y"), F.lit(True))  # noqa: E731 - a row without a year is of no tested year
+        left = F.transform("region", lambda r: F.struct(r[S.LABEL].alias("nuance"), F.filter(r["years"], other).alias("years")))
+        reg = F.transform(F.filter(left, lambda r: F.size(r["years"]) > 0), lambda r: F.struct(r["nuance"].alias("nuance"), _mean(r["years"]).alias("v")))
+        rows = F.aggregate(F.filter("size_by_year", other), F.lit(0).cast("long"), lambda acc, x: acc + x["n"])
+        ctx_u = ctx_u.withColumns({"n_hist": rows, "reg": reg})
     else:
         regional = A.regional_trends(history)
         reg = regional.agg(F.collect_list(_pairs(F.col(S.LABEL), F.col("avg_pct")))).scalar()
@@ -212,7 +240,7 @@ def keep_known(shares: DataFrame, labels: DataFrame) -> DataFrame:
 def predict_shares(scenarios: DataFrame, history: DataFrame, labels: DataFrame | None = None,
                    reference_year: str = "latest", rules: DataFrame | None = None,
                    trends: DataFrame | None = None, materialise: bool = True,
-                   fold: str | None = None) -> DataFrame:
+                   without: str | None = None) -> DataFrame:
     """Trends -> base with fallbacks -> context multipliers -> normalise ->
     known labels -> rank.  Output ``(scenario_id, nuance, pct, rang)``.
 
@@ -221,19 +249,17 @@ def predict_shares(scenarios: DataFrame, history: DataFrame, labels: DataFrame |
     departments x years x labels).  A history that is already a summary
     (see ``summarise_history``) is used as given: the caller owns it.
 
-    ``fold``: name of a column carried by both the scenarios and the history
-    (e.g. the tested year of a leave-one-year-out backtest); trends and
-    fallbacks are then computed per fold value."""
+    ``without``: name of the scenarios' column of a year that is left out of
+    their history (a leave-one-year-out backtest)."""
     if "n_rows" not in history.columns:
         history = summarise_history(history)
         if materialise:
             history = session.materialise(history)
     if labels is None:
         labels = known_labels(history, sort=False)
-    extra = [fold] if fold else []
-    trends = trends if trends is not None else A.historical_trends(history, reference_year,
-                                                                    extra_keys=extra)
-    base = base_with_fallback(scenarios, history, labels, trends, fold)
+    if without is None and trends is None:
+        trends = A.historical_trends(history, reference_year)
+    base = base_with_fallback(scenarios, history, labels, trends, without, reference_year)
     adjusted = context_adjust(base, scenarios, rules)
     shares = keep_known(normalise_shares(adjusted, scenarios), labels)
     return W.rank_predictions(shares)
