@@ -23,8 +23,7 @@ from pyspark.sql import functions as F
 
 from scrutin import schema as S
 from scrutin.operators.keyed import join_per_key
-from scrutin.operators.quantiles import RANGES, range_bounds, range_of
-from scrutin.session import settled
+from scrutin.session import materialise, settled
 from scrutin.sources import files
 
 UNKNOWN_CLASS = "Inconnu"
@@ -361,28 +360,22 @@ def confusion_matrix(df: DataFrame, actual: str, predicted: str) -> DataFrame:
                  .withColumn("n", F.coalesce("n", F.lit(0)).cast("long")))
 
 
-def _cumulative(df: DataFrame, label: str, score_col: str, ranges: int = RANGES) -> tuple[DataFrame, F.Column, F.Column]:
+def _cumulative(df: DataFrame, label: str, score_col: str) -> tuple[DataFrame, F.Column, F.Column]:
     """Per distinct score its positives and negatives and their running sums
-    from the highest score on, and both totals.  Scores are laid into ranges by
-    a sketch; a range's running sums start at the sum of the ranges above it
-    (a list of at most ``ranges`` sums), so no task sees all scores."""
-    per = (df.groupBy(F.col(score_col).alias("s")).agg(F.sum(F.col(label).cast("long")).alias("p"),
-                                                       F.sum((1 - F.col(label)).cast("long")).alias("n"),
-                                                       F.count(F.lit(1)).alias("c"))
-             .where(F.col("c") > 0))   # keeps one shape of the aggregate for all its readers
-    bounds = per.agg(range_bounds("s", ranges)).scalar()
-    placed = per.withColumn("bounds", bounds).withColumn("r", range_of(F.col("s"), F.col("bounds"))).drop("bounds")
-    sums = placed.groupBy("r").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
-    above = sums.agg(F.collect_list(F.struct("r", "p", "n"))).scalar()
-
-    def before(name: str) -> F.Column:
-        return F.aggregate(F.filter("above", lambda x: x["r"] > F.col("r")), F.lit(0).cast("long"),
-                           lambda acc, x: acc + F.coalesce(x[name], F.lit(0)))
-
-    w = Window.partitionBy("r").orderBy(F.col("s").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    cum = (placed.withColumns({"wp": F.sum("p").over(w), "wn": F.sum("n").over(w), "above": above})
-           .select("s", "p", "n", (F.col("wp") + before("p")).alias("cp"), (F.col("wn") + before("n")).alias("cn")))
-    return cum, per.agg(F.sum("p")).scalar(), per.agg(F.sum("n")).scalar()
+    from the highest score on, and both totals.  The scores are dealt by range
+    over as many tasks as a shuffle has and kept, so that the ranges stay the
+    same; a range's running sums start at those of the ranges above it, which
+    are summed up over one row for each range."""
+    per = df.groupBy(F.col(score_col).alias("s")).agg(F.sum(F.col(label).cast("long")).alias("p"),
+                                                      F.sum((1 - F.col(label)).cast("long")).alias("n"))
+    placed = materialise(per.repartitionByRange(F.col("s").desc()).withColumn("r", F.spark_partition_id()))
+    sums = placed.groupBy("r").agg(F.sum("p").alias("rp"), F.sum("n").alias("rn"))
+    before = Window.orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
+    above = sums.select("r", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in ("rp", "rn")])
+    inside = Window.partitionBy("r").orderBy(F.col("s").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    cum = (placed.join(F.broadcast(above), "r")   # as many rows as tasks
+           .select("s", "p", "n", (F.sum("p").over(inside) + F.col("rp")).alias("cp"), (F.sum("n").over(inside) + F.col("rn")).alias("cn")))
+    return cum, placed.agg(F.sum("p")).scalar(), placed.agg(F.sum("n")).scalar()
 
 
 def roc_curve(df: DataFrame, label: str, score_col: str) -> DataFrame:

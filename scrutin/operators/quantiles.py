@@ -26,8 +26,6 @@ from pyspark.sql import functions as F
 
 from scrutin.session import settled
 
-RANGES = 256  #: value ranges per column; more make each one smaller
-
 SKETCH_K = 1000       #: size of a rank sketch: 22 kB
 MARGIN = 0.005        #: of the ranks on either side of the estimate; a sketch errs by 0.3 % at most 99 times in 100
 FEW = 200_000         #: rows that a bracket may hold when its values are counted
@@ -35,16 +33,6 @@ GROUPS = 64           #: sketches are merged in so many groups first
 ROUNDS = 40
 
 
-def range_of(value: Column, bounds: Column) -> Column:
-    """The number of bounds below a value."""
-    return F.size(F.filter(bounds, lambda b: b < value))
-
-
-def range_bounds(value: str | Column, ranges: int = RANGES) -> Column:
-    """Aggregate: ``ranges - 1`` ascending bounds that split the values about evenly."""
-    return F.percentile_approx(value, [k / ranges for k in range(1, ranges)])
-
-
 @dataclass
 class _Wanted:
     """One quantile of one column: the ranks next to it and values that enclose both."""

@@ -124,3 +124,23 @@ def test_loaded_model_scores_one_department_as_in_training(spark, tmp_path):
 def test_one_class_roc_is_null(spark):
     df = spark.createDataFrame([(1, 0.2), (1, 0.4)], "label INT, score DOUBLE")
     assert all(r.fpr is None for r in M.roc_curve(df, "label", "score").where("threshold < 10").collect())
+
+
+def test_roc_over_many_ranges(spark):
+    """Running sums go on from range to range; ties, one class, nulls."""
+    import numpy as np
+    rng = np.random.default_rng(4)
+    score, actual = np.round(rng.random(3000), 2), rng.integers(0, 2, 3000)
+    df = spark.createDataFrame([(int(a), float(s)) for a, s in zip(actual, score)], "actual INT, score DOUBLE").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        cum, _, _ = M._cumulative(df, "actual", "score")
+        rows = cum.orderBy(F.desc("s")).collect()
+        assert len(rows) == len(set(score))
+        for r in rows:
+            assert (r.cp, r.cn) == (int(actual[score >= r.s].sum()), int((1 - actual)[score >= r.s].sum()))
+        points = sorted((r.fpr, r.tpr) for r in M.roc_curve(df, "actual", "score").collect())
+        area = sum((b[0] - a[0]) * (a[1] + b[1]) / 2 for a, b in zip(points, points[1:]))
+        assert abs(M.roc_auc(df, "actual", "score").first()[0] - area) < 1e-12
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
