@@ -15,6 +15,7 @@ from scrutin.operators import joins as J
 from scrutin.operators import ordering as W
 from scrutin.plans import analyze as L4
 from scrutin.plans import preprocess as L
+from scrutin.plans import summaries as SM
 from scrutin.sources import catalog as K
 from scrutin.sources import columns as R
 from scrutin.sources import testdata as TD
@@ -324,6 +325,19 @@ def analyze(spark, sf):
     return L4.analyze(I.results(spark, sf))
 
 
+@query("analyze_from_summary", floats=["valeur"], sql=on_results(_analyze_sql()))
+def analyze_from_summary(spark, sf):
+    return L4.analyze(SM.summarise(I.results(spark, sf)))
+
+
+@query("by_department_from_summary", floats=["taux_participation", "part_voix"], sql=on_results(f"""
+SELECT departement, {Q.mean2('taux_participation')} AS taux_participation, {Q.mean2('pct_exprimes')} AS part_voix,
+  CAST(sum(voix) AS BIGINT) AS voix, CAST(sum(inscrits) AS BIGINT) AS inscrits, {Q.DEPT_NAME} AS nom_departement
+FROM results GROUP BY departement"""))
+def by_department_from_summary(spark, sf):
+    return SM.by_department(SM.summarise(I.results(spark, sf)))
+
+
 @query("analysis_report", sql=on_results(
     f'SELECT "analyse", count(*) AS n_lignes FROM ({_analyze_sql()}) AS a GROUP BY "analyse"'))
 def analysis_report(spark, sf):

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from scrutin import schema as S
 from scrutin.functions import exprs as X
+from scrutin.plans import summaries
 
 TOP_N = 5
 
@@ -19,16 +20,23 @@ def analyze(results: DataFrame, top_n: int = TOP_N) -> DataFrame:
     One scan and one shuffle: a GROUPING SETS aggregate computes every count
     at once (``grouping_id`` tells the sets apart); each aggregated row is
     turned into its output row(s) in a single projection, and the top-n per
-    analysis is ranked on those few rows only.
+    analysis is ranked on those few rows only.  ``results`` may be a summary
+    (``summaries.summarise``), whose states are merged in the same aggregate.
     """
     cols = set(results.columns)
+    summary = "n_rows" in cols
+    if summary:
+        counted = F.sum("n_rows")
+        midi = F.coalesce(F.sum(F.when(F.col("ancien_midi_pyrenees"), F.col("n_rows"))), F.lit(0)) if "ancien_midi_pyrenees" in cols else None
+        part = summaries.mean("taux_participation") if "taux_participation_n" in cols else None
+    else:
+        counted = F.count(F.lit(1))
+        midi = F.count_if(F.col("ancien_midi_pyrenees")) if "ancien_midi_pyrenees" in cols else None
+        part = F.avg("taux_participation") if "taux_participation" in cols else None
     keyed = [c for c in (S.DEPT, S.LABEL, "famille_politique", "typologie", S.YEAR) if c in cols]
     limited = [c for c in (S.DEPT, S.LABEL, "famille_politique") if c in cols]
-    aggs = [F.count(F.lit(1)).alias("__n"),
-            (F.count_if(F.col("ancien_midi_pyrenees")) if "ancien_midi_pyrenees" in cols
-             else F.lit(None).cast("long")).alias("__midi"),
-            (F.avg("taux_participation") if "taux_participation" in cols
-             else F.lit(None).cast("double")).alias("__part")]
+    aggs = [counted.alias("__n"), (midi if midi is not None else F.lit(None).cast("long")).alias("__midi"),
+            (part if part is not None else F.lit(None).cast("double")).alias("__part")]
     sets = [[F.col(c)] for c in keyed] + [[]]
     g = results.groupingSets(sets, *[F.col(c) for c in keyed]).agg(
         *aggs, F.grouping_id(*[F.col(c) for c in keyed]).alias("__gid"))
@@ -49,11 +57,11 @@ def analyze(results: DataFrame, top_n: int = TOP_N) -> DataFrame:
         cond = (F.col("__gid") == gid) & F.col(c).isNotNull()
         choice = F.when(cond, one) if choice is None else choice.when(cond, one)
     totals = []
-    if "ancien_midi_pyrenees" in cols:
+    if midi is not None:
         totals += [entry("ancienne_region", F.lit("ancien_midi_pyrenees"), F.col("__midi")),
                    entry("ancienne_region", F.lit("ancien_languedoc_roussillon"),
                          F.col("__n") - F.col("__midi"))]
-    if "taux_participation" in cols:
+    if part is not None:
         totals.append(entry("participation", F.lit("moyenne"), F.col("__part")))
     if totals:
         choice = choice.when(F.col("__gid") == full, F.array(*totals))

@@ -1,4 +1,4 @@
-"""L2: the staged batch run (collect -> process -> analyze -> train -> charts).
+"""L2: the staged batch run (collect -> process -> summarise -> analyze -> train -> charts).
 
 Each stage is one lazy plan ended by one write; the next stage reads the
 written table.  The hand-over through stored tables also bounds lineage, so
@@ -23,10 +23,11 @@ from scrutin.operators import enrich as E
 from scrutin.operators import ml as M
 from scrutin.plans import analyze as L4
 from scrutin.plans import preprocess as L1
+from scrutin.plans import summaries
 from scrutin.sources import files
 from scrutin.sources import stages as stage_tables
 
-STAGES = ("collect", "process", "analyze", "train", "charts")
+STAGES = ("collect", "process", "summarise", "analyze", "train", "charts")
 
 
 #: The raw table's partition column: the year as a number, null for a bad one.
@@ -59,22 +60,27 @@ def run(spark: SparkSession, source: DataFrame | None, out_dir: str, stages: Seq
         raise ValueError(f"unknown stages {sorted(unknown)}")
     if "collect" in stages and source is None:
         raise ValueError("collect needs source rows")
-    paths = {"collect": f"{out_dir}/raw", "process": f"{out_dir}/processed",
+    paths = {"collect": f"{out_dir}/raw", "process": f"{out_dir}/processed", "summarise": f"{out_dir}/summary",
              "analyze": f"{out_dir}/analysis", "train": f"{out_dir}/models", "charts": f"{out_dir}/charts"}
     done: dict[str, str] = {}
     years = _years(source) if update and source is not None else []
+    raw_before = stage_tables.manifest(spark, paths["collect"])
+    processed_before = stage_tables.manifest(spark, paths["process"])
     if "collect" in stages:
         stage_tables.write_stage(source.withColumn(RAW_YEAR, _year(source)), paths["collect"], partition_by=[RAW_YEAR], update=update, emptied=years)
         done["collect"] = paths["collect"]
+    part = update and source is not None and processed_before is not None
     if "process" in stages:
         if "collect" in stages or source is None:
             made_from = stage_tables.checked(spark, paths["collect"]).identity
             raw = stage_tables.read_stage(spark, paths["collect"])
-            raw = (raw.where(F.col(RAW_YEAR).isin(years)) if update and source is not None else raw).drop(RAW_YEAR)
+            # the other years stand only if they were made from the raw table as it was
+            part = part and raw_before is not None and processed_before.made_from == raw_before.identity
+            raw = (raw.where(F.col(RAW_YEAR).isin(years)) if part else raw).drop(RAW_YEAR)
         else:
             raw, made_from = source, stage_tables.GIVEN
         processed = L1.preprocess(raw, tiebreak=tiebreak, sort=False)
-        stage_tables.write_stage(processed, paths["process"], partition_by=[S.YEAR], made_from=made_from, update=update and source is not None, emptied=years)
+        stage_tables.write_stage(processed, paths["process"], partition_by=[S.YEAR], made_from=made_from, update=part, emptied=years)
         done["process"] = paths["process"]
     processed_path = paths["process"]
 
@@ -85,8 +91,19 @@ def run(spark: SparkSession, source: DataFrame | None, out_dir: str, stages: Seq
             stage_tables.checked(spark, processed_path, stage_tables.checked(spark, paths["collect"]).identity)
         return stage_tables.read_stage(spark, processed_path)
 
+    if "summarise" in stages:
+        rows, made_from = processed_rows(), stage_tables.checked(spark, processed_path).identity
+        stored = stage_tables.manifest(spark, paths["summarise"])
+        stands = part and "process" in stages and stored is not None and stored.made_from == processed_before.identity
+        summaries.write(rows, paths["summarise"], made_from, years if stands else None)
+        done["summarise"] = paths["summarise"]
     if "analyze" in stages:
-        done["analyze"] = files.write_table(L4.analyze(processed_rows()), paths["analyze"])
+        # merged from the summary if it is that of the processed table
+        stored = stage_tables.manifest(spark, paths["summarise"])
+        rows = processed_rows()
+        if stored is not None and stored.made_from == stage_tables.checked(spark, processed_path).identity:
+            rows = summaries.read(spark, paths["summarise"], stored.made_from)
+        done["analyze"] = files.write_table(L4.analyze(rows), paths["analyze"])
     if "train" in stages:
         rows = processed_rows()
         # without a row key the split hashes all columns

@@ -230,3 +230,36 @@ def test_history_info_reads_the_metadata(spark):
     assert P.history_info(history, meta.drop("years_covered", "best_score")).first()[1:4] == (0.0, 6, P.history_info(history).first().years_covered)
     empty = spark.createDataFrame([("", None, None)], "best_model_name STRING, best_score DOUBLE, years_covered STRING")
     assert P.history_info(history, empty).first() == P.history_info(history).first()
+
+
+def rounded(df):
+    return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect())
+
+
+def test_adding_a_year_to_the_summary_equals_a_full_run(spark):
+    from scrutin.operators import aggregates as A
+    from scrutin.plans import run as L2
+    from scrutin.plans import summaries as SM
+    b = TD.ballots(spark, "/root/testdata/sf0.001").where("annee between 2012 and 2015")
+    step, whole = (tempfile.mkdtemp(prefix="scrutin-sum-") for _ in range(2))
+    todo = ("collect", "process", "summarise", "analyze")
+    L2.run(spark, b.where("annee < 2015"), step, todo, tiebreak=TD.TIEBREAK)
+    before = {n for n, _ in stages._data_files(spark, f"{step}/summary")}
+    done = L2.run(spark, b.where("annee = 2015"), step, todo, tiebreak=TD.TIEBREAK, update=True)
+    after = {n for n, _ in stages._data_files(spark, done["summarise"])}
+    assert before < after and all(n.startswith("annee=2015/") for n in after - before)   # no other year was written
+    full = L2.run(spark, b, whole, todo, tiebreak=TD.TIEBREAK)
+    assert rounded(spark.read.parquet(done["analyze"])) == rounded(spark.read.parquet(full["analyze"]))
+    summary, rows = SM.read(spark, done["summarise"]), stages.read_stage(spark, full["process"])
+    for merged, direct in ((SM.by_department(summary), A.by_department(rows)), (SM.by_year(summary), A.by_year(rows)),
+                           (A.historical_trends(summary), A.historical_trends(rows)), (A.regional_trends(summary), A.regional_trends(rows))):
+        assert merged.columns == direct.columns and rounded(merged) == rounded(direct)
+
+
+def test_update_processes_all_years_if_the_raw_table_moved_on(spark):
+    from scrutin.plans import run as L2
+    out = tempfile.mkdtemp(prefix="scrutin-moved-")
+    L2.run(spark, ballots_of(spark, 2017).union(ballots_of(spark, 2022)), out, ("collect", "process"))
+    L2.run(spark, ballots_of(spark, 2017, n=2), out, ("collect",), update=True)      # not processed
+    done = L2.run(spark, ballots_of(spark, 2022, n=3), out, ("collect", "process"), update=True)
+    assert years_in(stages.read_stage(spark, done["process"])) == {2017: 2, 2022: 3}
