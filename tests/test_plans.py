@@ -1,5 +1,6 @@
-"""Plan shape of the registered queries: no Cartesian product, pruned reads,
-filters pushed to the scans, broadcasts only of bounded sides."""
+"""Plan shape of the registered queries: no Cartesian product and no read of
+every lineitem column; the flagship's filter below its joins and its partial
+deduplication.  Broadcasts and hot keys are checked in ``test_keyed.py``."""
 
 import pytest
 
