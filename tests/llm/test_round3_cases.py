@@ -65,3 +65,32 @@ def test_one_long_line_takes_linear_time():
         took.append(time.process_time() - t)
         assert len(found.get("address", ())) >= 1
     assert took[1] < 40 * max(took[0], 0.05)
+
+
+def test_beta_probabilities(spark):
+    """Against Simpson's rule over the log odds, and closed forms."""
+    from pyspark.sql import functions as F
+
+    from scrutin.llm import urls
+    rng = np.random.default_rng(0)
+    ab = [(float(a), float(b)) for a, b in zip(10 ** rng.uniform(-0.5, 4, 40), 10 ** rng.uniform(-0.5, 4, 40))] + [(1.0, 1.0), (1.0, 3.0), (3.0, 1.0), (50_000.0, 50_100.0)]
+    df = spark.createDataFrame(ab, "a double, b double")
+    for at in (0.5, 0.2):
+        got = {(r.a, r.b): r.p for r in df.select("a", "b", urls.beta_below(F.col("a"), F.col("b"), at).alias("p")).collect()}
+        for a, b in ab:
+            cut = np.log(at / (1 - at))
+            mass = []
+            for lo, hi in ((-120.0, cut), (cut, 120.0)):
+                y = np.linspace(lo, hi, 200_001)
+                w = np.exp(a * y - (a + b) * np.log1p(np.exp(y)) - a * np.log(a / (a + b)) - b * np.log(b / (a + b)))
+                mass.append((w[0] + w[-1] + 4 * w[1::2].sum() + 2 * w[2:-1:2].sum()) * (hi - lo))
+            assert abs(got[a, b] - mass[0] / sum(mass)) < 1e-6, (a, b)
+        assert abs(got[1.0, 3.0] - (1 - (1 - at) ** 3)) < 1e-12 and abs(got[3.0, 1.0] - at ** 3) < 1e-12
+
+
+def test_a_port_is_no_part_of_the_domain(spark):
+    from scrutin.llm import urls
+    rows = [(f"h{i}.example.com:8080", 1) for i in range(40)] + [("clean.example.com", None)]
+    got = {r.host: r for r in urls.reputations(spark.createDataFrame(rows, "host string, bad int")).collect()}
+    # the host without outcomes has the reputation of the domain that it shares with the others
+    assert got["clean.example.com"].mean > 0.9 and got["h1.example.com:8080"].n == 1
