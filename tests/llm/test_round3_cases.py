@@ -85,7 +85,7 @@ def test_beta_probabilities(spark):
                 w = np.exp(a * y - (a + b) * np.log1p(np.exp(y)) - a * np.log(a / (a + b)) - b * np.log(b / (a + b)))
                 mass.append((w[0] + w[-1] + 4 * w[1::2].sum() + 2 * w[2:-1:2].sum()) * (hi - lo))
             assert abs(got[a, b] - mass[0] / sum(mass)) < 1e-6, (a, b)
-        assert abs(got[1.0, 3.0] - (1 - (1 - at) ** 3)) < 1e-12 and abs(got[3.0, 1.0] - at ** 3) < 1e-12
+        assert abs(got[1.0, 3.0] - (1 - (1 - at) ** 3)) < 1e-11 and abs(got[3.0, 1.0] - at ** 3) < 1e-11
 
 
 def test_a_port_is_no_part_of_the_domain(spark):
