@@ -182,9 +182,9 @@ k AS (SELECT *, count(*) OVER (PARTITION BY doc_id, t ORDER BY pos RANGE BETWEEN
 p AS (SELECT s.doc_id, s.t, s.name, s.m, s.pos AS a, e.pos AS z, e.times,
              row_number() OVER (PARTITION BY s.doc_id, s.t, s.pos, e.b ORDER BY e.pos) AS nth
       FROM k s JOIN h e ON e.doc_id = s.doc_id AND e.t = s.t AND e.pos BETWEEN s.pos AND s.pos + 2 * s.m WHERE 2 * s.near >= s.m),
-c AS (SELECT doc_id, t, name, m, a, z, sum(CASE WHEN nth <= times THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, t, a ORDER BY z) AS both FROM p),
-e AS (SELECT doc_id, t, name, a, z, 2 * both / (z - a + 1 + m) AS dice FROM c
-      QUALIFY row_number() OVER (PARTITION BY doc_id, t, a ORDER BY 2 * both / (z - a + 1 + m) DESC, z) = 1),
+c AS (SELECT doc_id, t, name, m, a, z, sum(CASE WHEN nth <= times THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, t, a ORDER BY z) AS common FROM p),
+e AS (SELECT doc_id, t, name, a, z, 2 * common / (z - a + 1 + m) AS dice FROM c
+      QUALIFY row_number() OVER (PARTITION BY doc_id, t, a ORDER BY 2 * common / (z - a + 1 + m) DESC, z) = 1),
 w AS (SELECT * FROM e WHERE dice >= {THRESHOLD}),
 o AS (SELECT * FROM w WHERE NOT EXISTS (SELECT 1 FROM w v WHERE v.doc_id = w.doc_id AND v.t = w.t AND v.a <= w.z AND v.z >= w.a
                                         AND (v.dice > w.dice OR v.dice = w.dice AND v.a < w.a))),
