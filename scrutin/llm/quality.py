@@ -7,9 +7,10 @@ isotonic regression on a part of the labelled rows that the ridge fit has not
 seen turns raw fits into probabilities.
 
 Labels are learnt from rows whose crc32(doc_id as text) mod 5 is not 0: folds
-1 to 3 fit the ridge, fold 4 the calibration.  MAX_LABELLED bounds the rows of
-either fit; beyond it rows are taken by a hash of the id.  Every document is
-scored over its whole text; labels, lang, source and doc_id are no inputs.
+1 to 3 fit the ridge, fold 4 the calibration.  MAX_LABELLED bounds the labelled
+ids and the rows of either fit; beyond it they are taken by a hash of the id.
+Every document is scored over its whole text; labels, lang, source and doc_id
+are no inputs.
 
 Defined cases: null and empty texts have the statistics of the empty text and
 a score; labels that are null are left out, several of one id are averaged
@@ -167,7 +168,7 @@ def _raw(model: Model):
 
 
 def fit(rows: DataFrame, stats: int) -> Model:
-    """A model from rows (doc_id, stats, y); fold 4 calibrates, the others fit."""
+    """A model from rows (doc_id, y, fold, stats); fold 4 calibrates, the others fit."""
     train = stored(_bounded(rows.where("fold <> 4")).select("stats", "y").repartition(FIT_PARTITIONS), "train")
     moments = train.select([F.avg(F.col("stats")[i]) for i in range(stats)] + [F.stddev_pop(F.col("stats")[i]) for i in range(stats)]
                            + [F.avg("y"), F.max("y"), F.min("y")]).first()
@@ -186,7 +187,7 @@ def fit(rows: DataFrame, stats: int) -> Model:
     bins = (held.select(F.round(F.least(F.greatest("raw", F.lit(-1.0)), F.lit(2.0)) / BIN).alias("bin"), "raw", "y")
             .groupBy("bin").agg(F.avg("raw").alias("raw"), F.sum("y").alias("total"), F.count("*").alias("n")).orderBy("bin").collect())
     if bins:
-        # half a row of either label at the ends keeps scores off 0 and 1
+        # a thousandth of every bin at the mean label keeps scores off 0 and 1
         x = np.array([b.raw for b in bins])
         total, n = np.array([b.total for b in bins]), np.array([float(b.n) for b in bins])
         model.knots = isotonic(x, total + 0.001 * n * mean_y, n * 1.001)
@@ -204,13 +205,18 @@ def _scored(model: Model):
 
 
 def learnt(documents: DataFrame, labels: DataFrame) -> Model:
-    """A model from the labelled documents outside fold 0."""
+    """A model from the labelled documents outside fold 0.  Only the rows of
+    either fit have their statistics computed: their ids, MAX_LABELLED for each
+    fit at most, meet the texts by a broadcast join."""
     marks = (labels.where("quality is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
-             .agg((F.avg("quality") >= 0.5).cast("double").alias("y")).where(fold_of() != 0))
+             .agg((F.avg("quality") >= 0.5).cast("double").alias("y")).withColumn("fold", fold_of()).where("fold <> 0"))
+    marks = stored(marks, "marks")
+    few = _bounded(marks.where("fold <> 4")).unionAll(_bounded(marks.where("fold = 4")))
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     stats = len(statistics(pa.array([""], pa.large_string()))[0])
-    rows = stored(texts.mapInArrow(_stats, "doc_id long, stats array<double>"), "stats").join(marks, "doc_id")
-    return fit(stored(rows.select("doc_id", "stats", "y", fold_of().alias("fold")), "labelled"), stats)
+    rows = (texts.join(F.broadcast(few), "doc_id").select("doc_id", "y", "fold", "text")
+            .mapInArrow(_stats, "doc_id long, y double, fold long, stats array<double>"))
+    return fit(stored(rows, "labelled"), stats)
 
 
 def quality_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
