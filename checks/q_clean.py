@@ -281,7 +281,7 @@ LEFT JOIN ({_socio_means('_2012', 'WHERE annee = 2012')}) a ON r.departement = a
 LEFT JOIN ({_socio_means('_2017', 'WHERE annee = 2017')}) b ON r.departement = b.departement
 LEFT JOIN ({LEG}) l ON r.departement = l.departement"""))
 def merge_datasets(spark, sf):
-    r = I.results(spark, sf)
+    r = I.kept_results(spark, sf)
     so = socio(spark, sf)
     return J.merge_datasets({
         "presidentielle_2022": r,

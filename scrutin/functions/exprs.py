@@ -13,10 +13,9 @@ from pyspark.sql import functions as F
 
 from scrutin import schema as S
 
-#: White space as Unicode has it, no-break spaces and separators included.
-_WS = r"[\s\x1C-\x1F\x85\p{Z}]"
-_LEADING_WS = rf"^{_WS}+"
-_TRAILING_WS = rf"{_WS}+$"
+#: White space as Unicode has it, no-break spaces and separators included: ``[\s\x1C-\x1F\x85\p{Z}]``.
+_WS = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                        0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 
 def col(c: str | Column) -> Column:
@@ -46,7 +45,7 @@ def safe_ratio(num: str | Column, den: str | Column) -> Column:
 
 def strip(c: str | Column) -> Column:
     """Remove leading and trailing white space (tabs and new lines too)."""
-    return F.regexp_replace(F.regexp_replace(col(c), _LEADING_WS, ""), _TRAILING_WS, "")
+    return F.btrim(col(c), F.lit(_WS))
 
 
 def to_double(c: str | Column) -> Column:
