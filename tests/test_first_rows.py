@@ -76,7 +76,7 @@ def tables(spark, tmp_path_factory):
     return d
 
 
-@pytest.mark.parametrize("name", ["merge_datasets"])
+@pytest.mark.parametrize("name", ["merge_datasets", "key_union"])
 def test_ballots_are_not_read_again_by_every_branch(spark, tables, name):
     out = REGISTRY[name].spark(spark, tables)
     assert "lineitem.parquet" not in _plan(out)  # the branches read the kept results table
