@@ -203,6 +203,11 @@ def random_split(df: DataFrame, keys: Sequence[str], fraction: float = 0.2,
 
 
 # -- M6 / M7 / M8 / M14 -----------------------------------------------------------
+#: A training task has at least so many rows on average: every round of the forest sends
+#: each task's statistics of all nodes, so tasks of a few rows cost more than they save.
+MIN_TASK_ROWS = 500
+
+
 def random_forest(features: str = "features", label: str = "label",
                   checkpoint: bool = True) -> RandomForestClassifier:
     """M6: 100 trees, depth 10, seed 42.  Node ids are cached and
@@ -232,11 +237,13 @@ def train_and_select(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, dic
     "classes": [...], "best": name}).  An unusable input gives a one-row
     table with an ``error`` and no models; a model that fails to fit gives a
     row with its ``error`` and the other one is still trained.  The columns
-    that are used are kept in memory (or on disk) while the models are fitted."""
+    that are used are kept in memory (or on disk) while the models are fitted, in
+    no more partitions than their rows fill (MIN_TASK_ROWS), whatever number the
+    session gives a shuffle."""
     used = [c for c in df.columns if c in {*keys, *MODEL_INPUTS}]
     df = df.select(*used).persist()
     try:
-        return _train_and_select(df, keys)
+        return _train_and_select(df.coalesce(max(1, df.count() // MIN_TASK_ROWS)), keys)
     finally:
         df.unpersist()
 

@@ -7,6 +7,7 @@ from checks import inputs as I
 from checks.registry import REGISTRY
 from scrutin.functions import exprs as X
 from scrutin.operators import clean as C
+from scrutin.operators import ml as M
 
 KEYS = ["annee", "nuance"]
 
@@ -96,3 +97,13 @@ def test_strip_removes_what_unicode_calls_white_space(spark):
     got = chars.select("chr_", X.strip(text).alias("now"),
                        F.regexp_replace(F.regexp_replace(text, f"^{ws}+", ""), f"{ws}+$", "").alias("was"))
     assert got.where(~F.col("now").eqNullSafe(F.col("was"))).count() == 0
+
+
+def test_training_partitions_follow_the_rows(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(M, "_train_and_select", lambda df, keys: seen.append((df.rdd.getNumPartitions(), df.count())))
+    rows = spark.range(1100).select("id", F.lit(2017).alias("annee"), F.lit("RN").alias("nuance"))
+    M.train_and_select(rows.repartition(64), ["id"])
+    M.train_and_select(rows.where("id < 5").repartition(64), ["id"])
+    M.train_and_select(rows.repartition(2), ["id"])
+    assert seen == [(2, 1100), (1, 5), (2, 1100)]
